@@ -4,7 +4,11 @@ import importlib
 
 #: Module and function of each query.
 QUERIES = {
+    "op2_repetition": "repetition",
+    "op3_mix_pivotal": "mixing",
     "op5_pack_curve": "packing",
+    "op7_ogg": "ogg",
+    "op10_language": "language",
 }
 
 
