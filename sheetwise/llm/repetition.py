@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import BLANKS, owner, per_text, slices, texts_of, word_codes
+from .words import BLANKS, owner, per_text, rebased, slices, texts_of, word_codes
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -79,9 +79,8 @@ def covered(longest: np.ndarray, bounds: np.ndarray, least: int, spans: int | No
 
 
 def _byte_counts(texts: pa.Array, wanted: np.ndarray) -> np.ndarray:
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    return per_text(wanted[data], offsets - offsets[0], np.int64)
+    bounds, data = rebased(texts)
+    return per_text(wanted[data], bounds, np.int64)
 
 
 def _duplicate_lines(texts: pa.Array) -> np.ndarray:

@@ -5,7 +5,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 #: Bytes of the six ASCII blanks that separate words.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -22,10 +21,25 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 12 << 20) -> Iterator
         start = stop
 
 
+def rebased(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds (n + 1, from 0) and UTF-8 bytes of a large_string array without nulls, wherever it was sliced."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return offsets - offsets[0], data
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text", lower: bool = False) -> pa.Array:
-    """The texts, null as empty; `lower` lower-cases A-Z only."""
+    """The texts, null as empty, in buffers of their own; `lower` lower-cases A-Z only.
+
+    Some string kernels of pyarrow go wrong on sliced arrays, so the buffers start at 0.
+    """
     texts = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
-    return pc.ascii_lower(texts) if lower else texts
+    if not len(texts):
+        return texts
+    bounds, data = rebased(texts)
+    if lower:
+        data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
 
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -40,9 +54,32 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return codes[keep], bounds, words
 
 
+_BASE = 0x9E3779B97F4A7C15
+_BYTE = np.random.default_rng(64).integers(1, 1 << 63, 256).astype(np.uint64)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        step = np.full(max(n, 1 << 16), base, np.uint64)
+        step[0] = 1
+        have = _POWERS[base] = np.multiply.accumulate(step)
+    return have[:n]
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run values[start:end], equal for equal runs (polynomial in an odd base, then mixed)."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(_BASE, len(values)), dtype=np.uint64)])
+    inverse = powers(pow(_BASE, -1, 1 << 64), len(values) + 1)
+    return mix((total[ends] - total[starts]) * inverse[starts] ^ mix((ends - starts).astype(np.uint64)))
+
+
 def word_hashes(words: pa.Array) -> np.ndarray:
     """A 64-bit hash of each dictionary entry."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))
+    bounds, data = rebased(words.cast(pa.large_string()))
+    return run_hashes(_BYTE[data], bounds[:-1], bounds[1:])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
