@@ -7,6 +7,7 @@ QUERIES = {
     "op2_repetition": "repetition",
     "op3_mix_pivotal": "mixing",
     "op5_pack_curve": "packing",
+    "op6_jaccard": "jaccard",
     "op7_ogg": "ogg",
     "op10_language": "language",
 }
