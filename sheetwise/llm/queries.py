@@ -9,6 +9,7 @@ QUERIES = {
     "op5_pack_curve": "packing",
     "op6_jaccard": "jaccard",
     "op7_ogg": "ogg",
+    "op8_warc": "warc",
     "op10_language": "language",
 }
 
@@ -25,5 +26,9 @@ def queries() -> dict:
     return {name: _late(module, name) for name, module in QUERIES.items()}
 
 
+#: Module and constant of each SQL.
+SQL = {"op8_warc": ("warc", "OP8_SQL")}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: getattr(importlib.import_module(f"{__package__}.{module}"), constant) for name, (module, constant) in SQL.items()}
