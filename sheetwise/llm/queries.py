@@ -4,6 +4,7 @@ import importlib
 
 #: Module and function of each query.
 QUERIES = {
+    "op1_licenses": "licenses",
     "op2_repetition": "repetition",
     "op3_mix_pivotal": "mixing",
     "op5_pack_curve": "packing",
@@ -27,7 +28,7 @@ def queries() -> dict:
 
 
 #: Module and constant of each SQL.
-SQL = {"op8_warc": ("warc", "OP8_SQL")}
+SQL = {"op1_licenses": ("licenses", "OP1_SQL"), "op8_warc": ("warc", "OP8_SQL")}
 
 
 def oracle_sql() -> dict[str, str]:
