@@ -11,6 +11,7 @@ QUERIES = {
     "op6_jaccard": "jaccard",
     "op7_ogg": "ogg",
     "op8_warc": "warc",
+    "op9_passages": "substrings",
     "op10_language": "language",
 }
 
