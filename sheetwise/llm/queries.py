@@ -7,6 +7,7 @@ QUERIES = {
     "op1_licenses": "licenses",
     "op2_repetition": "repetition",
     "op3_mix_pivotal": "mixing",
+    "op4_lm_difference": "lm",
     "op5_pack_curve": "packing",
     "op6_jaccard": "jaccard",
     "op7_ogg": "ogg",
