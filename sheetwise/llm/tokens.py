@@ -11,8 +11,8 @@ from .words import gather, rebased, word_codes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 WORD_BPE = "word_bpe_49k.json"
-#: Words made of these letters alone (ASCII and Latin-1, lower case) are one piece in any normal form.
-PIECE = r"[a-z\x{AA}\x{B5}\x{BA}\x{DF}-\x{F6}\x{F8}-\x{FF}]+"
+#: Words made of these letters alone (ASCII and Latin-1) are one piece in any normal form and have one lower case.
+PIECE = r"[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+"
 
 
 def tokenizer_path(name: str = WORD_BPE) -> str:
@@ -128,12 +128,11 @@ class WordTokenizer:
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and how many each has."""
-        lower = pc.utf8_lower(words)
-        body = pc.replace_substring_regex(lower, r"[.,;:!?]+$", "")
-        tail = pc.utf8_slice_codeunits(lower, -1)
-        cut = pc.subtract(pc.utf8_length(lower), pc.utf8_length(body)).to_numpy(zero_copy_only=False)
+        body = pc.replace_substring_regex(words, r"[.,;:!?]+$", "")
+        tail = pc.utf8_slice_codeunits(words, -1)
+        cut = pc.subtract(pc.utf8_length(words), pc.utf8_length(body)).to_numpy(zero_copy_only=False)
         easy = pc.match_substring_regex(body, f"^{PIECE}$").to_numpy(zero_copy_only=False) & (cut <= 1)
-        pieces = pc.dictionary_encode(body.filter(pa.array(easy)))
+        pieces = pc.dictionary_encode(pc.utf8_lower(body.filter(pa.array(easy))))
         size = np.zeros(len(words), np.int64)
         plain_ids, plain_size = self.merges.apply(pieces.dictionary) if len(pieces) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         plain_start = np.cumsum(plain_size) - plain_size

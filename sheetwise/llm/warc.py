@@ -62,7 +62,10 @@ def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int] | str:
         name, colon, value = line.partition(b":")
         if not colon:
             return "header without a colon"
-        headers[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
+        name = name.strip().lower().decode("utf-8", "replace")
+        if name in headers:
+            return "headers run into others"
+        headers[name] = value.strip().decode("utf-8", "replace")
     size = headers.get("content-length", "")
     if not size.isdigit():
         return "no length"
