@@ -173,35 +173,53 @@ def mixture(relative: np.ndarray, bounds: np.ndarray, rounds: int = 8, penalty:
     return best
 
 
-def _predict(batches: Iterator[pa.RecordBatch], models: NgramModels | None) -> Iterator[pa.RecordBatch]:
+def _predict(batch: pa.RecordBatch, models: NgramModels | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, its share and the set with shares, of each row."""
+    codes, bounds, words = word_codes(texts_of(batch))
+    size = batch.num_rows
+    pred, score, sets = np.full(size, UNDETERMINED, object), np.zeros(size), np.full(size, "", object)
+    if models is not None and len(words):
+        ll, has = models.score(words)
+        keep = has[codes]
+        codes, bounds = codes[keep], np.concatenate([[0], np.cumsum(keep)])[bounds]
+        relative = np.maximum(np.exp(ll - ll.max(axis=1, keepdims=True)), 1e-12).astype(np.float32)[codes]
+        share, some = mixture(relative, bounds), np.diff(bounds) > 0
+        best = share.argmax(axis=1)
+        pred[some] = np.array(models.languages, object)[best[some]]
+        score[some] = share.max(axis=1)[some]
+        for i in np.flatnonzero(some):
+            sets[i] = ",".join(f"{models.languages[k]}:{share[i, k]:.3f}" for k in np.argsort(-share[i], kind="stable") if share[i, k] > 0)
+    return pred, np.clip(score, 0, 1), sets
+
+
+def _identified(batches: Iterator[pa.RecordBatch], models: NgramModels | None) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text", 6 << 20):
-            codes, bounds, words = word_codes(texts_of(batch))
-            size = batch.num_rows
-            pred, score, sets = np.full(size, UNDETERMINED, object), np.zeros(size), np.full(size, "", object)
-            if models is not None and len(words):
-                ll, has = models.score(words)
-                keep = has[codes]
-                codes, bounds = codes[keep], np.concatenate([[0], np.cumsum(keep)])[bounds]
-                relative = np.maximum(np.exp(ll - ll.max(axis=1, keepdims=True)), 1e-12).astype(np.float32)[codes]
-                share, some = mixture(relative, bounds), np.diff(bounds) > 0
-                best = share.argmax(axis=1)
-                pred[some] = np.array(models.languages, object)[best[some]]
-                score[some] = share.max(axis=1)[some]
-                for i in np.flatnonzero(some):
-                    sets[i] = ",".join(f"{models.languages[k]}:{share[i, k]:.3f}" for k in np.argsort(-share[i], kind="stable") if share[i, k] > 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(sets, pa.string())], [*batch.schema.names, "lang_pred", "score", "languages"])
+            pred, score, sets = _predict(batch, models)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(sets, pa.string())], ["doc_id", "lang_pred", "score", "languages"])
+
+
+def _accepted(batches: Iterator[pa.RecordBatch], models: NgramModels | None, least: float) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text", 6 << 20):
+            pred, score, _ = _predict(batch, models)
+            yield batch.filter(pa.array((pred != UNDETERMINED) & (score >= least)))
 
 
 def identify_languages(docs: DataFrame, models: NgramModels | None) -> DataFrame:
-    """doc_id and text of every row, with lang_pred, score (its share, 0 to 1) and languages (the chosen set with shares).
+    """doc_id, lang_pred, score (its share, 0 to 1) and languages (the chosen set with shares) of every row.
 
     The whole text counts. lang_pred is `und` with score 0 where the text is null or has no letter,
     or nothing was learned. Row by row, without a shuffle: null or repeated doc_id, repeated rows
     and an empty table pass as they are; other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(lambda it: _predict(it, models), "doc_id long, text string, lang_pred string, score double, languages string")
+    return rows.mapInArrow(lambda it: _identified(it, models), "doc_id long, lang_pred string, score double, languages string")
+
+
+def accept_languages(docs: DataFrame, models: NgramModels | None, least: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, whose language is determined with a share of at least `least`."""
+    return docs.mapInArrow(lambda it: _accepted(it, models, least), docs.schema)
 
 
 def held_out(docs: DataFrame):
@@ -209,12 +227,12 @@ def held_out(docs: DataFrame):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def predicted(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """identify_languages with models learned from the documents that aren't held out (null doc_id: neither held out nor learned from)."""
-    return identify_languages(docs, fit_languages(docs.where(~held_out(docs)), sample))
+def learned(docs: DataFrame, sample: int = SAMPLE) -> NgramModels | None:
+    """Models of the documents that aren't held out (null doc_id: neither held out nor learned from)."""
+    return fit_languages(docs.where(~held_out(docs)), sample)
 
 
 def op10_language(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    out = predicted(docs)
+    out = identify_languages(docs, learned(docs))
     return out.select("doc_id", F.coalesce(held_out(out), F.lit(False)).alias("held_out"), "lang_pred", "score", "languages")

@@ -16,6 +16,9 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Written tables of one call: `put` writes and reads back, `drop` deletes what no result needs."""
 
@@ -23,8 +26,14 @@ class Scratch:
         self.spark, self.root = spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Writes a table and reads it back. The shuffle files behind it go with the end of the write: nothing needs them again."""
+        path, conf = f"{self.root}/{name}", self.spark.conf
+        before = conf.get(CLEAN_UP, None)
+        conf.set(CLEAN_UP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
