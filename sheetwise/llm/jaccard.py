@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import Scratch
+from .shared import BLOOM, Scratch
 from .words import gather, mix, owner, per_text, run_hashes, slices, texts_of, word_codes, word_hashes
 
 #: The share of tokens, by hash, that stands first in the order: at least FIRST, and SLACK times a prefix.
@@ -224,9 +224,10 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     narrow = tables.put(described.select("row", "doc_id", "n", "print1", "print2", "row_hash"), "rows")
     tables.drop("described")
     some = posts.select("sid").distinct()
-    wanted = tables.put(prefixes.select("print1", "print2", F.col("row").alias("sid")).join(some, "sid").join(narrow.select(F.col("row").alias("sid"), "doc_id"), "sid"), "wanted")
-    texts = rows.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id")))
-    sets = tables.put(texts.select("sid", "print1", "print2", "text").mapInArrow(lambda it: _fetch(it, n), "sid long, n long, tokens array<long>"), "sets")
+    wanted = tables.put(prefixes.select("print1", "print2", F.col("row").alias("sid")).join(some, "sid").join(narrow.select(F.col("row").alias("sid"), "row_hash"), "sid"), "wanted")
+    # the filter on sid holds for all rows: without one Spark makes no Bloom filter
+    texts = rows.withColumn("row_hash", row_key(docs)).join(wanted.where("sid >= 0"), "row_hash")
+    sets = tables.put(texts.select("sid", "print1", "print2", "text").mapInArrow(lambda it: _fetch(it, n), "sid long, n long, tokens array<long>"), "sets", BLOOM)
     links = jaccard_links(posts, sets, percent, tables)
     classes = components(links, "a", "b", tables, "class")
     groups = narrow.where("n > 0").groupBy("print1", "print2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))

@@ -17,6 +17,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of an Arrow batch: few, since texts are long and both sides of the pipe hold a batch.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Lets Spark put a Bloom filter of the smaller side, of 8 MB at most (its default), over the larger one before that is shuffled.
+BLOOM = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0", "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g"}
 
 
 class Scratch:
@@ -25,15 +29,18 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes a table and reads it back. The shuffle files behind it go with the end of the write: nothing needs them again."""
+    def put(self, df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame:
+        """Writes a table, under settings of its own, and reads it back. The shuffle files behind it go with the end of the write: nothing needs them again."""
         path, conf = f"{self.root}/{name}", self.spark.conf
-        before = conf.get(CLEAN_UP, None)
-        conf.set(CLEAN_UP, "true")
+        settings = {CLEAN_UP: "true", BATCH: "2000"} | (settings or {})
+        before = {k: conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            conf.set(k, v)
         try:
             df.write.mode("overwrite").parquet(path)
         finally:
-            conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import BLOOM, Scratch
 from .words import _BASE, gather, mix, owner, powers, rebased, run_hashes, slices, texts_of, word_codes, word_hashes
 
 #: Words of the shortest passage, of the grams that are drawn, and how many grams the draw is among.
@@ -197,10 +197,12 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     counts = suffixes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = suffixes.join(counts, "key").select("doc_id", "row_hash", F.struct("place", F.expr(f"cast(ceil(n / {GROUP}.0D) AS int)").alias("parts")).alias("one"))
     shared = tables.put(shared.groupBy("doc_id", "row_hash").agg(F.collect_set("one").alias("shared")), "shared").withColumnRenamed("doc_id", "id").withColumnRenamed("row_hash", "hash")
-    texts = rows.join(shared, (F.col("row_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "row_hash", "text", "shared")
+    tables.drop("suffixes")
+    # the filter on hash holds for all rows: without one Spark makes no Bloom filter
+    texts = rows.join(shared.where("hash >= 0 OR hash < 0"), (F.col("row_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "row_hash", "text", "shared")
     schema = "key long, part long, parts long, doc_id long, row_hash long, place long, low long, high long, around binary"
     sorted_ = texts.mapInArrow(lambda it: _contexts(it, least, among), schema).repartition("key", "part").sortWithinPartitions("key", "part")
-    runs = tables.put(sorted_.mapInArrow(lambda it: _compare(it, least, among), SPANS), "runs")
+    runs = tables.put(sorted_.mapInArrow(lambda it: _compare(it, least, among), SPANS), "runs", BLOOM)
     # the parts of keys that were dealt out
     heads = runs.where("window IS NOT NULL")
     order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "row_hash", "low")
@@ -209,7 +211,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     spans = runs.where("window IS NULL").drop("window").unionByName(joined)
     grouped = spans.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("low", "high", "again")).alias("runs"), F.array_sort(F.collect_set("first_doc")).alias("also_in"))
     out = tables.put(grouped.mapInArrow(lambda it: _unions(it, least), "doc_id long, row_hash long, spans array<struct<start: long, words: long>>, removed array<struct<start: long, words: long>>, also_in array<long>"), "out")
-    tables.drop("suffixes", "shared", "runs")
+    tables.drop("shared", "runs")
     return out
 
 
