@@ -350,10 +350,10 @@ def batch_summary(t, spark, sf_dir):
     return batch.batch_summary(t("orders").select(status.alias("status"))).withColumn("success_rate", F.round("success_rate", 6))
 
 
-@query("SELECT event_id, round(user_id / 1000 * CASE WHEN event_id % 3 = 0 THEN 0.005 ELSE 0.00015 END + event_id / 1000 * CASE WHEN event_id % 3 = 0 THEN 0.015 ELSE 0.0006 END, 6) AS cost FROM events")
+@query("SELECT event_id, round(user_id / 1000 * CASE WHEN event_id % 3 = 0 THEN 0.005::DOUBLE ELSE 0.00015::DOUBLE END + event_id / 1000 * CASE WHEN event_id % 3 = 0 THEN 0.015::DOUBLE ELSE 0.0006::DOUBLE END, 9) AS cost FROM events")
 def token_cost(t, spark, sf_dir):
     name = F.when(F.col("event_id") % 3 == 0, "gpt-4o").when(F.col("event_id") % 3 == 1, "gpt-4o-mini").otherwise("unheard of")
-    return t("events").select("event_id", F.round(model.token_cost(name, F.col("user_id"), F.col("event_id")), 6).alias("cost"))
+    return t("events").select("event_id", F.round(model.token_cost(name, F.col("user_id"), F.col("event_id")), 9).alias("cost"))
 
 
 @query("SELECT event_id, user_id FROM (SELECT event_id, user_id, coalesce(sum(event_id % 7) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM events) WHERE before < 20")
