@@ -20,11 +20,11 @@ def batch_summary(results: DataFrame) -> DataFrame:
     return out.withColumn("success_rate", F.col("success") / F.greatest(F.col("total") - F.col("skipped"), F.lit(1)))
 
 
-def batch_report(results: DataFrame, seconds: float, generated: str) -> DataFrame:
+def batch_report(results: DataFrame, seconds: float, generated: str, extractor: str = "sheetwise") -> DataFrame:
     """Lines (ord, line) of the Markdown report; sort by ord when writing. Columns: file, status, confidence, output, error."""
     spark = results.sparkSession
     lines = lambda first, texts: spark.createDataFrame([(first, str(i).zfill(4), x) for i, x in enumerate(texts)], "part int, ord string, line string")
-    head = lines(0, ["# Datasheet ETL Batch Processing Report", "", f"**Generated:** {generated}", f"**Duration:** {seconds:.1f} seconds", "", "## Summary", "", "| Metric | Value |", "|--------|-------|"])
+    head = lines(0, ["# Batch Processing Report", "", f"**Generated:** {generated}", f"**Duration:** {seconds:.1f} seconds", "", "## Summary", "", "| Metric | Value |", "|--------|-------|"])
     cells = F.array(
         *[F.concat(F.lit(f"| {label} | "), F.col(c).cast("string"), F.lit(" |")) for label, c in (("Total Files", "total"), ("Success", "success"), ("Failed", "failed"), ("Skipped", "skipped"))],
         F.concat(F.lit("| Success Rate | "), percent(F.col("success_rate"), 1), F.lit(" |")),
@@ -34,7 +34,7 @@ def batch_report(results: DataFrame, seconds: float, generated: str) -> DataFram
     bad = results.where("status = 'failed'").select(F.lit(5).alias("part"), F.col("file").alias("ord"), F.concat(F.lit("| "), "file", F.lit(" | "), "error", F.lit(" |")).alias("line"))
     between = lines(2, ["", "## Successful Extractions", "", "| File | Confidence | Output |", "|------|------------|--------|"])
     errors = lines(4, ["", "## Errors", "", "| File | Error |", "|------|-------|"]).join(results.where("status = 'failed'").limit(1).select(F.lit(True).alias("any")), how="cross").drop("any")
-    foot = lines(6, ["", "---", "*Generated by Datasheet-ETL v0.4*"])
+    foot = lines(6, ["", "---", f"*Generated by {extractor}*"])
     every = head
     for part in (summary, between, done, errors, bad, foot):
         every = every.unionByName(part)

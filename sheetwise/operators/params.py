@@ -56,10 +56,10 @@ def wide_parameters(params: DataFrame, names: list[str] | None = None) -> DataFr
     return params.groupBy("doc_id").pivot("name", names).agg(F.first("num"))
 
 
-def importer_rows(documents: DataFrame) -> DataFrame:
-    """The 16 importer columns from doc_id, params (map), source_file, mpn, manufacturer and confidence; missing values are empty."""
+def importer_rows(documents: DataFrame, extractor: str = "sheetwise") -> DataFrame:
+    """The 16 importer columns from doc_id, params (map), source_file, mpn, manufacturer and confidence; missing values are empty, and the note names the extractor."""
     text = lambda name: F.coalesce(F.try_element_at(F.col("params"), F.lit(name)).cast("string"), F.lit(""))
-    note = F.concat(F.lit("Extracted by Datasheet-ETL v0.4 (confidence: "), percent(F.coalesce("confidence", F.lit(0.0))), F.lit(")"))
+    note = F.concat(F.lit(f"Extracted by {extractor} (confidence: "), percent(F.coalesce("confidence", F.lit(0.0))), F.lit(")"))
     columns = {"MPN": part_of_file(F.col("mpn"), F.col("source_file")), "Manufacturer": F.coalesce("manufacturer", F.lit("")), "Category": category(F.col("params")), "Description": F.lit("")}
     columns |= {c: text(p) for c, p in list(IMPORTER.items())}
     columns |= {"Package": F.lit(""), "Status": F.lit("Active"), "Datasheet_URL": F.lit(""), "Notes": note}

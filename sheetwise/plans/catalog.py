@@ -198,7 +198,7 @@ def category(t, spark, sf_dir):
 
 
 @query(f"""WITH {_WITH_IDS}, {sql.PARAMS.split("," + chr(10) + "mu AS", 1)[1].join(["mu AS", ""])}, w AS (SELECT doc_id, {_CATEGORY.replace("< 2000", "< 100")} AS category, count(*) FILTER (name = 'quiescent_current_typ') AS iq, count(*) FILTER (name = 'output_current_max') AS io FROM params GROUP BY doc_id)
-SELECT 'TPS' || doc_id AS mpn, category, iq, io, 'Extracted by Datasheet-ETL v0.4 (confidence: ' || printf('%d', CAST(round_even(round(confidence, 3) * 100, 0) AS INT)) || '%)' AS notes FROM w JOIN verdicts USING (doc_id)""")
+SELECT 'TPS' || doc_id AS mpn, category, iq, io, 'Extracted by sheetwise (confidence: ' || printf('%d', CAST(round_even(round(confidence, 3) * 100, 0) AS INT)) || '%)' AS notes FROM w JOIN verdicts USING (doc_id)""")
 def importer_rows(t, spark, sf_dir):
     verified = _verified(spark, sf_dir)
     docs = params.parameter_maps(params.long_parameters(verified)).join(verified.select("doc_id", F.round("confidence", 3).alias("confidence")), "doc_id")

@@ -93,7 +93,7 @@ def test_demo_pair(spark):
     assert numbers.count() + numbers.select("base").distinct().count() == 14
     docs = params.parameter_maps(numbers).withColumns({"source_file": F.lit("/x/lmr51430.pdf"), "mpn": F.lit(None).cast("string"), "manufacturer": F.lit(""), "confidence": F.lit(0.99)})
     row = params.importer_rows(docs).first().asDict()
-    assert list(row.values()) == ["LMR51430", "", "Buck Converter", "", "4.2", "36.0", "", "", "3.0", "25.0", "92.0", "400.0", "", "Active", "", "Extracted by Datasheet-ETL v0.4 (confidence: 99%)"]
+    assert list(row.values()) == ["LMR51430", "", "Buck Converter", "", "4.2", "36.0", "", "", "3.0", "25.0", "92.0", "400.0", "", "Active", "", "Extracted by sheetwise (confidence: 99%)"]
     about = done.select("doc_id", F.lit("/x/lmr51430.pdf").alias("source_file"), F.col("vision.confidence").alias("table_confidence"), "confidence", F.lit("double_verified_vision").alias("method"), F.array(F.lit("vision_table_1")).alias("table_ids"))
     record = params.review_records(numbers, about).first()
     assert record["manufacturer"] == "Texas Instruments" and set(record["params"]) == {"v_in_min", "v_in_max", "i_q", "i_q_max", "i_out_max", "fsw_min", "fsw", "fsw_max", "efficiency"}
