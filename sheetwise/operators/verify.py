@@ -40,6 +40,11 @@ ARBITERS: dict[str, Arbiter] = {"smart": smart_arbiter, "vision": vision_arbiter
 COMPARATORS: dict[str, Callable[[Column, Column], Column]] = {"numeric": numbers_match, "unit": units_match, "text": texts_match}
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, also where the optimizer moves it into a lambda's loop."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def cell(row: Column, key: Column) -> Column:
     """The text of a cell: empty where the key is missing, None for a null under a key."""
     return F.when(F.map_contains_key(row, key), F.coalesce(F.try_element_at(row, key), F.lit("None"))).otherwise("")
@@ -139,13 +144,15 @@ def verify_tables(pairs: DataFrame, tolerance: float = TOLERANCE, threshold: flo
     status = F.when(clean, "verified").when(F.col("_large"), "needs_review").when(raw < threshold, "conflict").otherwise("verified")
     method = F.when(rule.isNull(), "vision_only").when(F.size(conflicts) == 0, "perfect_match").when(F.col("_large"), "manual_required").when(raw < threshold, "low_confidence").otherwise("auto_resolved")
 
-    def merged(row: Column, i: Column) -> Column:
-        mine = F.filter(conflicts, lambda c: c["row_idx"] == i)
+    def merged(row: Column, mine: Column) -> Column:
         fresh = F.map_from_entries(F.transform(mine, lambda c: F.struct(c["key"].alias("key"), c["resolved_value"].alias("value"))))
-        kept = F.map_filter(row, lambda k, _: ~F.map_contains_key(fresh, k))
-        return F.when(F.size(mine) > 0, F.map_concat(kept, fresh)).otherwise(row)
+        apply = lambda f: F.map_concat(F.map_filter(row, lambda k, _: ~F.map_contains_key(f, k)), f)
+        return F.when(F.size(mine) > 0, bound(fresh, apply)).otherwise(row)
+
+    def merged_rows(found: Column) -> Column:
+        return F.transform(vision["rows"], lambda row, i: bound(F.filter(found, lambda c: c["row_idx"] == i), lambda mine: merged(row, mine)))
 
-    return out.withColumns({"confidence": raw, "status": status, "resolution_method": method, "merged_rows": F.transform(vision["rows"], merged)}).drop("_raw", "_large")
+    return out.withColumns({"confidence": raw, "status": status, "resolution_method": method, "merged_rows": bound(conflicts, merged_rows)}).drop("_raw", "_large")
 
 
 def exploded_conflicts(verified: DataFrame) -> DataFrame:
