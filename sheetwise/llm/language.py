@@ -102,27 +102,27 @@ class NgramModels:
 
 
 def word_grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Trigrams (three code points a row) of the marked words, and the word of each."""
+    """Trigrams (three code points of 21 bits in one number) of the marked words, and the word of each."""
     letters = pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{M}]+", "").to_pylist()
     marked = [START + START + w + STOP if w else "" for w in letters]
-    point = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
+    point = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.int64)
     size = np.fromiter(map(len, marked), np.int64, len(marked))
     begin = np.repeat(np.cumsum(size) - size, size)
     here = np.flatnonzero(np.arange(len(point)) - begin >= 2)
-    return np.stack([point[here - 2], point[here - 1], point[here]], axis=1), np.repeat(np.arange(len(size)), size)[here]
+    return point[here - 2] << 42 | point[here - 1] << 21 | point[here], np.repeat(np.arange(len(size)), size)[here]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text"):
+        for batch in slices(whole, "text", 3 << 20):
             codes, bounds, words = word_codes(texts_of(batch))
             langs = batch.column("lang").dictionary_encode()
             grams, word = word_grams(words)
             for k, lang in enumerate(langs.dictionary.to_pylist()):
                 n = np.bincount(codes[langs.indices.to_numpy()[owner(bounds)] == k], minlength=len(words))
-                kinds, at = np.unique(grams[n[word] > 0], axis=0, return_inverse=True)
-                total = np.bincount(at.ravel(), weights=n[word][n[word] > 0], minlength=len(kinds)).astype(np.int64)
-                text = kinds.astype("<u4").tobytes().decode("utf-32-le")
+                kinds, at = np.unique(grams[n[word] > 0], return_inverse=True)
+                total = np.bincount(at, weights=n[word][n[word] > 0], minlength=len(kinds)).astype(np.int64)
+                text = (kinds[:, None] >> np.array([42, 21, 0]) & ((1 << 21) - 1)).astype("<u4").tobytes().decode("utf-32-le")
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(kinds), pa.string()), "gram": pa.array([text[i : i + 3] for i in range(0, len(text), 3)], pa.string()), "n": pa.array(total)})
 
 
@@ -194,14 +194,14 @@ def _predict(batch: pa.RecordBatch, models: NgramModels | None) -> tuple[np.ndar
 
 def _identified(batches: Iterator[pa.RecordBatch], models: NgramModels | None) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 6 << 20):
+        for batch in slices(whole, "text", 2 << 20):
             pred, score, sets = _predict(batch, models)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(sets, pa.string())], ["doc_id", "lang_pred", "score", "languages"])
 
 
 def _accepted(batches: Iterator[pa.RecordBatch], models: NgramModels | None, least: float) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 6 << 20):
+        for batch in slices(whole, "text", 2 << 20):
             pred, score, _ = _predict(batch, models)
             yield batch.filter(pa.array((pred != UNDETERMINED) & (score >= least)))
 

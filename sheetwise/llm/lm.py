@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import BLOOM, Scratch
 from .tokens import WordTokenizer, tokenizer_path
-from .words import owner, slices, texts_of
+from .words import slices, texts_of
 
 #: Bytes of text of a chunk: the documents whose bigrams are asked for together.
 CHUNK = 6 << 20
@@ -26,39 +26,44 @@ def bigrams(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return before << 16 | ids.astype(np.int64)
 
 
+def _encoded(tokenizer: WordTokenizer, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    ids, bounds, *_ = tokenizer.encode(texts_of(batch))
+    if ids.max(initial=0) >= BEGIN:
+        raise ValueError("the vocabulary must have fewer than 65,535 ids")
+    return ids, bounds
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """One row for each chunk: the rows' doc_ids and targets, the bounds and the 16-bit ids of their texts."""
+    """One row for each chunk: the rows' doc_ids, the bounds and the 16-bit ids of their texts."""
     from pyspark import TaskContext
 
     tokenizer, task, number = WordTokenizer(path), TaskContext.get().partitionId(), 0
     for whole in batches:
         for batch in slices(whole, "text", CHUNK):
-            ids, bounds, *_ = tokenizer.encode(texts_of(batch))
-            if ids.max(initial=0) >= BEGIN:
-                raise ValueError("the vocabulary must have fewer than 65,535 ids")
+            ids, bounds = _encoded(tokenizer, batch)
             columns = {
                 "chunk": pa.array([(task << 32) | number]), "doc_ids": pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                "target": pa.array([batch.column("target").to_pylist()], pa.list_(pa.bool_())), "bounds": pa.array([bounds], pa.list_(pa.int64())), "ids": pa.array([ids.astype("<u2").tobytes()], pa.binary()),
+                "bounds": pa.array([bounds], pa.list_(pa.int64())), "ids": pa.array([ids.astype("<u2").tobytes()], pa.binary()),
             }
             number += 1
             yield pa.RecordBatch.from_pydict(columns)
 
 
-def _opened(batch: pa.RecordBatch) -> Iterator[tuple[int, list, np.ndarray, np.ndarray, np.ndarray]]:
-    for k in range(batch.num_rows):
-        ids = np.frombuffer(batch.column("ids")[k].as_py(), "<u2")
-        bounds = np.asarray(batch.column("bounds")[k].values)
-        yield batch.column("chunk")[k].as_py(), batch.column("doc_ids")[k].as_py(), np.array(batch.column("target")[k].as_py(), bool), bounds, bigrams(ids, bounds)
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each chunk's distinct bigrams, with their counts in all its texts and in those of the target."""
+    """Each chunk's distinct bigrams and their counts."""
     for batch in batches:
-        for chunk, _, target, bounds, keys in _opened(batch):
-            distinct, at = np.unique(keys, return_inverse=True)
-            n = np.bincount(at, minlength=len(distinct))
-            t = np.bincount(at[target[owner(bounds)]], minlength=len(distinct))
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(np.full(len(distinct), chunk)), "bigram": pa.array(distinct), "n": pa.array(n.astype(np.int64)), "t": pa.array(t.astype(np.int64))})
+        for k in range(batch.num_rows):
+            ids, bounds = np.frombuffer(batch.column("ids")[k].as_py(), "<u2"), np.asarray(batch.column("bounds")[k].values)
+            distinct, n = np.unique(bigrams(ids, bounds), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array(np.full(len(distinct), batch.column("chunk")[k].as_py())), "bigram": pa.array(distinct), "n": pa.array(n)})
+
+
+def _count_texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    tokenizer = WordTokenizer(path)
+    for whole in batches:
+        for batch in slices(whole, "text", CHUNK):
+            distinct, n = np.unique(bigrams(*_encoded(tokenizer, batch)), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"bigram": pa.array(distinct), "t": pa.array(n)})
 
 
 def _score(key: tuple, chunks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -98,12 +103,15 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, path: str | Non
     """
     spark = docs.sparkSession
     tables, path = Scratch(spark, "lm"), path or tokenizer_path()
-    named = target.select(F.col("doc_id").cast("long").alias("id")).where("id IS NOT NULL").distinct().withColumn("hit", F.lit(True))
+    named = tables.put(target.select(F.col("doc_id").cast("long").alias("id")).where("id IS NOT NULL").distinct(), "named")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = rows.join(named, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", F.coalesce("hit", F.lit(False)).alias("target"))
-    chunks = tables.put(rows.mapInArrow(lambda it: _chunks(it, path), "chunk long, doc_ids array<long>, target array<boolean>, bounds array<long>, ids binary"), "chunks")
-    asked = tables.put(chunks.mapInArrow(_count, "chunk long, bigram long, n long, t long"), "asked")
-    counts = tables.put(asked.groupBy("bigram").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "counts")
+    chunks = tables.put(rows.mapInArrow(lambda it: _chunks(it, path), "chunk long, doc_ids array<long>, bounds array<long>, ids binary"), "chunks")
+    asked = tables.put(chunks.mapInArrow(_count, "chunk long, bigram long, n long"), "asked")
+    # the filter on id holds for all rows: without one Spark makes no Bloom filter
+    aimed = rows.join(named.where(F.col("id") >= F.lit(-(1 << 63))), F.col("doc_id") == F.col("id")).select("text")
+    aimed = tables.put(aimed.mapInArrow(lambda it: _count_texts(it, path), "bigram long, t long"), "aimed", BLOOM)
+    both = asked.select("bigram", "n", F.lit(0).cast("long").alias("t")).unionAll(aimed.select("bigram", F.lit(0).cast("long"), "t"))
+    counts = tables.put(both.groupBy("bigram").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "counts")
     token, history = F.expr("cast(bigram & 65535 AS int)").alias("token"), F.expr("cast(shiftright(bigram, 16) AS int)").alias("history")
     words = counts.groupBy(token).agg(F.sum("n").alias("wn"), F.sum("t").alias("wt"))
     before = counts.groupBy(history).agg(F.sum("n").alias("hn"), F.sum("t").alias("ht"), F.count("*").alias("kn"), F.sum((F.col("t") > 0).cast("long")).alias("kt"))
@@ -117,6 +125,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, path: str | Non
     loss_t = f"CASE WHEN ht > 0 THEN {_witten_bell('t', 'ht', 'kt', low_t)} ELSE -ln({low_t}) END"
     model = tables.put(full.select("bigram", F.expr(loss_t).alias("loss_t"), F.expr(_witten_bell("n", "hn", "kn", low_n)).alias("loss_b")), "model")
     answers = asked.select("chunk", "bigram").join(model, "bigram")
+    tables.drop("aimed", "counts")
     scored = chunks.select("chunk", "doc_ids", "bounds", "ids").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_score, "doc_id long, n_tokens long, target_loss double, background_loss double")
     return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 

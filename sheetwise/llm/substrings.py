@@ -199,7 +199,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     shared = tables.put(shared.groupBy("doc_id", "row_hash").agg(F.collect_set("one").alias("shared")), "shared").withColumnRenamed("doc_id", "id").withColumnRenamed("row_hash", "hash")
     tables.drop("suffixes")
     # the filter on hash holds for all rows: without one Spark makes no Bloom filter
-    texts = rows.join(shared.where("hash >= 0 OR hash < 0"), (F.col("row_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "row_hash", "text", "shared")
+    texts = rows.join(shared.where(F.col("hash") >= F.lit(-(1 << 63))), (F.col("row_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "row_hash", "text", "shared")
     schema = "key long, part long, parts long, doc_id long, row_hash long, place long, low long, high long, around binary"
     sorted_ = texts.mapInArrow(lambda it: _contexts(it, least, among), schema).repartition("key", "part").sortWithinPartitions("key", "part")
     runs = tables.put(sorted_.mapInArrow(lambda it: _compare(it, least, among), SPANS), "runs", BLOOM)

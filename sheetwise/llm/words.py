@@ -19,6 +19,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 12 << 20) -> Iterator
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def rebased(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
