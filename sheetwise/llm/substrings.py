@@ -1,5 +1,6 @@
 """Repeated passages over documents, by sparse suffix arrays at minimiser positions."""
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,14 +107,16 @@ def _classes(hashes: np.ndarray, doc: np.ndarray, row_hash: np.ndarray, start: n
     return order, np.repeat(head, size), np.repeat(size, size)
 
 
-SPANS = "doc_id long, row_hash long, low long, high long, again boolean, first_doc long, window long"
+SPANS = "doc_id long, row_hash long, low long, high long, again boolean, first_doc long, window long, head long, head_low long"
 
 
 def _compare(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Iterator[pa.RecordBatch]:
     """Neighbours among sorted suffixes of a key, extended to the left and right as far as `least` words.
 
-    Rows: runs of window starts that stand elsewhere too. For keys dealt over several parts also the
-    first window of each class in the part (window not null), for the parts to be put together.
+    Rows: runs of window starts that stand elsewhere too, with their first document. For keys dealt over
+    several parts, for the parts to be put together: the first window of each class in the part (window not
+    null; again: whether others of the class are in the part) with its suffix as head, and the runs of the others with the
+    suffix of their first windows as head, from head_low on.
     """
     rest: pa.Table | None = None
     for batch in batches:
@@ -147,25 +150,30 @@ def _runs(table: pa.Table, least: int, among: int) -> Iterator[pa.RecordBatch]:
     group = mix(column["key"].astype(np.uint64) ^ mix(column["part"].astype(np.uint64)))
     window, at = hashes[of, k], start[of, k]
     order, head, size = _classes(window ^ group[of], doc[of], column["row_hash"][of], at)
-    first_doc = doc[of[order[head]]]
     found, begins = of[order], at[order]
-    again = head != np.arange(len(order))
-    pick = np.flatnonzero(size > 1)
-    if len(pick):  # runs of starts with the same suffix, state and first document
+    again, dealt = head != np.arange(len(order)), column["parts"][found] > 1
+    first = found[head]
+    suffix = mix(group ^ mix(column["row_hash"].astype(np.uint64) ^ mix(column["place"].astype(np.uint64)))).astype(np.int64)
+    pick = np.flatnonzero((size > 1) & (again | ~dealt))
+    if len(pick):  # runs of starts with the same suffix, state and first document; in dealt keys also the same first suffix, in step
         s = pick[np.lexsort((begins[pick], found[pick]))]
-        new = np.append(True, (found[s][1:] != found[s][:-1]) | (begins[s][1:] != begins[s][:-1] + 1) | (again[s][1:] != again[s][:-1]) | (first_doc[s][1:] != first_doc[s][:-1]))
+        other, step = column["row_hash"][first[s]], begins[s] - begins[head[s]]
+        new = np.append(True, (found[s][1:] != found[s][:-1]) | (begins[s][1:] != begins[s][:-1] + 1) | (again[s][1:] != again[s][:-1]) | (other[1:] != other[:-1]) | (dealt[s][1:] & ((first[s][1:] != first[s][:-1]) | (step[1:] != step[:-1]))))
         lo = np.flatnonzero(new)
         hi = np.append(lo[1:], len(s)) - 1
-        yield _spans(doc_ids, column, found[s[lo]], begins[s[lo]], begins[s[hi]], again[s[lo]], first_doc[s[lo]], None)
-    pick = np.flatnonzero((column["parts"][found] > 1) & ~again)
+        yield _spans(doc_ids, column, found[s[lo]], begins[s[lo]], begins[s[hi]], again[s[lo]], first[s[lo]], None, suffix[first[s[lo]]], begins[head[s[lo]]], ~dealt[s[lo]])
+    pick = np.flatnonzero(dealt & ~again)
     if len(pick):
-        yield _spans(doc_ids, column, found[pick], begins[pick], begins[pick], np.zeros(len(pick), bool), first_doc[pick], window[order[pick]] ^ mix(column["key"][found[pick]].astype(np.uint64)))
+        key = window[order[pick]] ^ mix(column["key"][found[pick]].astype(np.uint64))
+        yield _spans(doc_ids, column, found[pick], begins[pick], begins[pick], size[pick] > 1, first[pick], key, suffix[found[pick]], begins[pick], np.zeros(len(pick), bool))
 
 
-def _spans(doc_ids, column, row, low, high, again, first, window) -> pa.RecordBatch:
-    none = first == np.iinfo(np.int64).max
+def _spans(doc_ids, column, row, low, high, again, first, window, head, head_low, alone) -> pa.RecordBatch:
     windows = pa.nulls(len(row), pa.int64()) if window is None else pa.array(window.astype(np.int64))
-    return pa.RecordBatch.from_arrays([doc_ids.take(pa.array(row)), pa.array(column["row_hash"][row]), pa.array(low), pa.array(high), pa.array(again), pa.array(first, mask=none), windows], ["doc_id", "row_hash", "low", "high", "again", "first_doc", "window"])
+    return pa.RecordBatch.from_arrays(
+        [doc_ids.take(pa.array(row)), pa.array(column["row_hash"][row]), pa.array(low), pa.array(high), pa.array(again), doc_ids.take(pa.array(first)), windows, pa.array(head, mask=alone), pa.array(head_low, mask=alone)],
+        ["doc_id", "row_hash", "low", "high", "again", "first_doc", "window", "head", "head_low"],
+    )
 
 
 def row_key(docs: DataFrame):
@@ -184,9 +192,10 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     compared with the other parts', so no task holds a hot passage whole.
 
     One row for each document with a repeated passage: doc_id, row_hash (of doc_id and text),
-    spans (array of first word, words: the union of repeated windows), removed (the words of them
-    that are not the first occurrence in the order of doc_id, nulls last, and place), also_in (doc_ids
-    of the first documents with the same windows, of each part that was compared). Null doc_id is a document like others; repeated rows
+    spans (array of first word, words: the union of repeated windows; also_in: the doc_ids of the first
+    documents of all these windows, ascending, null last for a null doc_id; of a window that stands here first, the document's own),
+    removed (the words of them that are not the first occurrence in the order of doc_id, nulls last, and
+    place). Null doc_id is a document like others; repeated rows
     (same doc_id and text) count as one document; null, empty or short texts and an empty table have
     no passages; other columns are ignored.
     """
@@ -204,14 +213,18 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     sorted_ = texts.mapInArrow(lambda it: _contexts(it, least, among), schema).repartition("key", "part").sortWithinPartitions("key", "part")
     runs = tables.put(sorted_.mapInArrow(lambda it: _compare(it, least, among), SPANS), "runs", BLOOM)
     # the parts of keys that were dealt out
-    heads = runs.where("window IS NOT NULL")
-    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "row_hash", "low")
-    firsts = heads.groupBy("window").agg(F.min(order).alias("least"), F.count("*").alias("n")).where("n > 1")
-    joined = heads.join(firsts, "window").select("doc_id", "row_hash", "low", "high", (order != F.col("least")).alias("again"), F.col("least.doc").alias("first_doc"))
-    spans = runs.where("window IS NULL").drop("window").unionByName(joined)
-    grouped = spans.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("low", "high", "again")).alias("runs"), F.array_sort(F.collect_set("first_doc")).alias("also_in"))
-    out = tables.put(grouped.mapInArrow(lambda it: _unions(it, least), "doc_id long, row_hash long, spans array<struct<start: long, words: long>>, removed array<struct<start: long, words: long>>, also_in array<long>"), "out")
-    tables.drop("shared", "runs")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc"), "row_hash", "low")
+    heads = runs.where("window IS NOT NULL").withColumn("order", order)
+    firsts = heads.groupBy("window").agg(F.min("order").alias("least"), F.count("*").alias("n"))
+    heads = tables.put(heads.join(firsts, "window").select("doc_id", "row_hash", "low", "high", (F.col("order") != F.col("least")).alias("later"), F.expr("n > 1 OR again").alias("counts"), "head", F.col("least.doc").alias("first_doc")), "heads")
+    of_head = heads.groupBy("head").agg(F.collect_list(F.struct("low", "first_doc")).alias("known"))
+    known = F.expr("array_distinct(transform(filter(known, x -> x.low BETWEEN head_low AND head_low + high - low), x -> x.first_doc))")
+    spans = runs.where("window IS NULL AND head IS NULL").select("doc_id", "row_hash", "low", "high", "again", F.array("first_doc").alias("also_in"))
+    spans = spans.unionByName(runs.where("window IS NULL AND head IS NOT NULL").join(of_head, "head").select("doc_id", "row_hash", "low", "high", "again", known.alias("also_in")))
+    spans = spans.unionByName(heads.where("counts").select("doc_id", "row_hash", "low", "high", F.col("later").alias("again"), F.array("first_doc").alias("also_in")))
+    grouped = spans.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("low", "high", "again", "also_in")).alias("runs"))
+    out = tables.put(grouped.mapInArrow(lambda it: _unions(it, least), "doc_id long, row_hash long, spans array<struct<start: long, words: long, also_in: array<long>>>, removed array<struct<start: long, words: long>>"), "out")
+    tables.drop("shared", "runs", "heads")
     return out
 
 
@@ -243,6 +256,7 @@ def _minus(runs: list[tuple[int, int]], without: list[tuple[int, int]]) -> list[
 
 def _unions(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))
+    named = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("also_in", pa.list_(pa.int64()))]))
     for batch in batches:
         spans, removed = [], []
         for runs in batch.column("runs").to_pylist():
@@ -251,9 +265,12 @@ def _unions(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
             again = {w for r in runs if r["again"] for w in range(r["low"], r["high"] + 1)}
             kept = [(w, w + least) for r in runs if not r["again"] for w in range(r["low"], r["high"] + 1) if w not in again]
             gone = _minus(_union([(r["low"], r["high"] + least) for r in runs if r["again"]]), _union(kept))
-            spans.append([{"start": a, "words": b - a} for a, b in every])
+            begin, firsts = [a for a, _ in every], [set() for _ in every]
+            for r in runs:
+                firsts[bisect_right(begin, r["low"]) - 1].update(r["also_in"])
+            spans.append([{"start": a, "words": b - a, "also_in": sorted(f, key=lambda x: (x is None, x))} for (a, b), f in zip(every, firsts, strict=True)])
             removed.append([{"start": a, "words": b - a} for a, b in gone])
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_hash"), pa.array(spans, kind), pa.array(removed, kind), batch.column("also_in")], ["doc_id", "row_hash", "spans", "removed", "also_in"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_hash"), pa.array(spans, named), pa.array(removed, kind)], ["doc_id", "row_hash", "spans", "removed"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,5 +309,5 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
 def op9_passages(spark, sf_dir: str) -> DataFrame:
     found = repeated_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    one = found.select("doc_id", F.explode("spans").alias("span"), F.expr("aggregate(removed, 0L, (s, r) -> s + r.words)").alias("removed_words"), F.col("also_in")[0].alias("match_doc_id"))
-    return one.select("doc_id", F.col("span.start").alias("start_word"), F.col("span.words").alias("n_words"), "removed_words", "match_doc_id")
+    one = found.select("doc_id", F.explode("spans").alias("span"), F.expr("aggregate(removed, 0L, (s, r) -> s + r.words)").alias("removed_words"))
+    return one.select("doc_id", F.col("span.start").alias("start_word"), F.col("span.words").alias("n_words"), "removed_words", F.col("span.also_in").alias("match_doc_ids"))

@@ -392,6 +392,33 @@ def test_repeated_passages(spark, monkeypatch, group):
     assert substrings.repeated_passages(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("group", [4096, 2])
+def test_passages_name_all_partners(spark, monkeypatch, tmp_path, group):
+    monkeypatch.setattr(substrings, "GROUP", group)
+    make = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    p1, p2, p3, p4 = (make(f"p{k}x", 60 + k) for k in range(4))
+    data = [(2, f"{p1} {make('a', 20)}"), (5, f"{make('b', 10)} {p2}"), (9, f"{p1} {make('c', 30)} {p2}"), (11, f"{p1} {p2}"), (7, f"{make('h', 3)} {p1}"), (8, f"{p2} {make('i', 3)}"), (None, f"{p3} {make('d', 9)} {p3}"), (12, f"{p4} {make('e', 7)} {p1}"), (None, f"{make('f', 5)} {p4}"), (13, make("g", 80)), ((1 << 63) - 1, f"{p4} {make('j', 70)}")]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    windows, least, cover = defaultdict(list), {}, defaultdict(set)
+    for i, t in data:
+        w = words(t)
+        for s in range(len(w) - 49):
+            windows[tuple(w[s : s + 50])].append(((i is None, i), t, s))
+    for places in windows.values():
+        for (_, i), t, s in places if len(places) > 1 else ():
+            least[i, t, s] = min(places)[0][1]
+            cover[i, t].update(range(s, s + 50))
+    want = []
+    for (i, t), at in cover.items():
+        for a in sorted(x for x in at if x - 1 not in at):
+            b = next(x for x in range(a, 1000) if x not in at)
+            want.append((i, a, b - a, tuple(sorted({least[i, t, s] for s in range(a, b - 49) if (i, t, s) in least}, key=lambda x: (x is None, x)))))
+    got = substrings.op9_passages(spark, str(tmp_path)).collect()
+    assert sorted(((r["doc_id"], r["start_word"], r["n_words"], tuple(r["match_doc_ids"])) for r in got), key=repr) == sorted(want, key=repr)
+    by = {(r["doc_id"], r["start_word"]): r["match_doc_ids"] for r in got}
+    assert by[9, 0] == [2] and by[9, 90] == [5] and by[11, 0] == [2, 5] and by[None, 0] == [None]
+
+
 # language ----------------------------------------------------------------------------------------
 
 
