@@ -167,8 +167,6 @@ def mixture(relative: np.ndarray, bounds: np.ndarray, rounds: int = 8, penalty:
         share, ll = fit(start / start.sum(axis=1, keepdims=True), 0 if k == 1 else 3)
         score = ll - penalty * (k - 1) * np.log(n[:, 0] + 1)
         better = score > best_score
-        if not better.any():
-            break
         best, best_score = np.where(better[:, None], share, best), np.where(better, score, best_score)
     return best
 

@@ -450,3 +450,13 @@ def test_mixture_chooses_by_penalty():
     share = language.mixture(np.concatenate([clear, clear[:30]]), np.array([0, 40, 70]))
     np.testing.assert_allclose(share[0], [0.75, 0.25], atol=0.01)
     assert share[1].tolist() == [1, 0]
+
+
+def test_mixture_judges_each_text_alone():
+    # a close relative of the first language gains nothing, the third language much
+    close = np.array([[1, 0.95, 1e-6]] * 24 + [[1e-6, 1e-6, 1]] * 6, np.float32)
+    other = np.array([[1, 1e-6, 1e-6]] * 20 + [[1e-6, 1, 1e-6]] * 20, np.float32)
+    alone = language.mixture(close, np.array([0, 30]))
+    beside = language.mixture(np.concatenate([other, close]), np.array([0, 40, 70]))
+    assert alone[0, 2] > 0.1
+    np.testing.assert_allclose(alone[0], beside[1], atol=1e-6)
