@@ -78,7 +78,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch
             first, second = _prints(tokens, bounds)
             same = (first == batch.column("print1").to_numpy()) & (second == batch.column("print2").to_numpy())
             keep = pa.array(same)
-            yield pa.RecordBatch.from_arrays([batch.column("sid").filter(keep), pa.array(np.diff(bounds)).filter(keep), _lists(tokens, bounds).filter(keep)], ["sid", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("sid").filter(keep), batch.column("copies").filter(keep), pa.array(np.diff(bounds)).filter(keep), _lists(tokens, bounds).filter(keep)], ["sid", "copies", "n", "tokens"])
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 2048) -> np.ndarray:
@@ -131,7 +131,10 @@ def _blocks(percent: int):
         links = 100 * both >= percent * (na[:, None] + nb[None, :] - both)
         if i == j:
             links = np.triu(links, 1)
-        return pd.DataFrame(_spanning(links, a["sid"].tolist(), b["sid"].tolist()), columns=["a", "b"], dtype="int64")
+        forest = pd.DataFrame(_spanning(links, a["sid"].tolist(), b["sid"].tolist()), columns=["a", "b"], dtype="int64").assign(n_a=0, n_b=0)
+        counts = pd.concat([pd.DataFrame({"a": a["sid"], "n_a": links @ b["copies"].to_numpy(np.int64)}), pd.DataFrame({"a": b["sid"], "n_a": links.T @ a["copies"].to_numpy(np.int64)})]).groupby("a", as_index=False).sum()
+        counts = counts[counts["n_a"] > 0].assign(b=None, n_b=None)
+        return pd.concat([forest, counts]).astype({"a": "Int64", "b": "Int64", "n_a": "Int64", "n_b": "Int64"})[["a", "b", "n_a", "n_b"]]
 
     return joined
 
@@ -169,13 +172,15 @@ def _least(percent: int) -> str:
 
 
 def jaccard_links(posts: DataFrame, sets: DataFrame, percent: int, tables: Scratch) -> DataFrame:
-    """Links (a, b) that connect every two sets with Jaccard similarity of at least `percent` / 100, directly or in steps.
+    """Links (a, b) that connect every two sets with Jaccard similarity of at least `percent` / 100, directly or in steps, and counts of all links.
+
+    The sum of n_a by a and n_b by b is the number of documents (copies) in sets that link with a set; rows of counts alone have a null b.
 
     Lists of up to SHORT sets are paired, with length, positional and suffix filters (the suffix
     filter compares the sizes of hash parts), and each distinct pair is verified once. Longer
     lists mark families of near copies; a family is cut into blocks of about BLOCK sets and each pair of
     blocks is verified in one task by matrix products, so every pair is again verified once and no
-    task holds more than two blocks.
+    task holds more than two blocks. Pairs of short lists within a family are left to its blocks.
     """
     # long lists: families, blocks, matrix products
     stars = posts.where(f"len > {SHORT} AND sid <> head").select("sid", "head")
@@ -184,7 +189,7 @@ def jaccard_links(posts: DataFrame, sets: DataFrame, percent: int, tables: Scrat
     dealt = family.join(count, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.select(F.col("node").alias("sid"), "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("sid", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    within = dealt.join(sets.select("sid", "tokens"), "sid").groupBy("root", "i", "j").applyInPandas(_blocks(percent), "a long, b long")
+    within = dealt.join(sets.select("sid", "copies", "tokens"), "sid").groupBy("root", "i", "j").applyInPandas(_blocks(percent), "a long, b long, n_a long, n_b long")
     # short lists: filtered pairs, each once
     some = posts.where(f"len <= {SHORT}")
     a, b = (some.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("sid", "n", "alone", "parts", "at")]) for k in "ab")
@@ -192,10 +197,15 @@ def jaccard_links(posts: DataFrame, sets: DataFrame, percent: int, tables: Scrat
     pairs = pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     pairs = pairs.where("least(at_a, at_b) + least(n_a - alone_a - at_a, n_b - alone_b - at_b) >= need")
     pairs = pairs.where("aggregate(zip_with(parts_a, parts_b, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= need")
-    pairs = tables.put(pairs.select("sid_a", "sid_b", "need").distinct(), "pairs")
-    left, right = (sets.select(F.col("sid").alias(f"sid_{k}"), F.col("tokens").alias(f"tokens_{k}")) for k in "ab")
+    pairs = pairs.select("sid_a", "sid_b", "need").distinct()
+    for k in "ab":
+        pairs = pairs.join(family.select(F.col("node").alias(f"sid_{k}"), F.col("root").alias(f"root_{k}")), f"sid_{k}", "left")
+    pairs = tables.put(pairs.where("root_a IS NULL OR root_b IS NULL OR root_a <> root_b").select("sid_a", "sid_b", "need"), "pairs")
+    left, right = (sets.select(F.col("sid").alias(f"sid_{k}"), F.col("copies").alias(f"copies_{k}"), F.col("tokens").alias(f"tokens_{k}")) for k in "ab")
     checked = pairs.join(left, "sid_a").join(right, "sid_b").where(F.size(F.array_intersect("tokens_a", "tokens_b")) >= F.col("need"))
-    return tables.put(within.unionByName(checked.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"))), "links")
+    # a text that stands in several rows was read as often
+    checked = checked.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b"), F.col("copies_b").alias("n_a"), F.col("copies_a").alias("n_b")).distinct()
+    return tables.put(within.unionByName(checked), "links")
 
 
 def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -209,7 +219,8 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     joined by `jaccard_links`; similarity is that of the sets of 64-bit hashes.
 
     Rows: doc_id, n_shingles, component_id (the smallest doc_id that links lead to), row_hash (of doc_id and
-    text), class (the same for all rows of a class, null without words). One row for every input
+    text), class (the same for all rows of a class, null without words), n_links (the other rows whose set
+    is equal or has that similarity, each counted whether or not its link was needed for the class). One row for every input
     row: repeated rows share a class; a null doc_id is never a class's smallest unless all are
     null; other columns are ignored; an empty table gives no rows.
     Groups, pairs and classes stay in tables; the driver sees counts alone.
@@ -223,25 +234,28 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     posts = candidate_posts(prefixes, tables)
     narrow = tables.put(described.select("row", "doc_id", "n", "print1", "print2", "row_hash"), "rows")
     tables.drop("described")
+    groups = tables.put(narrow.where("n > 0").groupBy("print1", "print2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "groups")
     some = posts.select("sid").distinct()
-    wanted = tables.put(prefixes.select("print1", "print2", F.col("row").alias("sid")).join(some, "sid").join(narrow.select(F.col("row").alias("sid"), "row_hash"), "sid"), "wanted")
+    wanted = prefixes.select("print1", "print2", F.col("row").alias("sid")).join(some, "sid").join(narrow.select(F.col("row").alias("sid"), "row_hash"), "sid")
+    wanted = tables.put(wanted.join(groups.select("print1", "print2", "copies"), ["print1", "print2"]), "wanted")
     # the filter on sid holds for all rows: without one Spark makes no Bloom filter
     texts = rows.withColumn("row_hash", row_key(docs)).join(wanted.where("sid >= 0"), "row_hash")
-    sets = tables.put(texts.select("sid", "print1", "print2", "text").mapInArrow(lambda it: _fetch(it, n), "sid long, n long, tokens array<long>"), "sets", BLOOM)
+    sets = tables.put(texts.select("sid", "copies", "print1", "print2", "text").mapInArrow(lambda it: _fetch(it, n), "sid long, copies long, n long, tokens array<long>"), "sets", BLOOM)
     links = jaccard_links(posts, sets, percent, tables)
-    classes = components(links, "a", "b", tables, "class")
-    groups = narrow.where("n > 0").groupBy("print1", "print2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    named = groups.join(wanted.select("print1", "print2", "sid"), ["print1", "print2"], "left").join(classes.withColumnRenamed("node", "sid"), "sid", "left")
-    named = tables.put(named.where("root IS NOT NULL OR copies > 1").select("print1", "print2", "least", "root"), "named")
+    classes = components(links.where("b IS NOT NULL"), "a", "b", tables, "class")
+    degrees = links.select(F.col("a").alias("sid"), F.col("n_a").alias("n")).unionAll(links.select("b", "n_b")).where("n > 0").groupBy("sid").agg(F.sum("n").alias("others"))
+    linked = wanted.select("print1", "print2", "sid").join(classes.withColumnRenamed("node", "sid"), "sid").join(degrees, "sid").drop("sid")
+    named = groups.join(linked, ["print1", "print2"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
+    named = tables.put(named.where("root IS NOT NULL OR copies > 1").select("print1", "print2", "least", "root", "n_links"), "named")
     of_root = named.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("least"), F.min(F.xxhash64("print1", "print2")).alias("class"))
-    linked = named.drop("least").where("root IS NOT NULL").join(of_root, "root").select("print1", "print2", "least", "class")
-    final = tables.put(linked.unionByName(named.where("root IS NULL").select("print1", "print2", "least", F.xxhash64("print1", "print2").alias("class"))), "final")
-    tables.drop("prefixes", "posts", "wanted", "sets", "families", "pairs", "links", "named")
+    linked = named.drop("least").where("root IS NOT NULL").join(of_root, "root").select("print1", "print2", "least", "class", "n_links")
+    final = tables.put(linked.unionByName(named.where("root IS NULL").select("print1", "print2", "least", F.xxhash64("print1", "print2").alias("class"), "n_links")), "final")
+    tables.drop("prefixes", "posts", "wanted", "sets", "families", "pairs", "links", "groups", "named")
     out = narrow.join(final, ["print1", "print2"], "left")
     words = F.col("n") > 0
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(words, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        "row_hash", F.when(words, F.coalesce("class", F.xxhash64("print1", "print2"))).alias("class"),
+        "row_hash", F.when(words, F.coalesce("class", F.xxhash64("print1", "print2"))).alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
@@ -268,4 +282,4 @@ def keep_one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def op6_jaccard(spark, sf_dir: str) -> DataFrame:
-    return near_duplicate_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90).select("doc_id", "n_shingles", "component_id")
+    return near_duplicate_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90).select("doc_id", "n_shingles", "component_id", "n_links")

@@ -353,6 +353,23 @@ def test_salvage():
     assert warc.salvage(altered).gaps[0][2] == "block digest differs"
 
 
+# links --------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("short, block", [(8, 256), (1, 3), (3, 4)])
+def test_jaccard_counts_all_links(spark, monkeypatch, short, block):
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    data = rows()
+    sets = []
+    for r in data:
+        w = words(r[1], lower=True)
+        sets.append({tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if w else set())
+    want = [(r[0], sum(i != j and 10 * len(a & b) >= 8 * len(a | b) > 0 for j, b in enumerate(sets))) for i, (r, a) in enumerate(zip(data, sets, strict=True))]
+    got = collected(jaccard.near_duplicate_classes(frame(spark), 5, 80).select("doc_id", "n_links"))
+    assert got == sorted(want, key=key) and max(n for _, n in want) > 5
+
+
 # passages ----------------------------------------------------------------------------------------
 
 
