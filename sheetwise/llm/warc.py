@@ -18,6 +18,8 @@ from .words import slices
 MEMBER, VERSION = b"\x1f\x8b\x08", b"WARC/1.1\r\n"
 DATE = "2000-01-01T00:00:00Z"
 _HEAD = re.compile(rb"WARC/1\.[01]\r\n")
+#: Headers that a record has once at most; repeated others are joined by ", ".
+SINGLE = {"content-length", "content-type", "x-payload-length"} | {f"warc-{x}" for x in ("type", "record-id", "date", "target-uri", "payload-digest", "block-digest", "ip-address", "refers-to", "refers-to-target-uri", "refers-to-date", "profile", "truncated", "warcinfo-id", "filename", "identified-payload-type", "segment-number", "segment-origin-id", "segment-total-length")}
 
 
 def base32(sha1: bytes) -> str:
@@ -58,14 +60,17 @@ def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int] | str:
     if stop < 0:
         return "headers end nowhere"
     headers = {}
-    for line in data[head.end() : stop].split(b"\r\n"):
+    for line in re.sub(rb"\r\n[ \t]+", b" ", data[head.end() : stop]).split(b"\r\n"):  # folded lines joined
         name, colon, value = line.partition(b":")
         if not colon:
             return "header without a colon"
         name = name.strip().lower().decode("utf-8", "replace")
+        value = value.strip().decode("utf-8", "replace")
         if name in headers:
-            return "headers run into others"
-        headers[name] = value.strip().decode("utf-8", "replace")
+            if name in SINGLE:
+                return "headers run into others"
+            value = f"{headers[name]}, {value}"
+        headers[name] = value
     size = headers.get("content-length", "")
     if not size.isdigit():
         return "no length"
@@ -91,11 +96,12 @@ def _member(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int] | No
     return (b"".join(parts), min(pos, len(data)) - len(z.unused_data)) if z.eof else None
 
 
-def salvage(data: bytes) -> Salvaged:
+def salvage(data: bytes, members: bool = True) -> Salvaged:
     """All records of an archive, of gzip members or plain, that pass their checks.
 
     After a failed check the search goes on at the next byte where a whole member or a version
-    line with a valid record stands; the bytes in between are logged as a gap.
+    line with a valid record stands; the bytes in between are logged as a gap. A whole member may hold
+    several records: all have its offset, and if it has other bytes too the member is also logged as a gap.
     """
     found, at, lost, why = Salvaged(), 0, None, ""
 
@@ -111,7 +117,7 @@ def salvage(data: bytes) -> Salvaged:
             lost = None
 
     while at < len(data):
-        if data.startswith(MEMBER, at):
+        if members and data.startswith(MEMBER, at):
             got = _member(data, at)
             parsed = parse_record(got[0], 0) if got else "bad member"
             if not isinstance(parsed, str) and parsed[2] == len(got[0]):
@@ -119,7 +125,14 @@ def salvage(data: bytes) -> Salvaged:
                 found.records.append((at, parsed[0], parsed[1]))
                 at = got[1]
                 continue
-            bad(parsed if isinstance(parsed, str) else "bytes after the record")
+            inner = salvage(got[0], False) if got else Salvaged()
+            if inner.records:
+                good()
+                found.records.extend((at, headers, block) for _, headers, block in inner.records)
+                found.gaps.extend((at, got[1], reason) for _, _, reason in inner.gaps[:1])
+                at = got[1]
+                continue
+            bad(parsed)
         elif data.startswith(b"WARC/1.", at):
             parsed = parse_record(data, at)
             if not isinstance(parsed, str):
@@ -130,7 +143,7 @@ def salvage(data: bytes) -> Salvaged:
             bad(parsed)
         else:
             bad("no record starts here")
-        spots = [p for p in (data.find(MEMBER, at + 1), data.find(b"WARC/1.", at + 1)) if p >= 0]
+        spots = [p for p in (data.find(MEMBER, at + 1) if members else -1, data.find(b"WARC/1.", at + 1)) if p >= 0]
         at = min(spots, default=len(data))
     good()
     return found

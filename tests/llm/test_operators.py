@@ -353,6 +353,21 @@ def test_salvage():
     assert warc.salvage(altered).gaps[0][2] == "block digest differs"
 
 
+def test_salvage_of_other_writers():
+    import gzip
+
+    one, two = (warc.record(k, f"http://x/{k}", b"body %d" % k, None, False) for k in (1, 2))
+    lists = one.replace(b"WARC-Date:", b"WARC-Concurrent-To: <urn:a>\r\nWARC-Concurrent-To: <urn:b>\r\nX-Note: folded\r\n\tline\r\nWARC-Date:")
+    for data in (lists + two, gzip.compress(lists + two), warc.member(lists) + warc.member(two)):
+        found = warc.salvage(data)
+        assert [r[2] for r in found.records] == [b"body 1", b"body 2"] and not found.gaps
+        assert found.records[0][1]["warc-concurrent-to"] == "<urn:a>, <urn:b>" and found.records[0][1]["x-note"] == "folded line"
+    part = gzip.compress(one + b"junk" + two)
+    found = warc.salvage(part + warc.member(two))
+    assert [r[0] for r in found.records] == [0, 0, len(part)] and found.gaps == [(0, len(part), "no record starts here")]
+    assert warc.salvage(one.replace(b"WARC-Date:", b"WARC-Date: 1\r\nWARC-Date:")).gaps[0][2] == "headers run into others"
+
+
 # links --------------------------------------------------------------------------------------------
 
 
