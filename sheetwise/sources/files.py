@@ -40,23 +40,27 @@ def read_pages(files: DataFrame, parse: Callable[[bytes], Iterator[dict]]) -> Da
     return files.select("path", "content").mapInPandas(run, PAGE)
 
 
-def render_pages(files: DataFrame, render: Callable[[bytes, int, int], tuple[bytes, int, int] | None], dpi: int = 150, first: int = 1, last: int = 1) -> DataFrame:
-    """Images of the pages first to last of each file; pages that `render` can't do are left out."""
-    wanted = files.select("path", "content", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("page_num"))
+def render_pages(files: DataFrame, render: Callable[[bytes, int, int], tuple[bytes, int, int] | None], dpi: int = 150, first: int = 1, last: int | None = None, count: Callable[[bytes], int] | None = None) -> DataFrame:
+    """Images of the pages first to last of each file, by default to the end as `count` tells it; pages that `render` can't do are left out, and so are files that `count` can't do."""
+    if last is None and count is None:
+        raise ValueError("render_pages needs the last page or a function that counts pages")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
             for r in batch.itertuples():
                 try:
-                    got = render(r.content, int(r.page_num), dpi)
-                except Exception:  # as if there were no such page
-                    got = None
-                if got:
-                    rows.append((r.path, int(r.page_num), *got, dpi))
-            yield pd.DataFrame(rows, columns=["doc_id", "page_num", "image", "width", "height", "dpi"])
-
-    return wanted.mapInPandas(run, RENDERED)
+                    end = count(r.content) if last is None else last
+                except Exception:  # as if there were no pages
+                    end = 0
+                for n in range(first, end + 1):
+                    try:
+                        got = render(r.content, n, dpi)
+                    except Exception:  # as if there were no such page
+                        got = None
+                    if got:
+                        yield pd.DataFrame([(r.path, n, *got, dpi)], columns=["doc_id", "page_num", "image", "width", "height", "dpi"])
+
+    return files.select("path", "content").mapInPandas(run, RENDERED)
 
 
 def crop_images(images: DataFrame, crop: Callable[[bytes, tuple], bytes]) -> DataFrame:

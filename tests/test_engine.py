@@ -210,3 +210,11 @@ def test_summary_and_best(spark):
     assert tuple(batch.accuracy(cells).first()) == (0.75, pytest.approx(2 / 3), 0.5)
     kept = params.best_per_key(spark.createDataFrame([("k", 0.5, 1), ("k", 0.9, 3), ("k", 0.9, 2)], "k string, c double, o int"), ["k"], "c", "o")
     assert kept.first()["o"] == 2
+
+
+def test_all_pages_are_rendered(spark):
+    data = spark.createDataFrame([("p", b"xxx"), ("q", b"x"), ("none", b"")], "path string, content binary")
+    images = files.render_pages(data, lambda c, n, dpi: (c[:n], 1, 1) if n != 2 else None, count=len)
+    assert sorted((r["doc_id"], r["page_num"]) for r in images.collect()) == [("p", 1), ("p", 3), ("q", 1)]
+    with pytest.raises(ValueError, match="counts pages"):
+        files.render_pages(data, lambda c, n, dpi: None)
