@@ -89,7 +89,10 @@ def main(args: list[str] | None = None) -> int:
         return int(summary["failed"] > 0)
     results = spark.read.parquet(f"{a.out}/results").where("vision IS NOT NULL")
     if a.command == "verify":
-        results.select("doc_id", "status", "confidence", "resolution_method", F.size("conflicts").alias("conflict_count")).show(1000, False)
+        rows = results.select("doc_id", "status", "confidence", "resolution_method", F.size("conflicts").alias("conflict_count"))
+        print(*rows.columns, sep="\t")
+        for r in rows.toLocalIterator():
+            print(*r, sep="\t")
     elif a.command == "stats":
         verify.verifier_stats(results).show()
     else:

@@ -218,3 +218,10 @@ def test_all_pages_are_rendered(spark):
     assert sorted((r["doc_id"], r["page_num"]) for r in images.collect()) == [("p", 1), ("p", 3), ("q", 1)]
     with pytest.raises(ValueError, match="counts pages"):
         files.render_pages(data, lambda c, n, dpi: None)
+
+
+def test_verify_prints_all_documents(spark, tmp_path, capsys):
+    spark.range(1200).selectExpr("concat('d', id) AS doc_id", "'verified' AS status", "0.9D AS confidence", "'none' AS resolution_method", "array('c') AS conflicts", "struct(1 AS table_id) AS vision").write.parquet(str(tmp_path / "results"))
+    assert cli.main(["verify", str(tmp_path)]) == 0
+    lines = capsys.readouterr().out.splitlines()
+    assert sum(x.startswith("d") and "\tverified\t0.9\tnone\t1" in x for x in lines) == 1200
