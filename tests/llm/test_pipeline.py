@@ -1,8 +1,11 @@
+from collections import defaultdict
+
 import corpus_pipeline
 from sheetwise.llm.jaccard import near_duplicate_classes
 from sheetwise.llm.language import identify_languages, learned
 
-from .corpus import empty, frame
+from .corpus import empty, frame, rows, words
+from .test_operators import shingles
 
 
 def test_stages(spark, tmp_path):
@@ -30,3 +33,39 @@ def test_run(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     empty(spark).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_near_duplicates_against_brute_force(spark):
+    data = rows()
+    sets = [shingles(r[1], 5) for r in data]
+    label = list(range(len(data)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 10 * len(a & b) >= 8 * len(a | b) and label[i] != label[j]:
+                label = [label[j] if x == label[i] else x for x in label]
+    classes = defaultdict(list)
+    for r, c in zip(data, label, strict=True):
+        classes[c].append((r[0] is None, r[0], r[1]))
+    want = sorted((x[1:] for x in map(min, classes.values())), key=repr)
+    got = corpus_pipeline.drop_near_duplicates(spark, frame(spark), "").select("doc_id", "text")
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+
+
+def test_passages_against_brute_force(spark):
+    data = rows()
+    windows, first, again = defaultdict(set), defaultdict(set), defaultdict(set)
+    for r in data:
+        w = words(r[1])
+        for s in range(len(w) - 49):
+            windows[tuple(w[s : s + 50])].add((r[0] is None, r[0], r[1], s))
+    for places in windows.values():
+        for p in places if len(places) > 1 else ():
+            (first if p == min(places) else again)[p[1], p[2]].update(range(p[3], p[3] + 50))
+    want = []
+    for r in data:
+        gone = again[r[0], r[1]] - first[r[0], r[1]]
+        left = [x for k, x in enumerate(words(r[1])) if k not in gone]
+        if left or not gone:
+            want.append((r[0], left))
+    got = corpus_pipeline.drop_repeated_passages(spark, frame(spark), "").select("doc_id", "text")
+    assert sorted(((r["doc_id"], words(r["text"])) for r in got.collect()), key=repr) == sorted(want, key=repr)
