@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import BLOOM, Scratch
+from .shared import BLOOM, Scratch, beside_rows, columns, row_key
 from .words import gather, mix, owner, per_text, run_hashes, slices, texts_of, word_codes, word_hashes
 
 #: The share of tokens, by hash, that stands first in the order: at least FIRST, and SLACK times a prefix.
@@ -219,7 +219,7 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     joined by `jaccard_links`; similarity is that of the sets of 64-bit hashes.
 
     Rows: doc_id, n_shingles, component_id (the smallest doc_id that links lead to), row_hash (of doc_id and
-    text), class (the same for all rows of a class, null without words), n_links (the other rows whose set
+    text), first_id and first_hash (doc_id and row_hash of the first row of the class, by doc_id, nulls last, and row_hash), n_links (the other rows whose set
     is equal or has that similarity, each counted whether or not its link was needed for the class). One row for every input
     row: repeated rows share a class; a null doc_id is never a class's smallest unless all are
     null; other columns are ignored; an empty table gives no rows.
@@ -234,7 +234,8 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     posts = candidate_posts(prefixes, tables)
     narrow = tables.put(described.select("row", "doc_id", "n", "print1", "print2", "row_hash"), "rows")
     tables.drop("described")
-    groups = tables.put(narrow.where("n > 0").groupBy("print1", "print2").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "groups")
+    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("doc_id").isNull().alias("none"), F.col("row_hash").alias("hash"))
+    groups = tables.put(narrow.where("n > 0").groupBy("print1", "print2").agg(F.min(order).alias("least"), F.count("*").alias("copies")), "groups")
     some = posts.select("sid").distinct()
     wanted = prefixes.select("print1", "print2", F.col("row").alias("sid")).join(some, "sid").join(narrow.select(F.col("row").alias("sid"), "row_hash"), "sid")
     wanted = tables.put(wanted.join(groups.select("print1", "print2", "copies"), ["print1", "print2"]), "wanted")
@@ -247,38 +248,28 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     linked = wanted.select("print1", "print2", "sid").join(classes.withColumnRenamed("node", "sid"), "sid").join(degrees, "sid").drop("sid")
     named = groups.join(linked, ["print1", "print2"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
     named = tables.put(named.where("root IS NOT NULL OR copies > 1").select("print1", "print2", "least", "root", "n_links"), "named")
-    of_root = named.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("least"), F.min(F.xxhash64("print1", "print2")).alias("class"))
-    linked = named.drop("least").where("root IS NOT NULL").join(of_root, "root").select("print1", "print2", "least", "class", "n_links")
-    final = tables.put(linked.unionByName(named.where("root IS NULL").select("print1", "print2", "least", F.xxhash64("print1", "print2").alias("class"), "n_links")), "final")
+    of_root = named.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("least"))
+    linked = named.drop("least").where("root IS NOT NULL").join(of_root, "root").select("print1", "print2", "least", "n_links")
+    final = tables.put(linked.unionByName(named.where("root IS NULL").select("print1", "print2", "least", "n_links")), "final")
     tables.drop("prefixes", "posts", "wanted", "sets", "families", "pairs", "links", "groups", "named")
     out = narrow.join(final, ["print1", "print2"], "left")
-    words = F.col("n") > 0
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(words, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        "row_hash", F.when(words, F.coalesce("class", F.xxhash64("print1", "print2"))).alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
-
-
-def row_key(docs: DataFrame):
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    known = F.col("least").isNotNull()
+    first = F.when(known, F.when(~F.col("least.none"), F.col("least.id"))).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), first.alias("component_id"), "row_hash", first.alias("first_id"), F.coalesce("least.hash", "row_hash").alias("first_hash"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The documents without those that have a smaller doc_id (nulls last) in their class of `near_duplicate_classes`; of repeated rows one stays. Same columns; rows without words all stay."""
-    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), "row_hash")
-    linked = classes.where("class IS NOT NULL")
-    sizes = linked.groupBy("class").agg(F.min(order).alias("first"), F.count("*").alias("rows")).where("rows > 1")
-    tables = Scratch(docs.sparkSession, "kept")
-    held = tables.put(linked.join(sizes.select("class", "first"), "class").select("row_hash", (F.col("row_hash") == F.col("first.row_hash")).alias("stays")), "held")
-    gone = held.where("NOT stays").select("row_hash").distinct()
-    again = tables.put(held.where("stays").groupBy("row_hash").agg(F.count("*").alias("rows")).where("rows > 1").select("row_hash"), "again")
-    keyed = docs.withColumn("row_hash", row_key(docs)) if "row_hash" not in docs.columns else None
-    if keyed is None:  # a column of the input has that name
-        return keep_one_of_each(docs.withColumnRenamed("row_hash", "_input_row_hash"), classes).withColumnRenamed("_input_row_hash", "row_hash").select(docs.columns)
-    if again.isEmpty():
-        return keyed.join(gone, "row_hash", "left_anti").select(docs.columns)
-    once = keyed.join(again, "row_hash", "left_semi").dropDuplicates(["row_hash"])
-    return keyed.join(gone.unionByName(again), "row_hash", "left_anti").unionByName(once).select(docs.columns)
+    """The documents without those that have a smaller doc_id (nulls last) in their class of `near_duplicate_classes`; of repeated rows one stays.
+
+    Same columns, whatever their names; rows without words (or text) all stay; an empty table stays empty. The first
+    row of a class stands beside each of its rows, so no class is gathered; each text moves once.
+    """
+    first = (F.col("doc_id").eqNullSafe(F.col("first_id"))) & (F.col("row_hash") == F.col("first_hash"))
+    several = classes.where("n_links > 0").groupBy("doc_id", "row_hash").agg(F.max(first).alias("first"))
+    held = Scratch(docs.sparkSession, "kept").put(several, "held")
+    joined, name = beside_rows(docs, row_key(docs), held, "left")
+    stays = F.col(name["first"]).isNull() | (F.col(name["first"]) & (F.col(name["nth"]) == 1))
+    return joined.where(stays).select(columns(docs))
 
 
 def op6_jaccard(spark, sf_dir: str) -> DataFrame:

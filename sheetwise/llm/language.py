@@ -9,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import map_whole
 from .words import owner, per_text, slices, texts_of, word_codes
 
 #: Documents of each language that the n-gram models are fitted on, about.
@@ -216,8 +217,11 @@ def identify_languages(docs: DataFrame, models: NgramModels | None) -> DataFrame
 
 
 def accept_languages(docs: DataFrame, models: NgramModels | None, least: float = 0.5) -> DataFrame:
-    """The rows, with all their columns, whose language is determined with a share of at least `least`."""
-    return docs.mapInArrow(lambda it: _accepted(it, models, least), docs.schema)
+    """The rows, with all their columns, whatever their names, whose language is determined with a share of at least `least`.
+
+    Null texts, those without a letter and, without models, all go; repeated rows and null doc_id are judged as any row; an empty table stays empty.
+    """
+    return map_whole(docs, lambda it: _accepted(it, models, least))
 
 
 def held_out(docs: DataFrame):
@@ -226,7 +230,10 @@ def held_out(docs: DataFrame):
 
 
 def learned(docs: DataFrame, sample: int = SAMPLE) -> NgramModels | None:
-    """Models of the documents that aren't held out (null doc_id: neither held out nor learned from)."""
+    """Models of the documents that aren't held out (null doc_id: neither held out nor learned from).
+
+    Null lang is left out, null or empty texts add nothing, a repeated row counts as often as it stands, other columns are not read; None for a table without a labelled row.
+    """
     return fit_languages(docs.where(~held_out(docs)), sample)
 
 

@@ -5,14 +5,16 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch
+from .shared import Scratch, beside_rows, columns, fresh, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a block at the leaves of the reduction tree, and blocks that one inner task combines.
 LEAF, FAN_IN = 4096, 1024
+#: Sources that the driver can hold, and equal rows that are listed at a time.
+SOURCES, RUN = 100_000, 1 << 16
 
 
 def source_targets(sizes: dict, weights=(1, 2, 3), most: float = 3.0) -> dict:
@@ -82,51 +84,28 @@ def _reduce(level: int, last: bool, seed: int):
     return block
 
 
-def mixed_copies(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, seed: int = 7) -> DataFrame:
-    """How often the mix takes each document.
-
-    A document's size is its words between ASCII blanks (null text: 0). A source's target over its
-    size is the expected number of copies of each of its documents; the whole part is taken as it
-    is and the fraction is rounded by `pivotal`. Blocks of about 4,096 documents, dealt by hash
-    within a source (so a source with a third of all rows makes more blocks, not larger ones),
-    leave one fractional document each; these residuals meet in a tree of 1,024 blocks to a node
-    until each source has one, which lands at random. A source's words so miss its target by less
-    than one document's size, and no document is taken more than ceil(most) times.
-    Draws follow from the seed and the rows' hashes: reruns agree, however the rows are dealt.
-
-    Rows: doc_id, source, row_hash (of doc_id, source and text), size, source_size, target, copies.
-    Every input row has one; repeated rows are rounded separately and null doc_id or source are
-    values like others; documents of size 0 are taken once where the target is at least the
-    source's size, else never; an empty table gives none. Other columns are ignored.
-    Only the word total of each source reaches the driver.
-    """
-    spark = docs.sparkSession
-    tables = Scratch(spark, "mixing")
+def _shares(docs: DataFrame, weights, most: float, seed: int, tables: Scratch) -> DataFrame:
+    """doc_id, source, row_hash, size, source_size, target, equal (rows that are the same) and taken (copies of all of these together)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = tables.put(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            row_hash(docs).alias("row_hash"),
-            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        ),
-        "rows",
-    )
-    groups = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()
+    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), row_key(docs, "source").alias("row_hash"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"))
+    rows = tables.put(each.groupBy("doc_id", "source", "row_hash", "size").agg(F.count("*").alias("equal")), "rows")
+    groups = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("equal")).alias("words"), F.count("*").alias("n")).limit(SOURCES + 1).collect()
+    if len(groups) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources")
     sizes = {r["source"]: r["words"] for r in groups}
     target = source_targets(sizes, weights, most)
     plan = [(s, int(sizes[s]), float(target[s]), max(1, -(-r["n"] // LEAF))) for r in groups for s in [r["source"]]]
-    sources = spark.createDataFrame(plan, "src string, source_size long, target double, blocks long")
-    joined = rows.join(sources, F.col("source").eqNullSafe(F.col("src"))).drop("src")
+    sources = docs.sparkSession.createDataFrame(plan, "src string, source_size long, target double, blocks long")
+    joined = rows.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("src"))).drop("src")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    joined = joined.withColumn("whole", F.when(F.col("size") > 0, F.floor(rate)).otherwise((rate >= 1).cast("long")))
-    joined = joined.withColumn("p", F.when(F.col("size") > 0, rate - F.col("whole")).otherwise(F.lit(0.0)))
+    due = F.col("equal") * F.when(F.col("size") > 0, rate).otherwise((rate >= 1).cast("double"))
+    joined = joined.withColumn("whole", F.floor(due)).withColumn("p", due - F.floor(due))
     joined = joined.withColumn("block", F.pmod(F.xxhash64("row_hash", F.lit(seed)), F.col("blocks")))
     levels, blocks, most_blocks, level = [], joined, max([p[3] for p in plan], default=1), 0
-    schema = "doc_id long, source string, row_hash long, size long, source_size long, target double, whole long, block long, p double, decided boolean"
-    columns = ["doc_id", "source", "row_hash", "size", "source_size", "target", "whole", "block", "p"]
+    schema = "doc_id long, source string, row_hash long, size long, equal long, source_size long, target double, whole long, block long, p double, decided boolean"
+    names = ["doc_id", "source", "row_hash", "size", "equal", "source_size", "target", "whole", "block", "p"]
     while True:
-        done = tables.put(blocks.select(columns).groupBy("source", "block").applyInPandas(_reduce(level, most_blocks == 1, seed), schema), f"level{level}")
+        done = tables.put(blocks.select(names).groupBy("source", "block").applyInPandas(_reduce(level, most_blocks == 1, seed), schema), f"level{level}")
         levels.append(done.where("decided"))
         if most_blocks == 1:
             break
@@ -136,22 +115,50 @@ def mixed_copies(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, seed: in
     for more in levels[1:]:
         decided = decided.unionByName(more)
     tables.drop("rows")
-    return decided.select("doc_id", "source", "row_hash", "size", "source_size", "target", (F.col("whole") + F.round("p").cast("long")).alias("copies"))
+    return decided.select("doc_id", "source", "row_hash", "size", "source_size", "target", "equal", (F.col("whole") + F.round("p").cast("long")).alias("taken"))
+
+
+def _of_each(nth):
+    """Copies of the nth (from 1) of `equal` rows that share `taken` copies."""
+    return F.expr("taken div equal") + (nth <= F.expr("taken % equal")).cast("long")
 
 
-def row_hash(docs: DataFrame):
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
+def mixed_copies(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, seed: int = 7) -> DataFrame:
+    """How often the mix takes each document.
+
+    A document's size is its words between ASCII blanks (null text: 0). A source's target over its
+    size is the expected number of copies of each of its documents; the whole part is taken as it
+    is and the fraction is rounded by `pivotal`. Blocks of about 4,096 documents, dealt by hash
+    within a source (so a source with a third of all rows makes more blocks, not larger ones),
+    leave one fractional document each; these residuals meet in a tree of 1,024 blocks to a node
+    until each source has one, which lands at random. A source's words so miss its target by less
+    than one document's size, and no document is taken more than ceil(most) times.
+    Draws follow from the seed and the rows' hashes: reruns agree, however the rows are dealt.
+
+    Rows: doc_id, source, row_hash (of doc_id, source and text), size, source_size, target, copies.
+    Every input row has one; rows with the same doc_id, source and text are rounded together and share their copies
+    as evenly as they go, so however many they are, they are one row of a block. Null doc_id or source are
+    values like others; documents of size 0 are taken once where the target is at least the
+    source's size, else never; an empty table gives none. Other columns are ignored.
+    The word total of each source reaches the driver: over 100,000 sources are an error.
+    """
+    shares = _shares(docs, weights, most, seed, Scratch(docs.sparkSession, "mixing"))
+    runs = shares.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(equal - 1) div {RUN}"))))
+    each = runs.withColumn("nth", F.explode(F.sequence(F.expr(f"run * {RUN} + 1"), F.expr(f"least(equal, (run + 1) * {RUN})"))))
+    return each.select("doc_id", "source", "row_hash", "size", "source_size", "target", _of_each(F.col("nth")).alias("copies"))
 
 
 def mix_documents(docs: DataFrame, weights=(1, 2, 3), most: float = 3.0, seed: int = 7) -> DataFrame:
-    """The documents as the mix takes them: each row as often as `mixed_copies` says, with all its columns."""
-    copies = mixed_copies(docs, weights, most, seed).select(F.col("row_hash").alias("_hash"), "copies")
-    nth = Window.partitionBy("_hash").orderBy(F.desc("copies"))
-    copies = copies.withColumn("_nth", F.row_number().over(nth)).where("copies > 0")
-    keyed = docs.withColumn("_hash", row_hash(docs))
-    keyed = keyed.withColumn("_nth", F.row_number().over(Window.partitionBy("_hash").orderBy(F.lit(1))))
-    taken = keyed.join(copies, ["_hash", "_nth"])
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
+    """The documents as the mix takes them: each row as often as `mixed_copies` says, with all its columns, whatever their names.
+
+    Nulls, repeated rows, empty texts and empty tables as there. Each text moves once, to meet its number of copies.
+    """
+    shares = _shares(docs, weights, most, seed, Scratch(docs.sparkSession, "mixing")).where("taken > 0")
+    joined, name = beside_rows(docs, row_key(docs, "source"), shares.select("doc_id", "row_hash", "equal", "taken"), "inner")
+    equal, taken, nth = (F.col(name[c]) for c in ("equal", "taken", "nth"))
+    times = F.floor(taken / equal) + (nth <= taken % equal).cast("long")
+    copy = fresh(joined, "_copy")
+    return joined.withColumn(copy, F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("long"), times)))).select(columns(docs))
 
 
 def op3_mix_pivotal(spark, sf_dir: str) -> DataFrame:

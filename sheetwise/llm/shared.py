@@ -3,13 +3,16 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where that is unset (tests), one of our own."""
+    """The folder named by spark.checkpoint.dir; where that is unset, one of our own in local mode (tests), else an error."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="sheetwise-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
@@ -52,3 +55,44 @@ class Scratch:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that no column of `docs` has, whatever the case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
+
+
+def map_whole(docs: DataFrame, function, without: str | None = None) -> DataFrame:
+    """`mapInArrow` over all columns, whatever their names; the result has them all but `without`, under the same names and types."""
+    plain = [c if "." not in c and "`" not in c else fresh(docs, f"_column{i}") for i, c in enumerate(docs.columns)]
+    renamed = docs.toDF(*plain)
+    kept = [i for i, c in enumerate(docs.columns) if c != without]
+    schema = renamed.select(*[plain[i] for i in kept]).schema
+    return renamed.mapInArrow(function, schema).toDF(*[docs.columns[i] for i in kept])
+
+
+def row_key(docs: DataFrame, *more: str) -> Column:
+    """A hash of doc_id, text and `more`, in which a null differs from a value; with doc_id beside it, it names a row."""
+    parts = [F.col("doc_id").cast("long"), *[F.col(c).cast("string") for c in ("text", *more)]]
+    return F.xxhash64(*parts, *[p.isNull() for p in parts])
+
+
+def beside_rows(docs: DataFrame, key: Column, decided: DataFrame, how: str) -> tuple[DataFrame, dict[str, str]]:
+    """The rows joined with what was decided about them (doc_id, row_hash and more, one row for each different row).
+
+    Returns the joined table and the names in it of the columns of `decided`, and of `nth`, which numbers equal rows from 1.
+    Texts move once, by doc_id and hash, at every size: the join is always sorted, and the numbers use its order.
+    """
+    more = [c for c in decided.columns if c not in ("doc_id", "row_hash")]
+    name = {c: fresh(docs, f"_{c}") for c in ("id", "hash", "nth", "to_id", "to_hash", *more)}
+    left = docs.withColumn(name["id"], F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).withColumn(name["hash"], key)
+    right = decided.select(F.coalesce("doc_id", F.lit(0)).alias(name["to_id"]), F.col("row_hash").alias(name["to_hash"]), *[F.col(c).alias(name[c]) for c in more])
+    joined = left.join(right.hint("merge"), (F.col(name["id"]) == F.col(name["to_id"])) & (F.col(name["hash"]) == F.col(name["to_hash"])), how)
+    return joined.withColumn(name["nth"], F.row_number().over(Window.partitionBy(name["id"], name["hash"]).orderBy(name["hash"]))), name

@@ -5,10 +5,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BLOOM, Scratch
+from .shared import BLOOM, Scratch, beside_rows, columns, map_whole, row_key
 from .words import _BASE, gather, mix, owner, powers, rebased, run_hashes, slices, texts_of, word_codes, word_hashes
 
 #: Words of the shortest passage, of the grams that are drawn, and how many grams the draw is among.
@@ -176,10 +177,6 @@ def _spans(doc_ids, column, row, low, high, again, first, window, head, head_low
     )
 
 
-def row_key(docs: DataFrame):
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-
 def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -> DataFrame:
     """All passages of `least` words or more that stand in more than one place, whole texts of all documents.
 
@@ -273,13 +270,19 @@ def _unions(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_hash"), pa.array(spans, named), pa.array(removed, kind)], ["doc_id", "row_hash", "spans", "removed"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], removed_in: str) -> Iterator[pa.RecordBatch]:
+    """Takes the words named in the column `removed_in` out of the texts, and the rows without a word left; rows that name none pass as they are."""
     blank = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
     for whole in batches:
         for batch in slices(whole, "text"):
+            gone = batch.column(removed_in)
+            batch = batch.drop_columns([removed_in])
+            if gone.null_count == len(gone):
+                yield batch
+                continue
             bounds, data = rebased(texts_of(batch))
-            out = []
-            for i, removed in enumerate(batch.column("removed").to_pylist()):
+            out, stays = [], np.ones(batch.num_rows, bool)
+            for i, removed in enumerate(gone.to_pylist()):
                 text = data[bounds[i] : bounds[i + 1]]
                 if removed:
                     inside = ~blank[text]
@@ -288,23 +291,23 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for r in removed:
                         end = r["start"] + r["words"]
                         keep[word[r["start"]] : word[end] if end < len(word) else len(text)] = False
+                    stays[i] = bool((inside & keep).any())
                     text = text[keep]
                 out.append(text.tobytes())
-            texts = pa.array(out, pa.binary()).cast(pa.string())
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", texts).drop_columns(["removed"])
+            texts = pa.array(out, pa.large_binary()).cast(pa.large_string())
+            texts = pc.if_else(pc.is_null(batch.column("text")), None, texts).cast(batch.schema.field("text").type)
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", texts).filter(pa.array(stays))
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """The documents without the `removed` words of `repeated_passages`, same columns; documents left without a word go, all others stay.
+    """The documents without the `removed` words of `repeated_passages`, same columns, whatever their names; documents left without a word go, all others stay.
 
-    A text keeps its bytes but for the removed words and the blanks after them.
+    A text keeps its bytes but for the removed words and the blanks after them. Null and empty texts, null doc_id and
+    repeated rows stay as they are but for their removed words; an empty table stays empty. Each text moves once.
     """
-    gone = passages.where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.col("removed").alias("_removed"))
-    joined = docs.withColumn("_row", row_key(docs)).join(gone, (F.col("_row") == F.col("_hash")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left")
-    touched = joined.where("_removed IS NOT NULL").withColumn("removed", F.col("_removed")).drop("_id", "_hash", "_row", "_removed")
-    schema = touched.drop("removed").schema
-    cut = touched.mapInArrow(_cut, schema).where(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")) > 0)
-    return joined.where("_removed IS NULL").select(docs.columns).unionByName(cut)
+    gone = passages.where(F.size("removed") > 0).select("doc_id", "row_hash", "removed")
+    joined, name = beside_rows(docs, row_key(docs), gone, "left")
+    return map_whole(joined.select(*columns(docs), name["removed"]), lambda it: _cut(it, name["removed"]), without=name["removed"])
 
 
 def op9_passages(spark, sf_dir: str) -> DataFrame:

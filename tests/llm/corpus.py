@@ -3,7 +3,9 @@
 import random
 import re
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, row_hash long, key string"
+#: Columns beside those of documents, named as the operators name their own.
+CLASH = ["score", "row_hash", "key", "copies", "_hash", "_nth", "_id", "_to_id", "_to_hash", "removed", "_removed", "_row", "_copy", "_input_row_hash", "first_id", "taken", "_Taken", "nth", "sid", "n", "part", "words", "bigram", "chunk", "digest", "a.b"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` long" for c in CLASH)
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -36,7 +38,7 @@ def rows(seed: int = 5) -> list[tuple]:
         [100, None, "en", "s0"], [101, "", "fr", None], [102, " \t\n ", None, "s1"], [103, "word", "en", "s1"], [104, "1234 5678 | |", "en", "s2"], [105, "Ünïcode ẞtraße İstanbul ﬁ ½ don't <|endoftext|> naïve-cóoperate x", "en", "s2"],
         [None, make("en", 80), "en", "s1"], [None, make("fr", 80), "fr", None], [7, out[7][1], "fr", "s1"], [7, out[7][1], "fr", "s1"], [9, "another text under the same id", "en", "s0"], [106, "a b c", "en", "\U0001f600"],
     ]
-    return [(*r, len(r[1] or ""), 0.5, 1, "k") for r in out + extra]
+    return [(*r, len(r[1] or ""), *range(len(CLASH))) for r in out + extra]
 
 
 def frame(spark, data=None):

@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sheetwise.llm import jaccard, language, licenses, lm, mixing, ogg, packing, repetition, substrings, warc
+from sheetwise.llm import jaccard, language, licenses, lm, mixing, ogg, packing, repetition, shared, substrings, warc
 from sheetwise.llm.tokens import tokenizer_path
 
-from .corpus import empty, frame, rows, words
+from .corpus import CLASH, empty, frame, rows, words
 
 
 def key(r):
@@ -80,7 +80,7 @@ def repetition_brute(text):
 
 
 def test_repetition(spark):
-    data = [r for r in rows() if r[0] != 38] + [(200, "a\nb x\n\nb x\n b x\nb x", None, None, 0, 0.0, 0, "")]
+    data = [r for r in rows() if r[0] != 38] + [(200, "a\nb x\n\nb x\n b x\nb x", None, None, 0, *range(len(CLASH)))]
     got = collected(repetition.repetition_rules(frame(spark, data)))
     assert got == sorted(((r[0], *repetition_brute(r[1])) for r in data), key=key)
     assert repetition.repetition_rules(empty(spark)).count() == 0
@@ -263,7 +263,7 @@ def test_random_sets_lose_no_link(spark):
             w = list(base)
             for _ in range(rng.integers(0, 4)):
                 w[rng.integers(0, len(w))] = f"v{rng.integers(0, 50)}"
-            data.append((len(data), " ".join(w), None, None, 0, 0.0, 0, ""))
+            data.append((len(data), " ".join(w), None, None, 0, *range(len(CLASH))))
     got = jaccard.near_duplicate_classes(frame(spark, data), 3, 80).select("doc_id", "n_shingles", "component_id")
     assert collected(got) == sorted(classes_brute(data, 3, 80), key=key)
 
@@ -407,7 +407,7 @@ def test_repeated_passages(spark, monkeypatch, group):
                 cover[k].update(span)
                 (first if place == min(places) else again)[k].update(span)
     got = substrings.repeated_passages(frame(spark))
-    text = {r[0]: (r[1], r[2]) for r in frame(spark).select(substrings.row_key(frame(spark)), "doc_id", "text").collect()}
+    text = {r[0]: (r[1], r[2]) for r in frame(spark).select(shared.row_key(frame(spark)), "doc_id", "text").collect()}
     spans, removed = {}, {}
     for r in got.collect():
         k = text[r["row_hash"]]
