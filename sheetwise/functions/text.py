@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 #: What a float literal may look like once blanks are stripped; underscores only between digits.
 FLOAT = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 
+#: What most of them look like.
+PLAIN = r"^-?\d+(\.\d+)?$"
+
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
@@ -24,8 +27,7 @@ def normal_text(c: Column) -> Column:
 
 def number_in(c: Column) -> Column:
     """The number that digits, signs, dots and e/E of a cell spell, or null."""
-    kept = F.regexp_replace(c, r"[^\d.\-+eE]", "")
-    return F.when(kept.rlike(r"\d"), kept.try_cast("double"))
+    return F.regexp_replace(c, r"[^\d.\-+eE]", "").try_cast("double")
 
 
 def parse_float(c: Column) -> Column:
@@ -33,7 +35,8 @@ def parse_float(c: Column) -> Column:
     bare = strip(c)
     word = F.lower(F.regexp_replace(bare, r"^[+-]", ""))
     special = F.when(word.isin("inf", "infinity"), F.when(bare.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))).when(word == "nan", F.lit(float("nan")))
-    return F.when(bare.rlike(FLOAT), F.regexp_replace(bare, "_", "").try_cast("double")).otherwise(special)
+    general = F.when(bare.rlike(FLOAT), F.regexp_replace(bare, "_", "").try_cast("double")).otherwise(special)
+    return F.when(c.rlike(PLAIN), c.try_cast("double")).otherwise(general)
 
 
 def relative_difference(a: Column, b: Column) -> Column:
@@ -43,11 +46,15 @@ def relative_difference(a: Column, b: Column) -> Column:
     return F.when(~F.isnan(gap), gap)
 
 
-def numbers_match(a: Column, b: Column, tolerance: float = 0.01) -> Column:
-    x, y = number_in(a), number_in(b)
+def close(x: Column, y: Column, tolerance: float = 0.01) -> Column:
+    """Whether two numbers are both 0 or differ by no more than the tolerance, relatively; false where one is missing."""
     return F.coalesce((x == 0) & (y == 0) | (relative_difference(x, y) <= tolerance), F.lit(False))
 
 
+def numbers_match(a: Column, b: Column, tolerance: float = 0.01) -> Column:
+    return close(number_in(a), number_in(b), tolerance)
+
+
 def texts_match(a: Column, b: Column) -> Column:
     return normal_text(a) == normal_text(b)
 

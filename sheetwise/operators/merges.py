@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from .verify import bound, once
 
+MERGES = "array<struct<row: int, col_start: int, col_end: int, content: string, merge_type: string, confidence: double>>"
 # fixed values
 CATEGORY = r"^(input|output|power|thermal|timing|electrical)|characteristics$|^(absolute|recommended|operating)|conditions$|^(dc|ac)\s"
 HEADER_CONFIDENCE, ROW_CONFIDENCE, WIDTH_CONFIDENCE, FALLBACK, WIDE, MOST = 0.85, 0.70, 0.90, 0.60, 1.5, 4
@@ -27,26 +29,25 @@ def _blank(c: Column) -> Column:
 
 def spans(row: Column) -> Column:
     """For each filled cell: its column, its text and how many columns it spans with the blanks after it."""
-    filled = F.filter(F.transform(row, lambda c, i: F.struct(i.alias("col"), c.alias("cell"))), lambda x: ~_blank(x["cell"]))
-    width = lambda x, i: F.coalesce(F.get(filled, i + 1)["col"], F.size(row)) - x["col"]
-    return F.transform(filled, lambda x, i: F.struct(x["col"].alias("col"), x["cell"].alias("cell"), width(x, i).alias("span")))
+    found = F.filter(F.transform(row, lambda c, i: F.struct(i.alias("col"), c.alias("cell"))), lambda x: ~_blank(x["cell"]))
+    width = lambda filled: lambda x, i: F.coalesce(F.get(filled, i + 1)["col"], F.size(row)) - x["col"]
+    return bound(found, lambda filled: F.transform(filled, lambda x, i: F.struct(x["col"].alias("col"), x["cell"].alias("cell"), width(filled)(x, i).alias("span"))))
 
 
 def _merge(row: Column, col: Column, end: Column, content: Column, confidence: float) -> Column:
     return F.struct(row.cast("int").alias("row"), col.cast("int").alias("col_start"), end.cast("int").alias("col_end"), content.alias("content"), F.lit("horizontal").alias("merge_type"), F.lit(confidence).alias("confidence"))
 
 
-def header_merges(grid: Column) -> Column:
-    """Spans of row 0, where it has fewer filled cells than row 1."""
-    count = lambda r: F.size(F.filter(r, lambda c: ~_blank(c)))
-    found = F.transform(F.filter(spans(grid[0]), lambda x: x["span"] > 1), lambda x: _merge(F.lit(0), x["col"], x["col"] + x["span"] - 1, strip(x["cell"]), HEADER_CONFIDENCE))
-    return F.filter(found, lambda _: count(grid[0]) < count(grid[1]))
+def header_merges(found: Column) -> Column:
+    """Merges of row 0, where it has fewer filled cells than row 1; `found` has the spans of each row."""
+    wide = F.filter(found[0], lambda x: x["span"] > 1)
+    return F.when(F.size(found[0]) < F.size(found[1]), F.transform(wide, lambda x: _merge(F.lit(0), x["col"], x["col"] + x["span"] - 1, strip(x["cell"]), HEADER_CONFIDENCE))).otherwise(F.array().cast(MERGES))
 
 
-def row_merges(grid: Column) -> Column:
-    """Spans of two to four columns of any row that start with a category."""
-    one = lambda r, i: F.transform(F.filter(spans(r), lambda x: (x["span"] > 1) & (x["span"] <= MOST) & is_category(x["cell"])), lambda x: _merge(i, x["col"], x["col"] + x["span"] - 1, strip(x["cell"]), ROW_CONFIDENCE))
-    return F.flatten(F.transform(grid, one))
+def row_merges(found: Column) -> Column:
+    """Spans of two to four columns of any row that start with a category; `found` has the spans of each row."""
+    one = lambda r, i: F.transform(F.filter(r, lambda x: (x["span"] > 1) & (x["span"] <= MOST) & is_category(x["cell"])), lambda x: _merge(i, x["col"], x["col"] + x["span"] - 1, strip(x["cell"]), ROW_CONFIDENCE))
+    return F.flatten(F.transform(found, one))
 
 
 def column_widths(positions: Column) -> Column:
@@ -56,40 +57,55 @@ def column_widths(positions: Column) -> Column:
     def median(c: Column) -> Column:
         cells = F.filter(F.transform(positions, lambda r: F.get(r, c)), lambda p: p.isNotNull())
         widths = F.array_sort(F.transform(cells, lambda p: p["x1"] - p["x0"]))
-        return F.coalesce(F.get(widths, F.floor(F.size(widths) / 2).cast("int")), F.lit(0.0))
+        return bound(widths, lambda w: F.coalesce(F.get(w, F.floor(F.size(w) / 2).cast("int")), F.lit(0.0)))
 
     return F.transform(columns, median)
 
 
 def width_merges(grid: Column, positions: Column) -> Column:
     """Cells at least twice as wide as their column's median."""
-    widths = column_widths(positions)
 
-    def one(r: Column, i: Column) -> Column:
+    def one(r: Column, i: Column, widths: Column) -> Column:
         cells = F.transform(r, lambda p, c: F.struct(c.alias("c"), (p["x1"] - p["x0"]).alias("w"), F.coalesce(F.get(widths, c), F.lit(0.0)).alias("m")))
         wide = F.filter(cells, lambda x: (x["m"] > 0) & (x["w"] > WIDE * x["m"]) & (F.floor(x["w"] / x["m"]) > 1))
         return F.transform(wide, lambda x: _merge(i, x["c"], x["c"] + F.floor(x["w"] / x["m"]) - 1, strip(F.coalesce(F.get(F.get(grid, i), x["c"]), F.lit(""))), WIDTH_CONFIDENCE))
 
-    return F.coalesce(F.flatten(F.transform(positions, one)), F.array().cast("array<struct<row: int, col_start: int, col_end: int, content: string, merge_type: string, confidence: double>>"))
+    return F.coalesce(bound(column_widths(positions), lambda w: F.flatten(F.transform(positions, lambda r, i: one(r, i, w)))), F.array().cast(MERGES))
 
 
 def best_merges(found: Column) -> Column:
     """One for each row and first column, the most confident and of these the first; in the order the keys were met."""
-    same = lambda a, b: (a["row"] == b["row"]) & (a["col_start"] == b["col_start"])
-    firsts = F.filter(found, lambda m, i: ~F.exists(F.slice(found, F.lit(1), i), lambda e: same(e, m)))
-    best = lambda m: F.aggregate(F.filter(found, lambda e: same(e, m)), m, lambda a, e: F.when(e["confidence"] > a["confidence"], e).otherwise(a))
-    return F.transform(firsts, best)
+    entries = F.transform(found, lambda m, i: F.struct(m["row"].alias("row"), m["col_start"].alias("col"), (-m["confidence"]).alias("less"), i.alias("at"), m.alias("m")))
+
+    def heads(ranked: Column) -> Column:
+        new = lambda e, i: (i == 0) | (F.get(ranked, i - 1)["row"] != e["row"]) | (F.get(ranked, i - 1)["col"] != e["col"])
+        return F.filter(ranked, lambda e, i: F.coalesce(new(e, i), F.lit(True)))
+
+    # in order of keys and of their first places: the same keys one after another
+    places = F.transform(entries, lambda e: F.struct(e["row"].alias("row"), e["col"].alias("col"), e["at"].alias("at")))
+    pairs = F.zip_with(bound(F.array_sort(places), heads), bound(F.array_sort(entries), heads), lambda first, best: F.struct(first["at"].alias("at"), best["m"].alias("m")))
+    return F.transform(F.array_sort(pairs), lambda p: p["m"])
 
 
 def detect_merges(grids: DataFrame, positions: str | None = None) -> DataFrame:
     """Adds merges, merge_confidence (mean, 1 without any) and needs_vision to grids; grids of fewer than two rows have none."""
     grid = F.col("grid")
-    parts = [header_merges(grid), row_merges(grid)] + ([width_merges(grid, F.col(positions))] if positions else [])
-    none = F.array().cast("array<struct<row: int, col_start: int, col_end: int, content: string, merge_type: string, confidence: double>>")
-    out = grids.withColumn("_found", F.when(F.size(grid) >= 2, F.concat(*parts)).otherwise(none)).withColumn("merges", best_merges(F.col("_found"))).drop("_found")
-    total = F.aggregate("merges", F.lit(0.0), lambda a, m: a + m["confidence"])
-    out = out.withColumn("merge_confidence", F.when(F.size("merges") > 0, total / F.size("merges")).otherwise(1.0))
-    return out.withColumn("needs_vision", F.col("merge_confidence") < FALLBACK)
+    spread = once(grids, "_spans", F.when(F.size(grid) >= 2, F.transform(grid, spans)))
+    parts = [header_merges(F.col("_spans")), row_merges(F.col("_spans"))] + ([width_merges(grid, F.col(positions))] if positions else [])
+    found = once(spread, "_found", F.when(F.size(grid) >= 2, F.concat(*parts)).otherwise(F.array().cast(MERGES)))
+    out = once(found, "merges", best_merges(F.col("_found"))).drop("_found", "_spans")
+    confidence = merge_confidence(F.col("merges"))
+    return out.withColumn("merge_confidence", confidence).withColumn("needs_vision", F.col("merge_confidence") < FALLBACK)
+
+
+def merge_confidence(merges: Column) -> Column:
+    """Mean confidence, 1 without a merge."""
+    return F.when(F.size(merges) > 0, F.aggregate(merges, F.lit(0.0), lambda a, m: a + m["confidence"]) / F.size(merges)).otherwise(1.0)
+
+
+def enhance_tables(grids: DataFrame, positions: str | None = None) -> DataFrame:
+    """doc_id, resolved_headers, resolved_rows, merge_confidence and needs_vision of grids: detection and resolution together."""
+    return resolve_merges(detect_merges(grids, positions)).select("doc_id", "resolved_headers", "resolved_rows", "merge_confidence", "needs_vision")
 
 
 def resolve_merges(detected: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import category, maker_of_part, part_of_file, review_name, review_part, source_reference, verification_methods
 from ..functions.text import parse_float, percent
+from .verify import bound, once
 
 KINDS = ("Min", "Typ", "Max")
-REVIEW_THRESHOLD = 0.95
+REVIEW_THRESHOLD, WIDEST = 0.95, 10_000
 # fixed values: columns of the importer and the parameters behind them
 IMPORTER = {
     "Vin_min": "input_voltage_range_min", "Vin_max": "input_voltage_range_max", "Vout_min": "output_voltage_min", "Vout_max": "output_voltage_max", "Iout_max": "output_current_max", "Iq_typ": "quiescent_current_typ",
@@ -15,19 +16,24 @@ IMPORTER = {
 }
 
 
-def long_parameters(tables: DataFrame, rows: str = "merged_rows") -> DataFrame:
-    """doc_id, name, kind, num, unit: the numeric cells of each table, last row wins per name and kind; unit is the last non-empty one of the name.
+def long_parameters(tables: DataFrame, rows: str = "merged_rows", carry: list[str] | None = None, order: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, name, base, kind, num, unit and the document's columns in `carry`: the numeric cells of each table, last row wins per name and kind; unit is the last non-empty one of the name.
 
-    A row without a parameter name makes names without a first part. A table with a null name has no
-    parameters at all and shows in `failed_parameters`.
+    One aggregation by document and name, over rows that are computed once. Tables of the same document stand in the
+    order of the columns `order`. A row without a parameter
+    name makes names without a first part. A table with a null name has no parameters at all and
+    shows in `failed_parameters`.
     """
-    cells = _cells(tables.where(~_broken(rows)), rows)
-    numbers = cells.select("doc_id", "base", "row_idx", F.explode(F.array(*[F.struct(F.lit(k.lower()).alias("kind"), parse_float(F.col(k)).alias("num")) for k in KINDS])).alias("x"))
-    numbers = numbers.select("doc_id", "base", "row_idx", "x.kind", "x.num").where("num IS NOT NULL")
-    numbers = numbers.groupBy("doc_id", "base", "kind").agg(F.max_by("num", "row_idx").alias("num"))
-    units = cells.where("Unit <> ''").groupBy("doc_id", "base").agg(F.max_by("Unit", "row_idx").alias("unit"))
-    joined = numbers.join(units, ["doc_id", "base"], "left")
-    return joined.select("doc_id", F.concat_ws("_", "base", "kind").alias("name"), "base", "kind", "num", "unit")
+    carry = carry or []
+    cells = _cells(tables, rows, [*carry, *[c for c in order if c not in carry]])
+    place = F.struct(*order, "row_idx")
+    last = lambda value, there: F.max_by(value, F.when(there, F.col("place")))
+    numbers = {k: parse_float(F.col(k)) for k in KINDS}
+    read = cells.select("doc_id", *carry, "base", place.alias("place"), "Unit", *[n.alias(k) for k, n in numbers.items()])
+    folded = read.groupBy("doc_id", "base", *carry).agg(*[last(F.col(k), F.col(k).isNotNull()).alias(k.lower()) for k in KINDS], last(F.col("Unit"), F.col("Unit") != "").alias("unit"))
+    kinds = F.array(*[F.struct(F.lit(k.lower()).alias("kind"), F.col(k.lower()).alias("num")) for k in KINDS])
+    each = folded.select("doc_id", *carry, "base", "unit", F.explode(F.filter(kinds, lambda x: x["num"].isNotNull())).alias("x"))
+    return each.select("doc_id", F.concat_ws("_", "base", "x.kind").alias("name"), "base", "x.kind", "x.num", "unit", *carry)
 
 
 def _broken(rows: str) -> Column:
@@ -39,21 +45,36 @@ def failed_parameters(tables: DataFrame, rows: str = "merged_rows") -> DataFrame
     return tables.where(_broken(rows)).select("doc_id", F.lit("failed").alias("status"))
 
 
-def _cells(tables: DataFrame, rows: str) -> DataFrame:
+def _cells(tables: DataFrame, rows: str, carry: list[str] | None = None) -> DataFrame:
     get = lambda k: F.coalesce(F.try_element_at(F.col("r"), F.lit(k)), F.lit(""))
-    cells = tables.select("doc_id", F.posexplode(rows).alias("row_idx", "r"))
-    return cells.select("doc_id", "row_idx", F.replace(F.lower(get("Parameter")), F.lit(" "), F.lit("_")).alias("base"), *[get(k).alias(k) for k in (*KINDS, "Unit")])
+    read = once(tables.select("doc_id", *(carry or []), rows), "_rows", F.col(rows))
+    cells = read.select("doc_id", *(carry or []), F.posexplode(F.when(~_broken("_rows"), F.col("_rows"))).alias("row_idx", "r"))
+    return cells.select("doc_id", *(carry or []), "row_idx", F.replace(F.lower(get("Parameter")), F.lit(" "), F.lit("_")).alias("base"), *[get(k).alias(k) for k in (*KINDS, "Unit")])
 
 
-def parameter_maps(params: DataFrame) -> DataFrame:
-    """doc_id and the map of its numeric parameters."""
-    return params.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "num"))).alias("params"))
+def parameter_maps(params: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, the map of its numeric parameters, and the document's columns in `carry`."""
+    return params.groupBy("doc_id", *(carry or [])).agg(F.map_from_entries(F.collect_list(F.struct("name", "num"))).alias("params"))
 
 
-def wide_parameters(params: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """A column for each parameter name, sorted; names come from one distinct pass unless they are given."""
-    names = names if names is not None else sorted(r["name"] for r in params.select("name").distinct().collect())
-    return params.groupBy("doc_id").pivot("name", names).agg(F.first("num"))
+def wide_parameters(params: DataFrame, names: list[str] | None = None, carry: list[str] | None = None) -> DataFrame:
+    """A column for each parameter name, sorted by code point; names come from one distinct pass unless they are given."""
+    names = names if names is not None else parameter_names(params)
+    return params.groupBy("doc_id", *(carry or [])).pivot("name", names).agg(F.first("num"))
+
+
+def parameter_names(params: DataFrame) -> list[str]:
+    """All parameter names, sorted; they are the columns of a table, so the driver holds them (over 10,000 are an error)."""
+    names = [r["name"] for r in params.select("name").distinct().limit(WIDEST + 1).collect()]
+    if len(names) > WIDEST:
+        raise ValueError(f"more than {WIDEST} parameter names make no wide table")
+    return sorted(names)
+
+
+def wide_rows(params: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """The rows of the wide CSV: source_file, confidence and status (columns of `params`, carried), then all parameters, sorted; missing values are empty."""
+    wide = wide_parameters(params, names, ["source_file", "confidence", "status"])
+    return wide.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in wide.columns if c != "doc_id"])
 
 
 def importer_rows(documents: DataFrame, extractor: str = "sheetwise") -> DataFrame:
@@ -66,37 +87,46 @@ def importer_rows(documents: DataFrame, extractor: str = "sheetwise") -> DataFra
     return documents.select(*[c.alias(n) for n, c in columns.items()])
 
 
-def review_parameters(params: DataFrame, documents: DataFrame) -> DataFrame:
+def review_parameters(params: DataFrame) -> DataFrame:
     """One row for each parameter with a value: review name, unit, confidence, source, methods and whether it needs review.
 
-    `documents` has doc_id, table_confidence, confidence, method and table_ids.
+    `params` are long parameters that carry table_confidence, confidence, method and table_ids of their document.
     """
-    joined = params.join(documents, "doc_id")
     confidence = F.coalesce("table_confidence", "confidence", F.lit(0.9))
-    return joined.select(
+    return params.select(
         "doc_id", review_name(F.col("name")).alias("param"), F.col("num").alias("value"), F.coalesce("unit", F.lit("")).alias("unit"), confidence.alias("confidence"),
         source_reference(F.col("table_ids")).alias("source"), verification_methods(F.col("method")).alias("verified_by"), (confidence < REVIEW_THRESHOLD).alias("needs_review"),
     )
 
 
 def review_records(params: DataFrame, documents: DataFrame) -> DataFrame:
-    """One review record for each document (those without parameters too), with source_file besides the columns above."""
-    rows = review_parameters(params, documents.drop("source_file")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("param", F.struct("value", "unit", "confidence", "source", "verified_by", "needs_review")))).alias("params"))
+    """One review record for each document (those without parameters too); `documents` has doc_id, source_file, table_confidence, confidence, method and table_ids."""
+    rows = review_parameters(params.join(documents.drop("source_file"), "doc_id")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("param", F.struct("value", "unit", "confidence", "source", "verified_by", "needs_review")))).alias("params"))
     mpn = review_part(F.col("source_file"))
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return documents.join(rows, "doc_id", "left").select("doc_id", mpn.alias("mpn"), maker_of_part(mpn).alias("manufacturer"), "source_file", stamp.alias("extracted_at"), "params")
 
 
-def documents_out(verified: DataFrame, params: DataFrame, conflicts: bool = True, raw: bool = False) -> DataFrame:
-    """The document results: verification block, the table, parameters, and if asked for conflicts and the raw extractions."""
-    entries = params.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("name", "num", "unit"))).alias("parameters"))
+def parameter_list(rows: Column) -> Column:
+    """The parameters of one table as an array of (name, num, unit), by name: what `long_parameters` has in rows, without leaving the row."""
+    get = lambda r, k: F.coalesce(F.try_element_at(r, F.lit(k)), F.lit(""))
+    base = lambda r: F.replace(F.lower(get(r, "Parameter")), F.lit(" "), F.lit("_"))
+    each = lambda r, i: F.array(*[F.struct(base(r).alias("base"), F.lit(k.lower()).alias("kind"), i.alias("i"), parse_float(get(r, k)).alias("num")) for k in KINDS])
+    numbers = F.array_sort(F.filter(F.flatten(F.transform(rows, each)), lambda x: x["num"].isNotNull()))
+    last = lambda s: F.filter(s, lambda x, i: F.coalesce((F.get(s, i + 1)["base"] != x["base"]) | (F.get(s, i + 1)["kind"] != x["kind"]), F.lit(True)))
+    units = F.filter(F.transform(rows, lambda r: F.struct(base(r).alias("base"), get(r, "Unit").alias("unit"))), lambda x: x["unit"] != "")
+    named = lambda u: F.transform(bound(numbers, last), lambda x: F.struct(F.concat_ws("_", x["base"], x["kind"]).alias("name"), x["num"].alias("num"), F.element_at(F.filter(F.concat(F.array(F.struct(x["base"].alias("base"), F.lit(None).cast("string").alias("unit"))), u), lambda y: y["base"] == x["base"]), -1)["unit"].alias("unit")))
+    return F.array_sort(bound(units, named))
+
+
+def documents_out(verified: DataFrame, conflicts: bool = True, raw: bool = False) -> DataFrame:
+    """The document results: verification block, the table, parameters (null where they can't be named), and if asked for conflicts and the raw extractions. No row leaves its place."""
     shown = F.transform("conflicts", lambda c: F.struct(*[c[n].alias(n) for n in ("field", "vision_value", "rule_value", "severity", "resolution", "resolved_value")]))
-    out = verified.join(entries, "doc_id", "left").select(
+    return once(verified, "_rows", F.col("merged_rows")).select(
         "doc_id", F.struct("status", F.bround("confidence", 3).alias("confidence"), "resolution_method", F.size("conflicts").alias("conflict_count")).alias("verification"),
-        F.array(F.struct("vision.table_id", "vision.title", "vision.headers", F.col("merged_rows").alias("rows"))).alias("tables"), "parameters",
+        F.array(F.struct("vision.table_id", "vision.title", "vision.headers", F.col("_rows").alias("rows"))).alias("tables"), F.when(~_broken("_rows"), parameter_list(F.col("_rows"))).alias("parameters"),
         *([F.when(F.size("conflicts") > 0, shown).alias("conflicts")] if conflicts else []), *([F.struct("vision", "rule").alias("raw")] if raw else []),
     )
-    return out
 
 
 def best_per_key(df: DataFrame, keys: list[str], by: str, first: str) -> DataFrame:

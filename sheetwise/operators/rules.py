@@ -43,7 +43,7 @@ def tables_from_grids(grids: DataFrame) -> DataFrame:
     filled = F.filter(F.slice("grid", F.lit(2), F.size("grid")), lambda r: F.exists(r, lambda c: F.coalesce(c, F.lit("")) != ""))
     out = grids.where(F.size("grid") >= 2).withColumn("headers", headers)
     return out.select(
-        "doc_id", F.format_string("table_p%d_%d", "page_num", "table_idx").alias("table_id"), "page_num", table_title(F.coalesce("text", F.lit("")), F.col("table_idx")).alias("title"), "headers",
+        "doc_id", F.format_string("table_p%d_%d", "page_num", "table_idx").alias("table_id"), "page_num", "table_idx", table_title(F.coalesce("text", F.lit("")), F.col("table_idx")).alias("title"), "headers",
         F.transform(filled, lambda r: row_map(F.col("headers"), r)).alias("rows"), F.when(has_standard_headers(F.col("headers")), STANDARD_CONFIDENCE).otherwise(OTHER_CONFIDENCE).alias("confidence"),
         F.lit("rule_based").alias("extraction_method"), F.col("grid").alias("raw_data"),
     )

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import number_in, numbers_match, relative_difference, texts_match
+from ..functions.text import close, number_in, numbers_match, relative_difference, texts_match
 from ..functions.units import units_match
 
 # fixed values
@@ -45,9 +45,14 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once a row: filters and projections above it don't copy its expression, as a generator stands between."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def cell(row: Column, key: Column) -> Column:
     """The text of a cell: empty where the key is missing, None for a null under a key."""
-    return F.when(F.map_contains_key(row, key), F.coalesce(F.try_element_at(row, key), F.lit("None"))).otherwise("")
+    return F.coalesce(F.try_element_at(row, key), F.when(F.map_contains_key(row, key), "None").otherwise(""))
 
 
 def cells_match(a: Column, b: Column, tolerance: float = TOLERANCE) -> Column:
@@ -59,14 +64,18 @@ def conflict_type(key: Column, vision: Column) -> Column:
     return F.when(F.contains(F.lower(key), F.lit("unit")), "unit").when(number_in(vision).isNotNull(), "numeric").otherwise("text")
 
 
-def severity(key: Column, vision: Column, rule: Column, parameter: Column, critical=CRITICAL) -> Column:
-    """Critical by name of the column (after its last dot) or of the row's parameter; else by relative difference."""
+def _level(key: Column, x: Column, y: Column, parameter: Column, critical) -> Column:
     named = "|".join(f"\\Q{c}\\E" for c in critical or CRITICAL)
     short = F.regexp_extract(F.lower(key), r"([^.]*)$", 1)
-    gap = relative_difference(number_in(vision), number_in(rule))
+    gap = relative_difference(x, y)
     return F.when(short.rlike(named) | F.lower(parameter).rlike(named), "critical").when(gap > LARGE, "high").when(gap > NOTABLE, "medium").otherwise("low")
 
 
+def severity(key: Column, vision: Column, rule: Column, parameter: Column, critical=CRITICAL) -> Column:
+    """Critical by name of the column (after its last dot) or of the row's parameter; else by relative difference."""
+    return _level(key, number_in(vision), number_in(rule), parameter, critical)
+
+
 def fold_confidence(penalties: Column) -> Column:
     """1 less the penalties one after another, in their order, within 0 and 1."""
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.aggregate(penalties, F.lit(1.0), lambda acc, x: acc - x)))
@@ -94,14 +103,17 @@ def cell_conflicts(vision: Column, rule: Column, tolerance: float = TOLERANCE, c
 
     def of_row(pair: Column, i: Column) -> Column:
         keys = F.array_sort(F.array_union(F.map_keys(pair["v"]), F.map_keys(pair["r"])))
-        differ = F.filter(keys, lambda k: ~cells_match(cell(pair["v"], k), cell(pair["r"], k), tolerance))
+        cells = F.transform(keys, lambda k: F.struct(k.alias("k"), cell(pair["v"], k).alias("v"), cell(pair["r"], k).alias("r")))
+        # most cells are equal; of the others each number is read once
+        read = F.transform(F.filter(cells, lambda c: c["v"] != c["r"]), lambda c: F.struct(c["k"].alias("k"), c["v"].alias("v"), c["r"].alias("r"), number_in(c["v"]).alias("x"), number_in(c["r"]).alias("y")))
+        same = lambda c: F.when((c["v"] == "") | (c["r"] == ""), False).when(close(c["x"], c["y"], tolerance), True).otherwise(units_match(c["v"], c["r"]) | texts_match(c["v"], c["r"]))
 
-        def one(k: Column) -> Column:
-            v, r = cell(pair["v"], k), cell(pair["r"], k)
-            field = F.concat(F.lit("row["), i.cast("string"), F.lit("]."), k)
-            return _conflict(field, v, r, severity(k, v, r, cell(pair["v"], F.lit("Parameter")), critical), conflict_type(k, v), arbiter, i, k)
+        def one(c: Column) -> Column:
+            field = F.concat(F.lit("row["), i.cast("string"), F.lit("]."), c["k"])
+            kind = F.when(F.contains(F.lower(c["k"]), F.lit("unit")), "unit").when(c["x"].isNotNull(), "numeric").otherwise("text")
+            return _conflict(field, c["v"], c["r"], _level(c["k"], c["x"], c["y"], cell(pair["v"], F.lit("Parameter")), critical), kind, arbiter, i, c["k"])
 
-        return F.transform(differ, one)
+        return F.transform(F.filter(read, lambda c: ~same(c)), one)
 
     return F.flatten(F.transform(pairs, of_row))
 
@@ -135,9 +147,11 @@ def verify_tables(pairs: DataFrame, tolerance: float = TOLERANCE, threshold: flo
         header_conflicts(vision["headers"], rule["headers"], arbiter).cast(CONFLICT),
         metadata_conflicts(vision, rule, tolerance, arbiter).cast(CONFLICT),
     )
-    out = pairs.withColumn("conflicts", F.coalesce(F.when(rule.isNotNull(), every), none))
+    out = once(pairs, "conflicts", F.coalesce(F.when(rule.isNotNull(), every), none))
     conflicts = F.col("conflicts")
-    large = F.exists(conflicts, lambda c: (c["severity"] == "critical") & F.coalesce(relative_difference(number_in(c["vision_value"]), number_in(c["rule_value"])) > LARGE, F.lit(False)))
+    numbers = lambda c: F.struct(number_in(c["vision_value"]).alias("x"), number_in(c["rule_value"]).alias("y"))
+    far = lambda n: F.coalesce(relative_difference(n["x"], n["y"]) > LARGE, F.lit(False))
+    large = F.exists(F.transform(F.filter(conflicts, lambda c: c["severity"] == "critical"), numbers), far)
     out = out.withColumn("_raw", F.when(rule.isNull(), F.lit(VISION_ONLY)).otherwise(fold_confidence(F.transform(conflicts, lambda c: penalty(c["severity"]))))).withColumn("_large", large)
     raw = F.col("_raw")
     clean = rule.isNull() | (F.size(conflicts) == 0)
@@ -152,7 +166,7 @@ def verify_tables(pairs: DataFrame, tolerance: float = TOLERANCE, threshold: flo
     def merged_rows(found: Column) -> Column:
         return F.transform(vision["rows"], lambda row, i: bound(F.filter(found, lambda c: c["row_idx"] == i), lambda mine: merged(row, mine)))
 
-    return out.withColumns({"confidence": raw, "status": status, "resolution_method": method, "merged_rows": bound(conflicts, merged_rows)}).drop("_raw", "_large")
+    return out.withColumns({"confidence": raw, "status": status, "resolution_method": method, "merged_rows": merged_rows(conflicts)}).drop("_raw", "_large")
 
 
 def exploded_conflicts(verified: DataFrame) -> DataFrame:
@@ -169,6 +183,30 @@ def paired_cells(pairs: DataFrame) -> DataFrame:
     return out.select("doc_id", "row_idx", "key", cell(F.col("p.v"), F.col("key")).alias("vision_value"), cell(F.col("p.r"), F.col("key")).alias("rule_value"), cell(F.col("p.v"), F.lit("Parameter")).alias("parameter"))
 
 
+def matched_cells(cells: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """Adds `matched` to rows of vision_value and rule_value, with each number read once and only where the texts differ."""
+    a, b, x, y = (F.col(c) for c in ("vision_value", "rule_value", "_x", "_y"))
+    ask = (a != b) & (a != "") & (b != "")
+    read = cells.withColumns({"_x": F.when(ask, number_in(a)), "_y": F.when(ask, number_in(b))})
+    matched = F.when(a == b, True).when((a == "") | (b == ""), False).when(close(x, y, tolerance), True).otherwise(units_match(a, b) | texts_match(a, b))
+    return read.withColumn("matched", matched).drop("_x", "_y")
+
+
+def verifier(arbiter: str | Arbiter = "smart", **settings) -> Callable[[DataFrame], DataFrame]:
+    """A verification with its settings, to be applied to pairs of tables."""
+    return lambda pairs: verify_tables(pairs, arbiter=arbiter, **settings)
+
+
+def quick_verify(vision: DataFrame, rule: DataFrame | None = None) -> DataFrame:
+    """Status and confidence of tables (doc_id and the struct `table`) read once or twice; a document without a second reading stands on its own."""
+    if rule is None:
+        kind = vision.schema["table"].dataType.simpleString()
+        pairs = vision.select("doc_id", F.col("table").alias("vision"), F.lit(None).cast(kind).alias("rule"))
+    else:
+        pairs = vision.select("doc_id", F.col("table").alias("vision")).join(rule.select("doc_id", F.col("table").alias("rule")), "doc_id", "left")
+    return verify_tables(pairs).select("doc_id", "status", "confidence")
+
+
 def verifier_stats(verified: DataFrame) -> DataFrame:
     """Counters over a result table."""
     count = lambda s: F.count_if(F.col("status") == s)
