@@ -1,9 +1,11 @@
 """Command line: extract, batch, verify, export, stats.
 
-python -m sheetwise.cli batch IN OUT --parser package.module:function [--csv]
+python -m sheetwise.cli batch IN OUT --parser package.module:function [--second package.module:function] [--csv]
 
-A parser yields the pages of a file's bytes as dicts (text, tables, width, height). Without a model the
-rule tables of the pages are all there is, so each stands alone as a table read once.
+A parser yields the pages of a file's bytes as dicts (text, tables, width, height). With a second one (a
+reader of other means, such as a model behind a parser) every table is read twice and verified; a table
+that one of them alone finds stands on its own, as all do without a second parser. All tables of a file
+are kept, one row each; the parameters of a file come from all of them, in the order of pages.
 """
 
 import argparse
@@ -31,16 +33,43 @@ def load(name: str):
     return getattr(importlib.import_module(module), function)
 
 
-def process(found: DataFrame, parse) -> DataFrame:
-    """Document results of files: the first table of each, verified on its own; `error` where a file failed."""
+def tables_of(pages: DataFrame, name: str) -> DataFrame:
+    tables = rules.extract_page_tables(pages)
+    return tables.select("doc_id", "page_num", "table_idx", F.struct("table_id", "title", "headers", "rows", "confidence", "extraction_method").alias(name))
+
+
+def process(found: DataFrame, parse, second=None) -> DataFrame:
+    """Results of files, one row for each table (doc_id, page_num, table_idx) and one for each file without any; `error` where a file failed."""
     pages = files.read_pages(found, parse)
-    tables = rules.extract_page_tables(pages).groupBy("doc_id").agg(F.min_by(F.struct("table_id", "title", "headers", "rows", "confidence", "extraction_method"), F.struct("page_num", "table_id")).alias("vision"))
-    failed = pages.groupBy("doc_id").agg(F.first("error", ignorenulls=True).alias("error"))
-    verified = verify.verify_tables(tables.withColumn("rule", F.lit(None).cast(TABLE)))
-    return verified.join(failed, "doc_id", "full")
+    errors = pages.groupBy("doc_id").agg(F.first("error", ignorenulls=True).alias("error"))
+    tables = tables_of(pages, "vision")
+    if second is None:
+        pairs = tables.withColumn("rule", F.lit(None).cast(TABLE))
+    else:
+        both = tables_of(files.read_pages(found, second), "seen").join(tables.withColumnRenamed("vision", "read"), ["doc_id", "page_num", "table_idx"], "full")
+        pairs = both.select("doc_id", "page_num", "table_idx", F.coalesce("seen", "read").alias("vision"), F.when(F.col("seen").isNotNull(), F.col("read")).alias("rule"))
+    return verify.verify_tables(pairs).join(errors, "doc_id", "full")
+
+
+def of_documents(results: DataFrame) -> DataFrame:
+    """One row for each file: its worst confidence, its first table's confidence, method and id, and the first error."""
+    first = F.struct("page_num", "table_idx", F.col("vision.confidence").alias("confidence"), F.col("vision.extraction_method").alias("method"), F.col("vision.table_id").alias("table_id"))
+    docs = results.groupBy("doc_id").agg(F.min("confidence").alias("confidence"), F.min(F.when(F.col("vision").isNotNull(), first)).alias("t"), F.first("error", ignorenulls=True).alias("error"))
+    return docs.select("doc_id", F.col("doc_id").alias("source_file"), "confidence", F.col("t.confidence").alias("table_confidence"), F.col("t.method").alias("method"), F.when(F.col("t").isNotNull(), F.array("t.table_id")).alias("table_ids"), "error")
+
+
+def numbers_of(results: DataFrame) -> DataFrame:
+    return params.long_parameters(results.where("vision IS NOT NULL"), order=("page_num", "table_idx"))
+
+
+def importer_of(results: DataFrame) -> DataFrame:
+    docs = of_documents(results).where("table_ids IS NOT NULL")
+    wide = params.parameter_maps(numbers_of(results)).join(docs.select("doc_id", "source_file", "confidence"), "doc_id", "right")
+    none = F.lit(None).cast("string")
+    return params.importer_rows(wide.withColumns({"params": F.coalesce("params", F.create_map().cast("map<string,double>")), "mpn": none, "manufacturer": none}))
 
 
-def run_batch(spark: SparkSession, source: str, out: str, parse, pattern: str = "*.pdf", csv: bool = False) -> DataFrame:
+def run_batch(spark: SparkSession, source: str, out: str, parse, pattern: str = "*.pdf", csv: bool = False, second=None) -> DataFrame:
     """Files without an output yet; writes results, report and, if asked, the importer CSV. Returns the summary."""
     began = time.monotonic()
     every = files.list_files(spark, source, pattern)
@@ -51,17 +80,17 @@ def run_batch(spark: SparkSession, source: str, out: str, parse, pattern: str =
             raise
         done = spark.createDataFrame([], "path string")
     todo = batch.pending_files(every, done)
-    results = process(todo, parse)
+    results = process(todo, parse, second)
     results.write.mode("append").parquet(f"{out}/results")
     written = spark.read.parquet(f"{out}/results")
-    status = F.when(F.col("error").isNotNull() | F.col("vision").isNull(), "failed").otherwise("success")
-    now = written.join(todo.select(F.col("path").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("file"), status.alias("status"), "confidence", F.lit(out).alias("output"), F.coalesce("error", F.lit("no table")).alias("error"))
+    docs = of_documents(written)
+    status = F.when(F.col("error").isNotNull() | F.col("table_ids").isNull(), "failed").otherwise("success")
+    now = docs.join(todo.select(F.col("path").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("file"), status.alias("status"), "confidence", F.lit(out).alias("output"), F.coalesce("error", F.lit("no table")).alias("error"))
     skipped = every.join(now.select(F.col("file").alias("path")), "path", "left_anti").select(F.col("path").alias("file"), F.lit("skipped").alias("status"), F.lit(None).cast("double").alias("confidence"), F.lit(out).alias("output"), F.lit("").alias("error"))
     both = now.unionByName(skipped)
     files.write_report(batch.batch_report(both, time.monotonic() - began, datetime.now().isoformat()), f"{out}/report")
     if csv:
-        docs = params.parameter_maps(params.long_parameters(written.where("vision IS NOT NULL"))).join(written.select("doc_id", "confidence"), "doc_id")
-        files.write_csv(params.importer_rows(docs.withColumns({"source_file": F.col("doc_id"), "mpn": F.lit(None).cast("string"), "manufacturer": F.lit(None).cast("string")})), f"{out}/for_import_script")
+        files.write_csv(importer_of(written), f"{out}/for_import_script")
     return batch.batch_summary(both)
 
 
@@ -73,6 +102,7 @@ def main(args: list[str] | None = None) -> int:
         c.add_argument("source")
         c.add_argument("out")
         c.add_argument("--parser", required=True)
+        c.add_argument("--second")
         c.add_argument("--pattern", default="*.pdf")
         c.add_argument("--csv", action="store_true")
     for name in ("verify", "stats"):
@@ -84,25 +114,21 @@ def main(args: list[str] | None = None) -> int:
     a = p.parse_args(args)
     spark = session()
     if a.command in ("extract", "batch"):
-        summary = run_batch(spark, a.source, a.out, load(a.parser), a.pattern, a.csv).first()
+        summary = run_batch(spark, a.source, a.out, load(a.parser), a.pattern, a.csv, load(a.second) if a.second else None).first()
         print(", ".join(f"{k} {v}" for k, v in summary.asDict().items()))
         return int(summary["failed"] > 0)
     results = spark.read.parquet(f"{a.out}/results").where("vision IS NOT NULL")
     if a.command == "verify":
-        rows = results.select("doc_id", "status", "confidence", "resolution_method", F.size("conflicts").alias("conflict_count"))
+        rows = results.select("doc_id", "vision.table_id", "status", "confidence", "resolution_method", F.size("conflicts").alias("conflict_count"))
         print(*rows.columns, sep="\t")
         for r in rows.toLocalIterator():
             print(*r, sep="\t")
     elif a.command == "stats":
-        verify.verifier_stats(results).show()
+        print(", ".join(f"{k} {v}" for k, v in verify.verifier_stats(results).first().asDict().items()))
+    elif a.format == "review":
+        files.write_json(params.review_records(numbers_of(results), of_documents(results).drop("error")), a.target)
     else:
-        numbers = params.long_parameters(results)
-        docs = results.select("doc_id", F.col("doc_id").alias("source_file"), F.col("vision.confidence").alias("table_confidence"), "confidence", F.col("vision.extraction_method").alias("method"), F.array("vision.table_id").alias("table_ids"))
-        if a.format == "review":
-            files.write_json(params.review_records(numbers, docs), a.target)
-        else:
-            wide = params.parameter_maps(numbers).join(docs.select("doc_id", "source_file", "confidence"), "doc_id").withColumns({"mpn": F.lit(None).cast("string"), "manufacturer": F.lit(None).cast("string")})
-            files.write_csv(params.importer_rows(wide), a.target)
+        files.write_csv(importer_of(results), a.target)
     return 0
 
 

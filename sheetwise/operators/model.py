@@ -8,6 +8,7 @@ since tasks may run again.
 import base64
 import json
 import time
+import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -31,9 +32,28 @@ PROMPTS = {
 Client = Callable[[str, str], dict]
 
 
+class HttpClient:
+    """Posts prompt and image to a chat-completions endpoint. Raises on any failure; `ask_model` turns that into a failed answer."""
+
+    def __init__(self, url: str, key: str, model: str = DEFAULT_MODEL, timeout: float = 60.0, most_tokens: int = 4096):
+        self.url, self.key, self.model, self.timeout, self.most_tokens = url, key, model, timeout, most_tokens
+
+    def __call__(self, prompt: str, image: str) -> dict:
+        parts = [{"type": "text", "text": prompt}] + ([{"type": "image_url", "image_url": {"url": f"data:image/png;base64,{image}"}}] if image else [])
+        body = {"model": self.model, "messages": [{"role": "user", "content": parts}], "max_tokens": self.most_tokens}
+        request = urllib.request.Request(self.url, json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})
+        with urllib.request.urlopen(request, timeout=self.timeout) as response:
+            got = json.load(response)
+        used = got.get("usage") or {}
+        read, written = used.get("prompt_tokens", 0), used.get("completion_tokens", 0)
+        price = PRICES.get(self.model, PRICES[DEFAULT_MODEL])
+        return {"content": got["choices"][0]["message"]["content"], "model": self.model, "prompt_tokens": read, "completion_tokens": written, "cost_usd": read / 1000 * price[0] + written / 1000 * price[1]}
+
+
 class MockClient:
     """Answers by the words of the prompt: a table, a block diagram, else the prompt's first 100 characters."""
 
+    # fixed values
     table = {"title": "Electrical Characteristics", "headers": ["Parameter", "Min", "Typ", "Max", "Unit"], "rows": [{"Parameter": "Input Voltage", "Min": "4.5", "Typ": "", "Max": "36", "Unit": "V"}, {"Parameter": "Output Current", "Min": "", "Typ": "3", "Max": "", "Unit": "A"}]}
     graph = {"nodes": [{"id": "1", "label": "Input", "type": "pin"}, {"id": "2", "label": "Output", "type": "pin"}], "edges": [{"from": "1", "to": "2", "label": "", "type": "power"}, {"from": "2", "to": "1", "label": "", "type": "feedback"}]}
 
@@ -67,9 +87,43 @@ def json_answer(content: Column, schema: str) -> Column:
 
 
 def within_budget(requests: DataFrame, budget: float, estimate: str = "estimated_cost", order: str = "request_id", waves: str = "wave") -> DataFrame:
-    """The requests of each wave whose costs, in order, start below the budget. A wave is the unit that is run and paid together."""
-    before = F.coalesce(F.sum(estimate).over(Window.partitionBy(waves).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return requests.withColumn("_before", before).where(F.col("_before") < budget).drop("_before")
+    """Adds `sent` and `error`: a request is sent while the costs before it, over all waves in their order, are below the budget; else it fails with the reason.
+
+    Costs are summed by wave, so a window holds one wave, or one row of each wave.
+    """
+    sums = requests.groupBy(F.col(waves).alias("_wave")).agg(F.sum(estimate).alias("_cost"))
+    earlier = Window.orderBy("_wave").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_wave", F.coalesce(F.sum("_cost").over(earlier), F.lit(0)).alias("_earlier"))
+    inside = F.coalesce(F.sum(estimate).over(Window.partitionBy(waves).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    joined = requests.withColumn("_inside", inside).join(sums, F.col(waves).eqNullSafe(F.col("_wave")))
+    spent = (F.col("_earlier") + F.col("_inside")).cast("double")
+    out = joined.withColumn("sent", spent < budget).withColumn("error", F.when(spent >= budget, budget_error(spent, budget)))
+    return out.drop("_wave", "_earlier", "_inside")
+
+
+def budget_error(spent: Column, budget: float) -> Column:
+    return F.concat(F.format_string("Budget exceeded: $%.2f >= ", spent), F.lit(f"${budget:.2f}"))
+
+
+def ask_in_waves(waves: list[DataFrame], make_client: Callable[[], Client], budget: float, keep: Callable[[DataFrame, int], DataFrame], attempts: int = 3, wait: Callable[[int], float] = lambda n: 2.0**n) -> DataFrame:
+    """Answers to waves of requests, one after another, until what the answers cost reaches the budget; the requests of later waves fail without a call.
+
+    `keep` writes the answers of a wave and returns the written table: calls are made once, and the
+    costs are read from it. With waves of one request the budget stops where a loop over requests would.
+    """
+    spent, every = 0.0, []
+    for n, requests in enumerate(waves):
+        if spent < budget:
+            answers = keep(ask_model(requests, make_client, attempts, wait), n)
+            spent += spend(answers).first()["total_cost"]
+        else:
+            none = {"success": F.lit(False), "content": F.lit(None).cast("string"), "error": budget_error(F.lit(spent), budget), "model": F.lit(None).cast("string"), "latency_ms": F.lit(0), "tokens_used": F.lit(0), "cost_usd": F.lit(0.0), "attempts": F.lit(0)}
+            answers = requests.select(F.col("request_id").cast("string"), *[c.alias(name) for name, c in none.items()])
+        every.append(answers)
+    out = every[0]
+    for more in every[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def ask_model(requests: DataFrame, make_client: Callable[[], Client], attempts: int = 3, wait: Callable[[int], float] = lambda n: 2.0**n) -> DataFrame:

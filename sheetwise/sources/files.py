@@ -6,6 +6,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.naming import diagram_type, maker_in_text, part_in_text
+from ..functions.text import file_stem
+
 PAGE = "doc_id string, page_num int, text string, tables array<array<array<string>>>, width double, height double, error string"
 RENDERED = "doc_id string, page_num int, image binary, width int, height int, dpi int"
 RESULT = (
@@ -19,22 +22,26 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> Data
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "false").load(folder).select("path", "length", "content")
 
 
-def read_pages(files: DataFrame, parse: Callable[[bytes], Iterator[dict]]) -> DataFrame:
+def read_pages(files: DataFrame, parse: Callable[[bytes], Iterator[dict]], attempts: int = 3) -> DataFrame:
     """One row for each page of each file (path, content), numbered from 1.
 
-    `parse` yields dicts with text, tables, width and height; it runs on the executors. What it raises
+    `parse` yields dicts with text, tables, width and height; it runs on the executors. A file that
+    raises is read again from its start, `attempts` times in all; what the last time raises
     becomes a row with `error` after the pages that came before.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                rows, n = [], 0
-                try:
-                    for n, p in enumerate(parse(r.content), 1):
-                        rows.append((r.path, n, p.get("text") or "", p.get("tables") or [], p.get("width"), p.get("height"), None))
-                except Exception as e:  # a bad file must not end the job
-                    rows.append((r.path, n + 1, "", [], None, None, f"{type(e).__name__}: {e}"))
+                for again in range(max(attempts, 1), 0, -1):
+                    rows, n = [], 0
+                    try:
+                        for n, p in enumerate(parse(r.content), 1):
+                            rows.append((r.path, n, p.get("text") or "", p.get("tables") or [], p.get("width"), p.get("height"), None))
+                        break
+                    except Exception as e:  # a bad file must not end the job
+                        if again == 1:
+                            rows.append((r.path, n + 1, "", [], None, None, f"{type(e).__name__}: {e}"))
                 yield pd.DataFrame(rows, columns=["doc_id", "page_num", "text", "tables", "width", "height", "error"])
 
     return files.select("path", "content").mapInPandas(run, PAGE)
@@ -86,6 +93,60 @@ def table_regions(pages: DataFrame) -> DataFrame:
     return grids.select("doc_id", "page_num", F.format_string("table_%d_%d", "page_num", "i").alias("region_id"), F.struct(F.lit(50.0).alias("x0"), y.alias("y0"), F.lit(550.0).alias("x1"), (y + 200).alias("y1")).alias("bbox"), F.lit("table").alias("region_type"))
 
 
+DIAGRAM = "diagram_id string, page_num int, caption string, diagram_type string, nodes array<struct<id: string, label: string, type: string>>, edges array<struct<`from`: string, `to`: string, label: string, type: string>>, bbox array<double>"
+
+
+def diagram_pages(pages: DataFrame) -> DataFrame:
+    """doc_id, page_num and diagram_type of the pages whose text names a diagram."""
+    return pages.select("doc_id", "page_num", diagram_type(F.col("text")).alias("diagram_type")).where("diagram_type IS NOT NULL")
+
+
+def extract_diagrams(pages: DataFrame, ask: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Diagrams of the pages that name one, as `ask` (diagram pages -> doc_id and the columns of DIAGRAM) finds them; none without it."""
+    if ask is None:
+        return pages.sparkSession.createDataFrame([], f"doc_id string, {DIAGRAM}")
+    return ask(diagram_pages(pages))
+
+
+def page_documents(pages: DataFrame, tables: DataFrame, diagrams: DataFrame | None = None, version: str = "0.3") -> DataFrame:
+    """One document for each file of a page scan: doc_id, metadata, tables, diagrams, parameters. Errors of pages are not in it.
+
+    Part number and maker come from the text of page 1. A file without a table or a diagram has empty lists.
+    """
+    first = pages.groupBy("doc_id").agg(F.max_by("text", F.when(F.col("page_num") == 1, 1)).alias("text"), F.count_if(F.col("error").isNull()).alias("n"))
+    table = F.struct("table_id", "page_num", "title", "headers", "rows", "confidence", "extraction_method", "raw_data")
+    place = lambda x: x["page_num"] * 1_000_000 + F.coalesce(x["table_idx"], F.lit(999_999))
+    order = lambda a, b: F.signum(place(a) - place(b)).cast("int")
+    number = F.col("table_idx") if "table_idx" in tables.columns else F.lit(0)
+    listed = tables.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(F.col("page_num").cast("long").alias("page_num"), number.alias("table_idx"), table.alias("t"))), order).alias("l")).select("doc_id", F.transform("l", lambda x: x["t"]).alias("tables"))
+    drawn = diagrams if diagrams is not None else extract_diagrams(pages)
+    drawn = drawn.groupBy("doc_id").agg(F.collect_list(F.struct("diagram_id", "page_num", "caption", "diagram_type", "nodes", "edges")).alias("diagrams"))
+    joined = first.join(listed, "doc_id", "left").join(drawn, "doc_id", "left")
+    text = F.coalesce("text", F.lit(""))
+    about = F.struct(F.col("doc_id").alias("source_file"), part_in_text(text).alias("mpn"), maker_in_text(text).alias("manufacturer"), F.col("n").cast("int").alias("total_pages"), F.lit(version).alias("extractor_version"))
+    kinds = dict(joined.dtypes)
+    empty = lambda c: F.coalesce(c, F.array().cast(kinds[c])).alias(c)
+    return joined.select("doc_id", about.alias("metadata"), empty("tables"), empty("diagrams"), F.create_map().cast("map<string,string>").alias("parameters"))
+
+
+def prototype_documents(tables: DataFrame, diagrams: DataFrame, source: str) -> DataFrame:
+    """The prototype's document: metadata with source and extractor, tables and diagrams, of one file."""
+    about = F.struct(F.lit(source).alias("source"), F.lit("prototype").alias("extractor"))
+    listed = lambda df, name: df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
+    return listed(tables, "tables").join(listed(diagrams, "diagrams")).select(about.alias("metadata"), "tables", "diagrams")
+
+
+def json_text(df: DataFrame) -> DataFrame:
+    """doc_id and the document as indented JSON text; null fields are left out."""
+    return df.select("doc_id", F.to_json(F.struct(*[c for c in df.columns if c != "doc_id"]), {"pretty": "true"}).alias("json"))
+
+
+def write_documents(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One JSON file for each document, in a folder named by its file's stem."""
+    named = json_text(df).select(file_stem("doc_id").alias("name"), "json")
+    named.repartition("name").write.mode(mode).partitionBy("name").option("lineSep", "\n").text(path)
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Stored document results, one JSON document a file."""
     return spark.read.schema(RESULT).option("multiLine", "true").json(path)

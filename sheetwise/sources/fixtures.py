@@ -1,9 +1,11 @@
 """Small extractions that need no file, and pairs of extractions derived from the star-schema tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TABLE = "struct<table_id: string, title: string, headers: array<string>, rows: array<map<string,string>>, confidence: double, extraction_method: string>"
+# fixed values: the demo table, and dollars of a mocked call
+MOCK_COST = 0.002
 HEADERS = ["Parameter", "Test Condition", "Min", "Typ", "Max", "Unit"]
 DEMO = [
     ("Input Voltage Range", "", "4.2", "", "36", "V"),
@@ -22,8 +24,25 @@ def demo_pair(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([("demo", table("vision", DEMO, 0.95), table("rule", rule, 0.85))], f"doc_id string, vision {TABLE}, rule {TABLE}")
 
 
+def mock_readings(files: DataFrame) -> DataFrame:
+    """The demo table for each file (path) as both extractors give it: the first one's tables are numbered by calls, in the order of the files."""
+    pair = demo_pair(files.sparkSession).select("vision", "rule")
+    calls = files.select(F.col("path").alias("doc_id"), F.row_number().over(Window.orderBy("path")).alias("call"))
+    read = calls.join(F.broadcast(pair))
+    named = lambda c: F.concat(F.lit(f"{c}_table_"), F.col("call").cast("string"))
+    return read.select("doc_id", F.col("vision").withField("table_id", named("vision")).alias("vision"), F.col("rule").withField("table_id", named("rule")).alias("rule"), F.lit(MOCK_COST).alias("cost_usd"))
+
+
+def prototype_table(spark: SparkSession) -> DataFrame:
+    """The prototype's table of two rows."""
+    heads = ["Parameter", "Test Conditions", "Min", "Typ", "Max", "Unit"]
+    rows = [("VIN_UVLO", "Rising", "3.8", "4.1", "4.4", "V"), ("I_Q", "Non-switching", "-", "25", "40", "uA")]
+    return spark.createDataFrame([(5, "Electrical Characteristics", heads, [dict(zip(heads, r, strict=True)) for r in rows], [50.0, 200.0, 550.0, 400.0], 0.95)], "page_num int, title string, headers array<string>, rows array<map<string,string>>, bbox array<double>, confidence double")
+
+
 def prototype_graph(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("VIN", "L1", "power"), ("L1", "VOUT", "power"), ("VOUT", "FB", "feedback")], "source string, target string, type string")
+    """The prototype's edges."""
+    return spark.createDataFrame([("VIN", "UVLO_Comparator"), ("UVLO_Comparator", "Enable_Logic"), ("Feedback_Pin", "Error_Amp")], "source string, target string")
 
 
 # how the pairs are derived: names by part type, units by part, and what the second extraction gets wrong by part

@@ -13,12 +13,15 @@ def watch_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", files_
     return spark.readStream.format("binaryFile").schema(BINARY).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_a_batch).load(folder)
 
 
-def run_batches(stream: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, progress: Callable[[int, int], None] | None = None) -> StreamingQuery:
-    """Hands every micro-batch to `process` and stops when nothing is left; the checkpoint replaces looking for outputs."""
+def run_batches(stream: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, progress: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Hands every micro-batch to `process` and stops when nothing is left; the checkpoint replaces looking for outputs.
+
+    `progress` is called with the batch's number before it; the batch is read once, by `process`.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
         if progress:
-            progress(number, batch.count())
+            progress(number)
         process(batch, number)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from sheetwise import cli
+from sheetwise import cli, config, registry
 from sheetwise.functions import naming, text, units
 from sheetwise.operators import batch, merges, model, params, rules, verify
 from sheetwise.sources import files, fixtures
@@ -98,7 +98,7 @@ def test_demo_pair(spark):
     record = params.review_records(numbers, about).first()
     assert record["manufacturer"] == "Texas Instruments" and set(record["params"]) == {"v_in_min", "v_in_max", "i_q", "i_q_max", "i_out_max", "fsw_min", "fsw", "fsw_max", "efficiency"}
     assert record["params"]["i_q"].asDict() == {"value": 25.0, "unit": "µA", "confidence": 0.95, "source": "page_1_vision_table_1", "verified_by": ["vision", "pdfplumber"], "needs_review": False}
-    out = params.documents_out(done, numbers, raw=True).first()
+    out = params.documents_out(done, raw=True).first()
     assert out["verification"]["conflict_count"] == 1 and len(out["parameters"]) == 9 and out["raw"]["rule"]["rows"][1]["Unit"] == "uA"
     wide = params.wide_parameters(numbers).first().asDict()
     assert list(wide)[1:] == sorted(list(wide)[1:]) and wide["efficiency_typ"] == 92.0
@@ -225,3 +225,125 @@ def test_verify_prints_all_documents(spark, tmp_path, capsys):
     assert cli.main(["verify", str(tmp_path)]) == 0
     lines = capsys.readouterr().out.splitlines()
     assert sum(x.startswith("d") and "\tverified\t0.9\tnone\t1" in x for x in lines) == 1200
+
+
+def test_two_readers_are_verified(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "tps1.pdf").write_bytes(b"36")
+
+    def other(content):
+        yield {"text": "Electrical Characteristics", "tables": [[["Parameter", "Min", "Max", "Unit"], ["Input Voltage Range", "4.2", "24", "V"]], [["Parameter", "Typ", "Unit"], ["Quiescent Current", "25", "uA"]]], "width": 1.0, "height": 1.0}
+
+    cli.run_batch(spark, str(source), out, parse, second=other, csv=True)
+    rows = {r["table_idx"]: r for r in spark.read.parquet(f"{out}/results").collect()}
+    assert rows[0]["resolution_method"] == "auto_resolved" and rows[0]["conflicts"][0]["field"] == "row[0].Max" and rows[1]["resolution_method"] == "vision_only"
+    line = spark.read.option("header", True).csv(f"{out}/for_import_script").first()
+    assert (line["Vin_max"], line["Iq_typ"], line["Category"]) == ("24.0", "25.0", "LDO")
+
+
+def test_documents_are_written_one_by_one(spark, tmp_path):
+    docs = spark.createDataFrame([("/a/x.pdf", "verified"), ("/a/y.pdf", "conflict")], "doc_id string, status string")
+    files.write_documents(docs, str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["name=x", "name=y"]
+    assert {(r["name"], r["status"]) for r in spark.read.option("multiLine", True).json(str(tmp_path / "out")).collect()} == {("x", "verified"), ("y", "conflict")}
+
+
+def test_files_are_tried_again(spark, tmp_path):
+    mark = tmp_path / "tries"
+
+    def flaky(content):
+        with mark.open("a") as f:
+            f.write("x")
+        yield {"text": "a"}
+        if content == b"bad" or len(mark.read_text()) < 3:
+            raise OSError("gone")
+
+    data = spark.createDataFrame([("p", b"good")], "path string, content binary")
+    assert [(r["page_num"], r["error"]) for r in files.read_pages(data, flaky).collect()] == [(1, None)] and mark.read_text() == "xxx"
+    mark.unlink()
+    bad = spark.createDataFrame([("p", b"bad")], "path string, content binary")
+    assert [(r["page_num"], r["error"]) for r in files.read_pages(bad, flaky).collect()] == [(1, None), (2, "OSError: gone")] and mark.read_text() == "xxx"
+
+
+def test_budget_over_waves(spark, tmp_path):
+    class Dear(model.MockClient):
+        def __call__(self, prompt, image):
+            return super().__call__(prompt, image) | {"cost_usd": 0.6}
+
+    def keep(answers, n):
+        answers.write.parquet(str(tmp_path / str(n)))
+        return spark.read.parquet(str(tmp_path / str(n)))
+
+    wave = lambda *ids: spark.createDataFrame([(i, "table", None) for i in ids], "request_id string, prompt string, image binary")
+    got = {r["request_id"]: (r["success"], r["error"]) for r in model.ask_in_waves([wave("a"), wave("b"), wave("c", "d")], Dear, 1.0, keep).collect()}
+    over = (False, "Budget exceeded: $1.20 >= $1.00")
+    assert got == {"a": (True, None), "b": (True, None), "c": over, "d": over}
+
+
+def test_http_client():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            shown = asked["messages"][0]["content"]
+            body = json.dumps({"choices": [{"message": {"content": shown[0]["text"] + "/" + shown[1]["image_url"]["url"]}}], "usage": {"prompt_tokens": 1000, "completion_tokens": 2000}}).encode()
+            self.send_response(200 if self.headers["Authorization"] == "Bearer k" else 401)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/v1"
+    got = model.HttpClient(url, "k", "gpt-4o")("table", "aW1n")
+    assert got["content"] == "table/data:image/png;base64,aW1n" and got["cost_usd"] == pytest.approx(0.035)
+    with pytest.raises(OSError):
+        model.HttpClient(url, "wrong")("table", "")
+    server.shutdown()
+
+
+def test_settings(tmp_path):
+    assert config.Settings.from_dict({"include_raw": True, "unheard": 1}).include_raw
+    own = config.Settings(critical_params=["Vin", "I: q"], vision_model="it's", budget_per_datasheet=1.5)
+    own.to_yaml(str(tmp_path / "c.yaml"))
+    assert config.Settings.from_yaml(str(tmp_path / "c.yaml")) == own
+    (tmp_path / "d.yaml").write_text("# own\nvision_model: gpt-4o # big\nverification_enabled: false\ncritical_params:\n  - Vin\n  - 'Iq'\n")
+    read = config.Settings.from_yaml(str(tmp_path / "d.yaml"))
+    assert (read.vision_model, read.verification_enabled, read.critical_params) == ("gpt-4o", False, ["Vin", "Iq"])
+    with pytest.raises(TypeError):
+        config.Settings(**config.parse_yaml("unheard: 1"))
+
+
+def test_registry(spark):
+    registry.ARBITERS.register("none", lambda kind, vision, rule: F.lit("vision_wins"))
+    assert "none" in registry.KINDS["arbiter"].list_types() and verify.ARBITERS["none"]
+    registry.ARBITERS.parts.pop("none")
+    with pytest.raises(ValueError, match="no client named"):
+        registry.CLIENTS.create("unheard")
+
+
+# fixed values, as a second copy of the tables that the engine looks up
+GOLDEN_UNITS = {"ua": "µA", "μa": "µA", "micro-amp": "µA", "ma": "mA", "amps": "A", "uv": "µV", "millivolt": "mV", "volt": "V", "kv": "kV", "microwatt": "µW", "mw": "mW", "watts": "W", "kw": "kW", "uf": "µF", "nf": "nF", "pf": "pF", "uh": "µH", "mh": "mH", "nh": "nH", "r": "Ω", "k-ohm": "kΩ", "mr": "MΩ", "hertz": "Hz", "khz": "kHz", "mhz": "MHz", "ghz": "GHz", "deg c": "°C", "f": "°F", "nanosec": "ns", "us": "µs", "millisec": "ms", "sec": "s"}
+GOLDEN_MAKERS = {"LM317": "Texas Instruments", "TPS1": "Texas Instruments", "MAX1": "Analog Devices", "AD8": "Analog Devices", "LT1": "Analog Devices", "LTC1": "Analog Devices", "MCP1": "Microchip", "PIC1": "Microchip", "STM32": "STMicroelectronics", "NCP1": "onsemi", "MC78": "onsemi", "ISL1": "Renesas", "IR21": "Infineon", "INA1": "Texas Instruments", "OPA2": "Texas Instruments", "XYZ": ""}
+GOLDEN_NAMES = {"input_voltage_range_min": "v_in_min", "input_voltage_range_max": "v_in_max", "output_voltage_min": "v_out_min", "output_voltage_max": "v_out_max", "output_current_max": "i_out_max", "quiescent_current_typ": "i_q", "quiescent_current_max": "i_q_max", "switching_frequency_typ": "fsw", "switching_frequency_min": "fsw_min", "switching_frequency_max": "fsw_max", "efficiency_typ": "efficiency", "other": "other"}
+GOLDEN_HEADERS = {"Param.": "Parameter", "SYMBOL": "Symbol", "Test Conditions": "Test_Conditions", "Conditions": "Test_Conditions", "MIN.": "Min", "Typical": "Typ", "max value": "Max", "Units": "Unit", "Description": "Description", "": "Unknown", "Note": "Note", "a min": "a min"}
+GOLDEN_TITLES = {"see ELECTRICAL characteristics": "Electrical Characteristics", "Absolute Maximum Ratings": "Absolute Maximum Ratings", "recommended operating conditions": "Recommended Operating Conditions", "thermal information": "Thermal Information", "pin functions": "Pin Functions", "device comparison": "Device Comparison", "none": "Table 1"}
+GOLDEN_DIAGRAMS = {"block diagram": "block_diagram", "Functional Diagram": "block_diagram", "typical application": "typical_app", "application circuit": "typical_app", "Pin Configuration": "pinout", "package": "pinout", "none": None}
+GOLDEN_CATEGORIES = {"Input range": True, "x characteristics": True, "absolute 1 2 3 4 5 6": True, "12 conditions": True, "dc 12345": True, "ac/12345": False, "abcde1": True, "abcd12": False, "": False}
+
+
+@pytest.mark.parametrize(
+    ("table", "function"),
+    [
+        (GOLDEN_UNITS, lambda c: units.normal_unit(c)), (GOLDEN_MAKERS, lambda c: naming.maker_of_part(c)), (GOLDEN_NAMES, lambda c: naming.review_name(c)), (GOLDEN_HEADERS, lambda c: rules.normal_header(c)),
+        (GOLDEN_TITLES, lambda c: naming.table_title(c, F.lit(0))), (GOLDEN_DIAGRAMS, lambda c: naming.diagram_type(c)), (GOLDEN_CATEGORIES, lambda c: merges.is_category(c)),
+    ],
+)
+def test_golden_tables(spark, table, function):
+    got = spark.createDataFrame([(k,) for k in table], "k string").select("k", function(F.col("k")).alias("v")).collect()
+    assert {r["k"]: r["v"] for r in got} == table
