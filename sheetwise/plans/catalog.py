@@ -33,11 +33,15 @@ def query(oracle: str):
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    from . import extraction  # registers its own
+
+    return dict(extraction.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    from . import extraction
+
+    return dict(extraction.SQL)
 
 
 def _pairs(spark, sf_dir):
@@ -56,6 +60,10 @@ def _params(spark, sf_dir):
     return params.long_parameters(_verified(spark, sf_dir))
 
 
+def _compared(spark, sf_dir):
+    return verify.matched_cells(verify.paired_cells(_pairs(spark, sf_dir)))
+
+
 # comparators -------------------------------------------------------------------------------------
 
 
@@ -94,33 +102,32 @@ def cells_zip_join(t, spark, sf_dir):
 
 @query(f"WITH {sql.CELLS} SELECT doc_id, row_idx, key, matched FROM cmp")
 def cell_match(t, spark, sf_dir):
-    cells = verify.paired_cells(_pairs(spark, sf_dir))
-    return cells.select("doc_id", F.col("row_idx").cast("long").alias("row_idx"), "key", verify.cells_match(F.col("vision_value"), F.col("rule_value")).alias("matched"))
+    return _compared(spark, sf_dir).select("doc_id", F.col("row_idx").cast("long").alias("row_idx"), "key", "matched")
 
 
 # conflicts and verdicts --------------------------------------------------------------------------
 
 
-@query(f"WITH {sql.CONFLICTS}, t AS (SELECT doc_id, field, vision_value, rule_value, severity, conflict_type, resolution FROM conflicts) SELECT *, CASE WHEN resolution = 'rule_wins' THEN rule_value ELSE vision_value END AS resolved_value FROM t")
+# odd documents have table names that differ only in their first word: one low conflict, always last
+_WITH_IDS = sql.CONFLICTS.replace("conflicts AS (SELECT", "conflicts AS (SELECT", 1).replace(
+    "WHERE doc_id % 11 = 0 AND doc_id % 31 <> 5),",
+    "WHERE doc_id % 11 = 0 AND doc_id % 31 <> 5\n  UNION ALL SELECT doc_id, 2000000, 'table_id', 'table_id', 'vision_table_' || doc_id, 'rule_table_' || doc_id, 'low', 'text' FROM docs WHERE doc_id % 2 = 1 AND doc_id % 31 <> 5 AND NOT "
+    + f"coalesce({sql.number(chr(39) + 'vision_table_' + chr(39) + ' || doc_id')} = {sql.number(chr(39) + 'rule_table_' + chr(39) + ' || doc_id')}, false)),",
+)
+
+
+@query(f"WITH {_WITH_IDS}, t AS (SELECT doc_id, field, vision_value, rule_value, severity, conflict_type, resolution FROM conflicts) SELECT *, CASE WHEN resolution = 'rule_wins' THEN rule_value ELSE vision_value END AS resolved_value FROM t")
 def conflict_list(t, spark, sf_dir):
-    return _conflicts(spark, sf_dir).where("field <> 'table_id'").select("doc_id", "field", "vision_value", "rule_value", "severity", "conflict_type", "resolution", "resolved_value")
+    return _conflicts(spark, sf_dir).select("doc_id", "field", "vision_value", "rule_value", "severity", "conflict_type", "resolution", "resolved_value")
 
 
 for _name, _column in (("conflict_type_counts", "conflict_type"), ("severity_counts", "severity"), ("arbiter_winners", "resolution")):
 
     def _counts(t, spark, sf_dir, column=_column):
-        return _conflicts(spark, sf_dir).where("field <> 'table_id'").groupBy(column).agg(F.count("*").alias("n"))
+        return _conflicts(spark, sf_dir).groupBy(column).agg(F.count("*").alias("n"))
 
     _counts.__name__ = _name
-    query(f"WITH {sql.CONFLICTS} SELECT {_column}, count(*) AS n FROM conflicts GROUP BY ALL")(_counts)
-
-
-# odd documents have table names that differ only in their first word: one low conflict, always last
-_WITH_IDS = sql.CONFLICTS.replace("conflicts AS (SELECT", "conflicts AS (SELECT", 1).replace(
-    "WHERE doc_id % 11 = 0 AND doc_id % 31 <> 5),",
-    "WHERE doc_id % 11 = 0 AND doc_id % 31 <> 5\n  UNION ALL SELECT doc_id, 2000000, 'table_id', 'table_id', 'vision_table_' || doc_id, 'rule_table_' || doc_id, 'low', 'text' FROM docs WHERE doc_id % 2 = 1 AND doc_id % 31 <> 5 AND NOT "
-    + f"coalesce({sql.number(chr(39) + 'vision_table_' + chr(39) + ' || doc_id')} = {sql.number(chr(39) + 'rule_table_' + chr(39) + ' || doc_id')}, false)),",
-)
+    query(f"WITH {_WITH_IDS} SELECT {_column}, count(*) AS n FROM conflicts GROUP BY ALL")(_counts)
 
 
 @query(f"WITH {_WITH_IDS} SELECT doc_id, round(confidence, 3) AS confidence, n_conflicts FROM verdicts")
@@ -161,8 +168,7 @@ def merged_units(t, spark, sf_dir):
 
 @query(f"WITH {sql.CELLS}, r AS (SELECT doc_id, row_idx, count(*) FILTER (matched) AS hit, count(*) AS n FROM cmp GROUP BY ALL), d AS (SELECT doc_id, sum(hit) AS hit, sum(n) AS n, count(*) FILTER (hit = n) AS row_hit, count(*) AS rows FROM r GROUP BY doc_id) SELECT round(sum(hit) / sum(n), 6) AS cell_accuracy, round(sum(row_hit) / sum(rows), 6) AS row_accuracy, round(avg(CASE WHEN hit = n THEN 1.0 ELSE 0.0 END), 6) AS table_accuracy FROM d")
 def accuracy_cells(t, spark, sf_dir):
-    cells = verify.paired_cells(_pairs(spark, sf_dir)).withColumn("matched", verify.cells_match(F.col("vision_value"), F.col("rule_value")))
-    out = batch.accuracy(cells)
+    out = batch.accuracy(_compared(spark, sf_dir))
     return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
 
 
@@ -177,8 +183,10 @@ def params_long(t, spark, sf_dir):
 @query(f"WITH {sql.PARAMS}, c AS (SELECT doc_id, base, kind, count(*) AS rows FROM nums GROUP BY ALL) SELECT doc_id, name, num, rows FROM params JOIN c USING (doc_id, base, kind) WHERE rows > 1")
 def params_last_wins(t, spark, sf_dir):
     verified = _verified(spark, sf_dir)
-    rows = params._cells(verified, "merged_rows").groupBy("doc_id", "base").agg(F.count("*").alias("rows")).where("rows > 1")
-    return params.long_parameters(verified).join(rows, ["doc_id", "base"]).select("doc_id", "name", "num", "rows")
+    counted = verified.withColumn("sizes", F.transform("merged_rows", lambda r: F.replace(F.lower(F.coalesce(F.try_element_at(r, F.lit("Parameter")), F.lit(""))), F.lit(" "), F.lit("_"))))
+    found = params.long_parameters(counted, carry=["sizes"])
+    rows = F.size(F.filter("sizes", lambda b: b == F.col("base"))).cast("long")
+    return found.withColumn("rows", rows).where("rows > 1").select("doc_id", "name", "num", "rows")
 
 
 _NAMES = sorted(f"{b.lower().replace(' ', '_')}_{k}" for b in [*fixtures.NAMES.values(), "Thermal Resistance"] for k in ("min", "typ", "max"))
@@ -197,14 +205,30 @@ def category(t, spark, sf_dir):
     return params.parameter_maps(_params(spark, sf_dir)).select("doc_id", naming.category(F.col("params")).alias("category"))
 
 
-@query(f"""WITH {_WITH_IDS}, {sql.PARAMS.split("," + chr(10) + "mu AS", 1)[1].join(["mu AS", ""])}, w AS (SELECT doc_id, {_CATEGORY.replace("< 2000", "< 100")} AS category, count(*) FILTER (name = 'quiescent_current_typ') AS iq, count(*) FILTER (name = 'output_current_max') AS io FROM params GROUP BY doc_id)
-SELECT 'TPS' || doc_id AS mpn, category, iq, io, 'Extracted by sheetwise (confidence: ' || printf('%d', CAST(round_even(round(confidence, 3) * 100, 0) AS INT)) || '%)' AS notes FROM w JOIN verdicts USING (doc_id)""")
-def importer_rows(t, spark, sf_dir):
-    verified = _verified(spark, sf_dir)
-    docs = params.parameter_maps(params.long_parameters(verified)).join(verified.select("doc_id", F.round("confidence", 3).alias("confidence")), "doc_id")
+TEXTS = ["MPN", "Manufacturer", "Category", "Description", "Package", "Status", "Datasheet_URL", "Notes"]
+_PARAMS_AND_IDS = f"{_WITH_IDS}, {sql.PARAMS.split(',' + chr(10) + 'mu AS', 1)[1].join(['mu AS', ''])}"
+_IMPORTED = f"""WITH {_PARAMS_AND_IDS},
+w AS (SELECT doc_id, {_CATEGORY.replace("< 2000", "< 100")} AS category, max(num) FILTER (name = 'input_voltage_range_min') AS vin_min, max(num) FILTER (name = 'input_voltage_range_max') AS vin_max,
+  max(num) FILTER (name = 'output_voltage_min') AS vout_min, max(num) FILTER (name = 'output_voltage_max') AS vout_max, max(num) FILTER (name = 'output_current_max') AS iout_max, max(num) FILTER (name = 'quiescent_current_typ') AS iq_typ,
+  max(num) FILTER (name = 'efficiency_typ') AS efficiency_typ, max(num) FILTER (name = 'switching_frequency_typ') AS frequency_typ FROM params GROUP BY doc_id),
+imported AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'LMR' || doc_id ELSE 'TPS' || doc_id END AS mpn, CASE WHEN doc_id % 2 = 0 THEN 'onsemi' ELSE '' END AS manufacturer, w.*,
+  'Extracted by sheetwise (confidence: ' || printf('%d', CAST(round_even(round(confidence, 3) * 100, 0) AS INT)) || '%)' AS notes FROM w JOIN verdicts USING (doc_id))"""
+_NUMBERS = {"Vin_min": "vin_min", "Vin_max": "vin_max", "Vout_min": "vout_min", "Vout_max": "vout_max", "Iout_max": "iout_max", "Iq_typ": "iq_typ", "Efficiency_typ": "efficiency_typ", "Frequency_typ": "frequency_typ"}
+
+
+def _imported(spark, sf_dir):
+    verified = _verified(spark, sf_dir).withColumn("confidence", F.round("confidence", 3))
+    docs = params.parameter_maps(params.long_parameters(verified, carry=["confidence"]), ["confidence"])
     source = F.concat(F.lit("/in/tps"), F.col("doc_id").cast("string"), F.lit("_datasheet_v04.pdf"))
-    out = params.importer_rows(docs.withColumns({"source_file": source, "mpn": F.lit(None).cast("string"), "manufacturer": F.lit(None).cast("string")}))
-    return out.select(F.col("MPN").alias("mpn"), F.col("Category").alias("category"), (F.col("Iq_typ") != "").cast("long").alias("iq"), (F.col("Iout_max") != "").cast("long").alias("io"), F.col("Notes").alias("notes"))
+    mpn = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("LMR"), F.col("doc_id").cast("string")))
+    maker = F.when(F.col("doc_id") % 2 == 0, F.lit("onsemi"))
+    return params.importer_rows(docs.withColumns({"source_file": source, "mpn": mpn, "manufacturer": maker}))
+
+
+@query(f"{_IMPORTED} SELECT mpn AS MPN, manufacturer AS Manufacturer, category AS Category, '' AS Description, {', '.join(f'round({c}, 6) AS {n}' for n, c in _NUMBERS.items())}, '' AS Package, 'Active' AS Status, '' AS Datasheet_URL, notes AS Notes FROM imported")
+def importer_rows(t, spark, sf_dir):
+    out = _imported(spark, sf_dir)
+    return out.select(*[F.col(c) if c in TEXTS else F.expr(f"round(try_cast({c} AS DOUBLE), 6)").alias(c) for c in out.columns])
 
 
 _FILES = ["_v04.pdf", "_extracted.pdf", "_datasheet.v2.pdf", ".pdf", ""]
@@ -216,11 +240,22 @@ def mpn_from_name(t, spark, sf_dir):
     return t("part").select("p_partkey", naming.part_of_file(F.lit(None).cast("string"), source).alias("mpn"), naming.review_part(source).alias("review_mpn"))
 
 
-@query(f"WITH {sql.PARAMS} SELECT doc_id, CASE name {' '.join(f'WHEN {sql.quoted(k)} THEN {sql.quoted(v)}' for k, v in naming.REVIEW_NAMES.items())} ELSE name END AS param, num AS value, coalesce(unit, '') AS unit, 0.95 AS confidence, CASE WHEN doc_id % 2 = 0 THEN 'page_1_table_' ELSE 'page_1_vision_table_' END || doc_id AS source, 'vision,pdfplumber' AS verified_by, false AS needs_review FROM params")
+_METHODS = ["double_verified_vision", "rule_based", "Vision_only", "verified by rule", ""]
+_SHOWN = ["vision,pdfplumber", "rule_based", "vision", "pdfplumber,rule_based", "unknown"]
+_RENAMED = " ".join(f"WHEN {sql.quoted(k)} THEN {sql.quoted(v)}" for k, v in naming.REVIEW_NAMES.items())
+
+
+@query(f"""WITH {_PARAMS_AND_IDS}, told AS (SELECT *, coalesce(CASE WHEN doc_id % 4 = 1 THEN 0.97 WHEN doc_id % 4 <> 0 THEN 0.95 END, CASE WHEN doc_id % 12 <> 0 THEN round(confidence, 3) END, 0.9)::DOUBLE AS conf FROM params JOIN verdicts USING (doc_id))
+SELECT doc_id, CASE name {_RENAMED} ELSE name END AS param, num AS value, coalesce(unit, '') AS unit, conf AS confidence, {sql.pick(_SHOWN, "doc_id")} AS verified_by, conf < 0.95::DOUBLE AS needs_review,
+  CASE doc_id % 5 WHEN 4 THEN 'unknown' WHEN 3 THEN 'page_1_table_1' ELSE 'page_1_' || CASE WHEN doc_id % 2 = 0 THEN 'table_' ELSE 'vision_table_' END || doc_id END AS source FROM told""")
 def review_params(t, spark, sf_dir):
-    verified = _verified(spark, sf_dir)
-    docs = verified.select("doc_id", F.col("vision.confidence").alias("table_confidence"), "confidence", F.lit("double_verified_vision").alias("method"), F.array("vision.table_id").alias("table_ids"))
-    return params.review_parameters(params.long_parameters(verified), docs).withColumn("verified_by", F.array_join("verified_by", ","))
+    doc = F.col("doc_id")
+    method = F.element_at(F.array(*map(F.lit, _METHODS)), (doc % len(_METHODS) + 1).cast("int"))
+    ids = F.when(doc % 5 == 4, F.array().cast("array<string>")).when(doc % 5 == 3, F.array(F.lit(None).cast("string"))).otherwise(F.array("vision.table_id"))
+    own = F.when(doc % 4 == 0, F.lit(None).cast("double")).when(doc % 4 == 1, F.lit(0.97)).otherwise(F.col("vision.confidence"))
+    told = {"table_confidence": own, "confidence": F.when(doc % 12 != 0, F.round("confidence", 3)), "method": method, "table_ids": ids}
+    found = params.long_parameters(_verified(spark, sf_dir).withColumns(told), carry=list(told))
+    return params.review_parameters(found).withColumn("verified_by", F.array_join("verified_by", ","))
 
 
 _PARTS = ["LMR", "TPS", "MAX", "MCP", "MC", "xtc", "ina", "STM", "LTC", "PIC"]
@@ -356,10 +391,10 @@ def token_cost(t, spark, sf_dir):
     return t("events").select("event_id", F.round(model.token_cost(name, F.col("user_id"), F.col("event_id")), 9).alias("cost"))
 
 
-@query("SELECT event_id, user_id FROM (SELECT event_id, user_id, coalesce(sum(event_id % 7) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM events) WHERE before < 20")
+@query("SELECT event_id, user_id, before < 2000 AS sent, CASE WHEN before >= 2000 THEN 'Budget exceeded: $' || printf('%.2f', before::DOUBLE) || ' >= $2000.00' END AS error FROM (SELECT event_id, user_id, coalesce(sum(event_id % 7) OVER (ORDER BY user_id, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM events)")
 def budget_waves(t, spark, sf_dir):
     requests = t("events").select("event_id", "user_id", (F.col("event_id") % 7).alias("estimated_cost"))
-    return model.within_budget(requests, 20.0, order="event_id", waves="user_id").select("event_id", "user_id")
+    return model.within_budget(requests, 2000.0, order="event_id", waves="user_id").select("event_id", "user_id", "sent", "error")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 2 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS answer FROM events")
