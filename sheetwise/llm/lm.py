@@ -1,5 +1,6 @@
 """Cross-entropy difference of two n-gram models."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,22 +67,98 @@ def _count_texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
             yield pa.RecordBatch.from_pydict({"bigram": pa.array(distinct), "t": pa.array(n)})
 
 
-def _score(key: tuple, chunks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    asked = answers.sort_values("bigram")
-    known, losses = asked["bigram"].to_numpy(), asked[["loss_t", "loss_b"]].to_numpy()
-    out = []
-    for row in chunks.itertuples():
-        bounds = np.asarray(row.bounds)
-        keys = bigrams(np.frombuffer(row.ids, "<u2"), bounds)
-        n = np.diff(bounds)
-        total = np.concatenate([np.zeros((1, 2)), np.cumsum(losses[np.searchsorted(known, keys)], axis=0)]) if len(keys) else np.zeros((1, 2))
-        mean = (total[bounds[1:]] - total[bounds[:-1]]) / np.maximum(n, 1)[:, None]
-        out.append(pd.DataFrame({"doc_id": pd.array(list(row.doc_ids), "Int64"), "n_tokens": n, "target_loss": mean[:, 0], "background_loss": mean[:, 1]}))
-    return pd.concat(out)
+def kinds_left(n: np.ndarray, rate: float) -> np.ndarray:
+    """How many of n equal things a sample at `rate` is expected to hold at least one of: 1 - (1 - rate) ** n."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(n > 0, -np.expm1(n * np.log1p(-rate)), 0.0)
 
 
-def _witten_bell(c: str, h: str, kinds: str, low: str) -> str:
-    return f"-ln(({c} + {kinds} * {low}) / ({h} + {kinds}))"
+class Totals:
+    """What both models know of each id of the vocabulary, and of all: as word (w), as history (h), kinds that follow it (k); n: all documents, t: the target."""
+
+    def __init__(self, words: list, before: list, rate: float):
+        self.rate = rate
+        self.wn, self.wt, self.hn, self.ht, self.kt = (np.zeros(BEGIN + 1, np.int64) for _ in range(5))
+        self.kn = np.zeros(BEGIN + 1)
+        for token, wn, wt in words:
+            self.wn[token], self.wt[token] = wn, wt
+        for history, hn, ht, kn, kt in before:
+            self.hn[history], self.ht[history], self.kn[history], self.kt[history] = hn, ht, kn, kt
+        self.size, self.all_n, self.all_t = max(len(words), 1), int(self.wn.sum()), int(self.wt.sum())
+        self.kinds_t, self.kinds_n = int((self.wt > 0).sum()), float(kinds_left(self.wn, rate).sum())
+
+
+def _own(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token: how often its document has its key, and whether it is one place, always the same, of the key there."""
+    order = np.lexsort((keys, doc))
+    new = np.append(True, (keys[order][1:] != keys[order][:-1]) | (doc[order][1:] != doc[order][:-1]))[: len(order)]
+    run = np.cumsum(new) - 1
+    own, first = np.empty(len(keys), np.int64), np.zeros(len(keys), bool)
+    own[order] = np.bincount(run)[run] if len(order) else 0
+    first[order] = new
+    return own, first
+
+
+def _by(keys: np.ndarray, doc: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of values over the tokens with the same key in the same document, at each token."""
+    order = np.lexsort((keys, doc))
+    run = np.cumsum(np.append(True, (keys[order][1:] != keys[order][:-1]) | (doc[order][1:] != doc[order][:-1]))[: len(order)]) - 1
+    out = np.empty(len(keys))
+    out[order] = np.bincount(run, values[order])[run] if len(order) else 0
+    return out
+
+
+def losses(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray, t: np.ndarray, aimed: np.ndarray, of: Totals) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of target and background losses of each text, by models that have not counted it.
+
+    keys: bigram of each token; n, t: its counts in all documents and in the target; aimed: whether the text is in the target.
+    """
+    size, rate = np.diff(bounds), of.rate
+    doc = np.repeat(np.arange(len(size)), size)
+    word, history = keys & 0xFFFF, keys >> 16
+    inside = aimed[doc].astype(np.int64)
+    own, first = _own(keys, doc)
+    own_w, first_w = _own(word, doc)
+    own_h, _ = _own(history, doc)
+    uniform = 1.0 / of.size
+    # the target without the text
+    t_b, ht, wt = t - own * inside, of.ht[history] - own_h * inside, of.wt[word] - own_w * inside
+    kt = of.kt[history] - _by(history, doc, (first & (t == own) & (inside > 0)).astype(float))
+    gone = np.bincount(doc, first_w & (of.wt[word] == own_w) & (inside > 0), minlength=len(size))
+    kinds, every = (of.kinds_t - gone)[doc], (of.all_t - size * aimed)[doc]
+    low = np.where(every > 0, (wt + kinds * uniform) / np.maximum(every + kinds, 1), uniform)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        target = -np.log(np.where(ht > 0, (t_b + kt * low) / (ht + kt), low))
+    # all documents without the text, as a sample of the target's size is expected to be
+    n_b, hn, wn = rate * (n - own), rate * (of.hn[history] - own_h), rate * (of.wn[word] - own_w)
+    kn = of.kn[history] - _by(history, doc, first * (kinds_left(n, rate) - kinds_left(n - own, rate)))
+    gone = np.bincount(doc, first_w * (kinds_left(of.wn[word], rate) - kinds_left(of.wn[word] - own_w, rate)), minlength=len(size))
+    kinds, every = (of.kinds_n - gone)[doc], (rate * (of.all_n - size))[doc]
+    low = np.where(every > 0, (wn + kinds * uniform) / np.maximum(every + kinds, 1e-12), uniform)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        background = -np.log(np.where(hn > 0, (n_b + np.maximum(kn, 0) * low) / (hn + np.maximum(kn, 0)), low))
+    return np.bincount(doc, target, minlength=len(size)), np.bincount(doc, background, minlength=len(size))
+
+
+def _score(totals):
+    def score(key: tuple, chunks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        of, asked = totals.value, answers.sort_values("bigram")
+        bigram, n, t = (asked[c].to_numpy() for c in ("bigram", "n", "t"))
+        marks = int(np.searchsorted(bigram, 0))
+        bigram, n, t, named = bigram[marks:], n[marks:], t[marks:], -1 - bigram[:marks]
+        out = []
+        for row in chunks.itertuples():
+            bounds = np.asarray(row.bounds)
+            keys = bigrams(np.frombuffer(row.ids, "<u2"), bounds)
+            size, aimed = np.diff(bounds), np.zeros(len(bounds) - 1, bool)
+            aimed[named] = True
+            at = np.searchsorted(bigram, keys)
+            target, background = losses(keys, bounds, n[at] if len(keys) else keys, t[at] if len(keys) else keys, aimed, of)
+            some = np.maximum(size, 1)
+            out.append(pd.DataFrame({"doc_id": pd.array(list(row.doc_ids), "Int64"), "n_tokens": size, "target_loss": target / some, "background_loss": background / some, "in_target": aimed}))
+        return pd.concat(out)
+
+    return score
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, path: str | None = None) -> DataFrame:
@@ -90,16 +167,21 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, path: str | Non
     The background model counts the bigrams of all documents, the target model those of documents
     whose doc_id is in `target`; both use the ids of one public tokenizer (under 65,535 of them) as
     vocabulary, in texts of their own (a text's first token follows a begin mark). Both are
-    Witten-Bell mixtures of bigrams, unigrams and a uniform share of the tokens seen anywhere;
-    nothing is cut off, capped or sampled. Bigrams are counted by chunks of about 6 MB of text,
-    so a frequent one has a row for each chunk, not for each place; each chunk gets the losses of
-    its own distinct bigrams back. What is gathered grows with the corpus.
-
-    Rows: doc_id, n_tokens, target_loss, background_loss (mean nats a token), score (their difference; low:
-    like the target), one for each input row. Null texts and texts without tokens: n_tokens 0, losses
+    Witten-Bell mixtures of bigrams, unigrams and a uniform share of the tokens seen anywhere.
+    The models are matched: the background is what a sample of all tokens, as large as the target, is expected to
+    be (counts times the rate, kinds 1 - (1 - rate) ** count), worked out from all counts without drawing a sample, so
+    losses don't differ by the size of what was counted. A document is scored by models without it:
+    its own counts are taken out of the background and, if it is in the target, out of the target, so
+    the score doesn't tell who was in the target. Nothing is cut off, capped or sampled. Bigrams are counted by chunks of
+    about 6 MB of text, so a frequent one has a row for each chunk, not for each place; each chunk gets
+    the counts of its own distinct bigrams back. What is gathered grows with the corpus; only the
+    totals of each id of the vocabulary reach the driver and all executors.
+
+    Rows: doc_id, n_tokens, target_loss, background_loss (mean nats a token), in_target, score (the difference of the
+    losses; low: like the target), one for each input row. Null texts and texts without tokens: n_tokens 0, losses
     and score 0. Null doc_id is never in the target; repeated doc_id in `target` count once;
-    repeated rows count and are scored each; other columns are ignored; without a target the target model is
-    uniform; an empty table gives no rows.
+    repeated rows count and are scored each, without themselves but with each other; other columns are ignored; without a
+    target its model is uniform and the background is not scaled; an empty table gives no rows.
     """
     spark = docs.sparkSession
     tables, path = Scratch(spark, "lm"), path or tokenizer_path()
@@ -113,20 +195,20 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, path: str | Non
     both = asked.select("bigram", "n", F.lit(0).cast("long").alias("t")).unionAll(aimed.select("bigram", F.lit(0).cast("long"), "t"))
     counts = tables.put(both.groupBy("bigram").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "counts")
     token, history = F.expr("cast(bigram & 65535 AS int)").alias("token"), F.expr("cast(shiftright(bigram, 16) AS int)").alias("history")
-    words = counts.groupBy(token).agg(F.sum("n").alias("wn"), F.sum("t").alias("wt"))
-    before = counts.groupBy(history).agg(F.sum("n").alias("hn"), F.sum("t").alias("ht"), F.count("*").alias("kn"), F.sum((F.col("t") > 0).cast("long")).alias("kt"))
-    size, all_n, all_t, kinds_t = words.agg(F.count("*"), F.sum("wn"), F.sum("wt"), F.sum((F.col("wt") > 0).cast("long"))).first()
-    size, all_n, all_t, kinds_t = size or 1, all_n or 0, all_t or 0, kinds_t or 0
-    uniform = 1.0 / size
-    # both tables have a row for each id of the vocabulary at most
-    full = counts.withColumns({"token": token, "history": history}).join(F.broadcast(words), "token").join(F.broadcast(before), "history")
-    low_t = f"((wt + {kinds_t} * {uniform!r}D) / ({all_t} + {kinds_t}))" if all_t else f"{uniform!r}D"
-    low_n = f"((wn + {size} * {uniform!r}D) / ({all_n} + {size}))"
-    loss_t = f"CASE WHEN ht > 0 THEN {_witten_bell('t', 'ht', 'kt', low_t)} ELSE -ln({low_t}) END"
-    model = tables.put(full.select("bigram", F.expr(loss_t).alias("loss_t"), F.expr(_witten_bell("n", "hn", "kn", low_n)).alias("loss_b")), "model")
-    answers = asked.select("chunk", "bigram").join(model, "bigram")
-    tables.drop("aimed", "counts")
-    scored = chunks.select("chunk", "doc_ids", "bounds", "ids").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_score, "doc_id long, n_tokens long, target_loss double, background_loss double")
+    # a row for each id of the vocabulary at most
+    words = [tuple(r) for r in counts.groupBy(token).agg(F.sum("n"), F.sum("t")).collect()]
+    all_n, all_t = sum(w[1] for w in words), sum(w[2] for w in words)
+    rate = min(1.0, all_t / all_n) if all_t else 1.0
+    kept = F.lit(1.0) if rate == 1.0 else -F.expm1(F.col("n") * F.lit(math.log1p(-rate)))
+    before = counts.groupBy(history).agg(F.sum("n"), F.sum("t"), F.sum(kept), F.sum((F.col("t") > 0).cast("long"))).collect()
+    totals = spark.sparkContext.broadcast(Totals(words, [tuple(r) for r in before], rate))
+    answers = asked.select("chunk", "bigram").join(counts, "bigram").select("chunk", "bigram", "n", "t")
+    places = chunks.select("chunk", F.posexplode("doc_ids").alias("place", "id"))
+    zero = F.lit(0).cast("long")
+    marks = places.join(named, "id").select("chunk", (-1 - F.col("place")).cast("long").alias("bigram"), zero.alias("n"), zero.alias("t"))
+    tables.drop("aimed")
+    schema = "doc_id long, n_tokens long, target_loss double, background_loss double, in_target boolean"
+    scored = chunks.select("chunk", "doc_ids", "bounds", "ids").groupBy("chunk").cogroup(answers.unionAll(marks).groupBy("chunk")).applyInPandas(_score(totals), schema)
     return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 

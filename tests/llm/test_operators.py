@@ -133,44 +133,56 @@ def test_mixing(spark, monkeypatch):
 
 
 def test_cross_entropy_difference(spark):
+    """Against models that are counted anew for each document, without it."""
     tok = Tokenizer.from_file(tokenizer_path())
-    data = rows()
+    data = [r for r in rows() if r[0] != 38] + [(300, " ".join(f"w{k % 700}" for k in range(3000)), None, None, 0, *range(len(CLASH)))]
     texts = [tok.encode(r[1] or "", add_special_tokens=False).ids for r in data]
-    good = {1, 2, 3, 5, 7}
-
-    def model(keep):
-        pairs = Counter()
-        for r, ids in zip(data, texts):
-            if keep(r):
-                pairs.update(zip([None, *ids[:-1]], ids))
-        return pairs
-
-    back, target = model(lambda r: True), model(lambda r: r[0] in good)
-    size = len({b for _, b in back})
-
-    def loss(pairs, ids):
+    good = {1, 2, 3, 5, 7, 300}
+    pairs_of = lambda ids: Counter(zip([None, *ids[:-1]], ids))
+    every, aimed = Counter(), Counter()
+    for r, ids in zip(data, texts, strict=True):
+        every.update(pairs_of(ids))
+        if r[0] in good:
+            aimed.update(pairs_of(ids))
+    size, rate = len({b for _, b in every}), sum(aimed.values()) / sum(every.values())
+
+    def loss(pairs, ids, rate):
         history, kinds, word = Counter(), Counter(), Counter()
         for (a, b), n in pairs.items():
-            history[a] += n
-            kinds[a] += 1
+            history[a] += rate * n
+            kinds[a] += 1 - (1 - rate) ** n
             word[b] += n
-        total, s = sum(word.values()), 0.0
+        some = sum(1 - (1 - rate) ** n for n in word.values())
+        total, s = rate * sum(word.values()), 0.0
         for a, b in zip([None, *ids[:-1]], ids):
-            low = (word[b] + len(word) / size) / (total + len(word))
-            s -= np.log((pairs[a, b] + kinds[a] * low) / (history[a] + kinds[a]) if history[a] else low)
+            low = (rate * word[b] + some / size) / (total + some) if total else 1 / size
+            s -= np.log((rate * pairs[a, b] + kinds[a] * low) / (history[a] + kinds[a]) if history[a] else low)
         return s / max(len(ids), 1)
 
+    without = lambda counts, ids: Counter({k: n for k, n in (counts - pairs_of(ids)).items() if n})
     labels = spark.createDataFrame([(i,) for i in [*good, 1, None]], "doc_id long")
-    got = collected(lm.cross_entropy_difference(frame(spark), labels))
-    want = sorted(((r[0], len(i), loss(target, i), loss(back, i)) for r, i in zip(data, texts)), key=key)
-    assert [g[:2] for g in got] == [w[:2] for w in want]
+    got = collected(lm.cross_entropy_difference(frame(spark, data), labels))
+    want = sorted(((r[0], len(i), loss(without(aimed, i) if r[0] in good else aimed, i, 1.0), loss(without(every, i), i, rate), r[0] in good) for r, i in zip(data, texts, strict=True)), key=key)
+    assert [(g[0], g[1], g[4]) for g in got] == [(w[0], w[1], w[4]) for w in want]
     np.testing.assert_allclose(sorted(g[2] for g in got), sorted(w[2] for w in want), rtol=1e-9)
     np.testing.assert_allclose(sorted(g[3] for g in got), sorted(w[3] for w in want), rtol=1e-9)
-    none = lm.cross_entropy_difference(frame(spark), labels.where("false")).where("n_tokens > 0").select(F.min("target_loss"), F.max("target_loss")).first()
+    none = lm.cross_entropy_difference(frame(spark, data), labels.where("false")).where("n_tokens > 0").select(F.min("target_loss"), F.max("target_loss")).first()
     assert none[0] == pytest.approx(np.log(size)) and none[1] == pytest.approx(np.log(size))
     assert lm.cross_entropy_difference(empty(spark), labels).count() == 0
 
 
+def test_scores_of_documents_outside_the_target(spark):
+    """Good documents that are not in the target stand below bad ones, and not above those that are in it."""
+    rng = np.random.default_rng(2)
+    draw = lambda lo, hi: " ".join(f"w{min(int(x), hi - 1)}" for x in lo + rng.zipf(1.4, 150) % (hi - lo))
+    data = [(i, draw(0, 600) if i % 2 else draw(300, 900)) for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.cross_entropy_difference(docs, docs.where("doc_id % 4 = 1")).collect()}
+    inside, outside, bad = ([s for i, s in got.items() if f(i)] for f in (lambda i: i % 4 == 1, lambda i: i % 4 == 3, lambda i: i % 2 == 0))
+    below = lambda a, b: np.mean([x < y for x in a for y in b])
+    assert below(outside, bad) > 0.95 and 0.35 < below(inside, outside) < 0.65
+
+
 # packing -----------------------------------------------------------------------------------------
 
 
