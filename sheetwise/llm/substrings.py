@@ -14,7 +14,7 @@ from .words import _BASE, gather, mix, owner, powers, rebased, run_hashes, slice
 
 #: Words of the shortest passage, of the grams that are drawn, and how many grams the draw is among.
 LEAST, GRAM, AMONG = 50, 8, 25
-#: Suffixes of one key that a task takes together; keys with more are dealt out by document.
+#: Suffixes of one key that a task takes together; keys with more are dealt out by document and place.
 GROUP = 4096
 
 
@@ -49,7 +49,7 @@ def _keys(hashes: np.ndarray, places: np.ndarray, words: int) -> np.ndarray:
 def _suffixes(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Iterator[pa.RecordBatch]:
     """The retained suffixes: place and key, the hash of the words that any passage drawing the place has from there on."""
     for whole in batches:
-        for batch in slices(whole, "text", 6 << 20):
+        for batch in slices(whole, "text", 2 << 20):
             codes, bounds, words = word_codes(texts_of(batch))
             hashes = word_hashes(words)[codes]
             places = np.unique(minimisers(hashes, bounds, least, GRAM, among)[1])
@@ -61,7 +61,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Iter
 def _contexts(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Iterator[pa.RecordBatch]:
     """The suffixes that are shared, with the words around them that decide about passages of `least` words."""
     for whole in batches:
-        for batch in slices(whole, "text", 4 << 20):
+        for batch in slices(whole, "text", 2 << 20):
             codes, bounds, words = word_codes(texts_of(batch))
             hashes = word_hashes(words)[codes]
             starts, places = minimisers(hashes, bounds, least, GRAM, among)
@@ -82,7 +82,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Iter
                 a, r, p = at[k : k + 8192], row[k : k + 8192], parts[k : k + 8192]
                 around = np.ascontiguousarray(word[a[:, None] + np.arange(among - 1 + least)])
                 blob = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * around.shape[1]), len(a), [None, pa.py_buffer(around)]).cast(pa.binary())
-                part = (mix(doc[r].astype(np.uint64)) % p.astype(np.uint64)).astype(np.int64)
+                part = (mix(doc[r].astype(np.uint64) ^ mix((a - bounds[r]).astype(np.uint64))) % p.astype(np.uint64)).astype(np.int64)
                 take = pa.array(r)
                 yield pa.RecordBatch.from_pydict({
                     "key": pa.array(_keys(hashes, a, least - among + 1)), "part": pa.array(part), "parts": pa.array(p), "doc_id": batch.column("doc_id").take(take), "row_hash": batch.column("row_hash").take(take),
@@ -97,10 +97,49 @@ def _window_hashes(around: np.ndarray, least: int) -> np.ndarray:
     return mix((total[:, least:] - total[:, :count]) * powers(pow(_BASE, -1, 1 << 64), count))
 
 
-def _classes(hashes: np.ndarray, doc: np.ndarray, row_hash: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sorted_runs(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts rows of words inside their groups. Returns the order, and for each place in it how many first words the row has in common with the one before (-1 in another group)."""
+    n, wide = words.shape
+    big = np.empty((n, wide + 1), ">u4")
+    big[:, 0], big[:, 1:] = group, words
+    order = np.argsort(np.ascontiguousarray(big).view(f"S{4 * (wide + 1)}")[:, 0], kind="stable")
+    common = np.full(n, -1)
+    if n > 1:
+        here, before = order[1:], order[:-1]
+        equal = words[here] == words[before]
+        common[1:] = np.where(group[here] != group[before], -1, np.where(equal.all(axis=1), wide, equal.argmin(axis=1)))
+    return order, common
+
+
+def intervals(order: np.ndarray, common: np.ndarray, depth: int) -> np.ndarray:
+    """For each row the number of its interval: neighbours in the order that share at least `depth` words are in the same one."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(common < depth)
+    return out
+
+
+def window_classes(around: np.ndarray, group: np.ndarray, of: np.ndarray, k: np.ndarray, least: int, among: int) -> np.ndarray:
+    """A number for each window (context `of`, start `k` in it) that equal windows of the same group share, and no others.
+
+    The suffixes of a group are sorted by their words from the drawn place on, and again by the words before it, nearest
+    first; neighbours' common words bound the intervals of each depth. A window with L words before the
+    place and R from there on is the interval of depth R to the right and the one of depth L to the left.
+    """
+    right, left = sorted_runs(around[:, among - 1 :], group), sorted_runs(around[:, among - 2 :: -1], group)
+    out = np.empty(len(of), np.int64)
+    for start in range(among):
+        mine = np.flatnonzero(k == start)
+        if len(mine):
+            after, before = intervals(*right, least - (among - 1 - start)), intervals(*left, among - 1 - start)
+            row = of[mine]
+            out[mine] = ((start * (len(group) + 1)) + after[row]) * (len(group) + 1) + before[row]
+    return out
+
+
+def _classes(number: np.ndarray, doc: np.ndarray, row_hash: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorts windows so that equal ones are neighbours, in order of document and start within. Returns that order without repeated rows, the head of each one's class in it, and the class sizes by window."""
-    order = np.lexsort((start, row_hash, doc, hashes))
-    h, d, r, s = hashes[order], doc[order], row_hash[order], start[order]
+    order = np.lexsort((start, row_hash, doc, number))
+    h, d, r, s = number[order], doc[order], row_hash[order], start[order]
     same = np.append(False, (h[1:] == h[:-1]) & (d[1:] == d[:-1]) & (r[1:] == r[:-1]) & (s[1:] == s[:-1]))[: len(h)]
     order, h = order[~same], h[~same]
     head = np.flatnonzero(np.append(True, h[1:] != h[:-1]))[: len(h)]
@@ -112,7 +151,10 @@ SPANS = "doc_id long, row_hash long, low long, high long, again boolean, first_d
 
 
 def _compare(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Iterator[pa.RecordBatch]:
-    """Neighbours among sorted suffixes of a key, extended to the left and right as far as `least` words.
+    """The suffixes of a key, sorted, compared with their neighbours and extended to the left and right.
+
+    A match that reaches the edge of a context goes on in the next: equal passages draw equal places, so the windows there
+    are found from that place, and the runs of windows join.
 
     Rows: runs of window starts that stand elsewhere too, with their first document. For keys dealt over
     several parts, for the parts to be put together: the first window of each class in the part (window not
@@ -134,27 +176,22 @@ def _compare(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Itera
 
 
 def _runs(table: pa.Table, least: int, among: int) -> Iterator[pa.RecordBatch]:
-    table = table.combine_chunks()
     column = {c: table[c].to_numpy() for c in ("key", "part", "parts", "row_hash", "place", "low", "high")}
     doc_ids = table["doc_id"].combine_chunks()
     doc = doc_ids.fill_null(np.iinfo(np.int64).max).to_numpy()
-    blobs = table["around"].combine_chunks()
-    if isinstance(blobs, pa.ChunkedArray):
-        blobs = blobs.chunk(0)
-    offset = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset]
     wide = among - 1 + least
-    around = np.frombuffer(blobs.buffers()[2], np.uint32, len(table) * wide, offset).reshape(len(table), wide)
-    hashes = _window_hashes(around, least)
-    start = column["place"][:, None] - (among - 1) + np.arange(hashes.shape[1])
+    around = np.concatenate([np.frombuffer(x.buffers()[2], np.uint32, len(x) * wide, np.frombuffer(x.buffers()[1], np.int32)[x.offset]).reshape(len(x), wide) for x in table["around"].chunks if len(x)])
+    group = np.cumsum(np.append(True, (column["key"][1:] != column["key"][:-1]) | (column["part"][1:] != column["part"][:-1])))
+    start = column["place"][:, None] - (among - 1) + np.arange(among)
     valid = (start >= column["low"][:, None]) & (start <= column["high"][:, None])
     of, k = np.nonzero(valid)
-    group = mix(column["key"].astype(np.uint64) ^ mix(column["part"].astype(np.uint64)))
-    window, at = hashes[of, k], start[of, k]
-    order, head, size = _classes(window ^ group[of], doc[of], column["row_hash"][of], at)
+    at = start[of, k]
+    order, head, size = _classes(window_classes(around, group, of, k, least, among), doc[of], column["row_hash"][of], at)
     found, begins = of[order], at[order]
     again, dealt = head != np.arange(len(order)), column["parts"][found] > 1
     first = found[head]
-    suffix = mix(group ^ mix(column["row_hash"].astype(np.uint64) ^ mix(column["place"].astype(np.uint64)))).astype(np.int64)
+    named = mix(column["key"].astype(np.uint64) ^ mix(column["part"].astype(np.uint64)))
+    suffix = mix(named ^ mix(column["row_hash"].astype(np.uint64) ^ mix(column["place"].astype(np.uint64)))).astype(np.int64)
     pick = np.flatnonzero((size > 1) & (again | ~dealt))
     if len(pick):  # runs of starts with the same suffix, state and first document; in dealt keys also the same first suffix, in step
         s = pick[np.lexsort((begins[pick], found[pick]))]
@@ -165,7 +202,8 @@ def _runs(table: pa.Table, least: int, among: int) -> Iterator[pa.RecordBatch]:
         yield _spans(doc_ids, column, found[s[lo]], begins[s[lo]], begins[s[hi]], again[s[lo]], first[s[lo]], None, suffix[first[s[lo]]], begins[head[s[lo]]], ~dealt[s[lo]])
     pick = np.flatnonzero(dealt & ~again)
     if len(pick):
-        key = window[order[pick]] ^ mix(column["key"][found[pick]].astype(np.uint64))
+        rows, at_row = np.unique(found[pick], return_inverse=True)
+        key = _window_hashes(around[rows], least)[at_row, k[order[pick]]] ^ mix(column["key"][found[pick]].astype(np.uint64))
         yield _spans(doc_ids, column, found[pick], begins[pick], begins[pick], size[pick] > 1, first[pick], key, suffix[found[pick]], begins[pick], np.zeros(len(pick), bool))
 
 
@@ -182,11 +220,12 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
 
     Words stand between ASCII blanks. Every window of `least` words draws a minimiser among its
     first grams; only suffixes from drawn places are retained (about two in `among` + 1). They are
-    grouped by their next words, all that a passage has at least from there; suffixes alone in a
-    group are dropped. The others are sorted, and equal neighbours are extended to both sides,
-    over all windows that draw the place, so that every repeated window is found. A key with
-    over 4,096 suffixes is dealt out by document, and the first window of each class of a part is
-    compared with the other parts', so no task holds a hot passage whole.
+    dealt by their next words, all that a passage has at least from there; suffixes alone there
+    are dropped. The others are sorted by their words, neighbours' common words are counted to the right and to the left,
+    and the intervals of both orders tell which windows that draw the place are equal, so that every repeated
+    window is found, and longer passages as runs of them. A key with
+    over 4,096 suffixes is dealt out by document and place, and the first window of each class of a part is
+    compared with the other parts', so no task holds a hot passage whole, even one that a document repeats.
 
     One row for each document with a repeated passage: doc_id, row_hash (of doc_id and text),
     spans (array of first word, words: the union of repeated windows; also_in: the doc_ids of the first
@@ -200,10 +239,11 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     tables = Scratch(spark, "passages")
     rows = docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("row_hash"), F.col("text").cast("string"))
     suffixes = tables.put(rows.mapInArrow(lambda it: _suffixes(it, least, among), "doc_id long, row_hash long, place int, key long"), "suffixes")
-    counts = suffixes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = suffixes.join(counts, "key").select("doc_id", "row_hash", F.struct("place", F.expr(f"cast(ceil(n / {GROUP}.0D) AS int)").alias("parts")).alias("one"))
+    # written before the join, so that Spark can split the suffixes of a hot key in it
+    counts = tables.put(suffixes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    shared = suffixes.join(counts.hint("merge"), "key").select("doc_id", "row_hash", F.struct("place", F.expr(f"cast(ceil(n / {GROUP}.0D) AS int)").alias("parts")).alias("one"))
     shared = tables.put(shared.groupBy("doc_id", "row_hash").agg(F.collect_set("one").alias("shared")), "shared").withColumnRenamed("doc_id", "id").withColumnRenamed("row_hash", "hash")
-    tables.drop("suffixes")
+    tables.drop("suffixes", "counts")
     # the filter on hash holds for all rows: without one Spark makes no Bloom filter
     texts = rows.join(shared.where(F.col("hash") >= F.lit(-(1 << 63))), (F.col("row_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "row_hash", "text", "shared")
     schema = "key long, part long, parts long, doc_id long, row_hash long, place long, low long, high long, around binary"
@@ -274,7 +314,7 @@ def _cut(batches: Iterator[pa.RecordBatch], removed_in: str) -> Iterator[pa.Reco
     """Takes the words named in the column `removed_in` out of the texts, and the rows without a word left; rows that name none pass as they are."""
     blank = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
     for whole in batches:
-        for batch in slices(whole, "text"):
+        for batch in slices(whole, "text", 4 << 20):
             gone = batch.column(removed_in)
             batch = batch.drop_columns([removed_in])
             if gone.null_count == len(gone):

@@ -45,8 +45,18 @@ def license_brute(text):
 
 
 def test_licenses(spark):
-    got = collected(licenses.scan_licenses(frame(spark)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"))
-    assert got == sorted(((r[0], *license_brute(r[1])) for r in rows()), key=key)
+    whole = {x.label: " ".join(y.text for y in licenses.TEMPLATES if y.label == x.label) for x in licenses.TEMPLATES}
+    rng, more = np.random.default_rng(4), []
+    for i, text in enumerate(whole.values()):
+        w = text.split(" ")
+        for k in rng.integers(0, len(w), len(w) // 8):
+            w[k] = "otherwise"
+        more += [(500 + 2 * i, f"(C) 2020 Someone. {text}"), (501 + 2 * i, " ".join(w))]
+    data = rows() + [(*m, None, None, 0, *range(len(CLASH))) for m in [*more, (900, "cc by cc by by cc, CC-BY all rights rights reserved " * 3)]]
+    got = collected(licenses.scan_licenses(frame(spark, data)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"))
+    assert got == sorted(((r[0], *license_brute(r[1])) for r in data), key=key)
+    named = {r[0]: r[6].split(",") for r in got if r[0] is not None}
+    assert all(label in named[500 + 2 * i] for i, label in enumerate(whole))
     assert next(r for r in got if r[0] == 39)[2] == 4
     assert licenses.scan_licenses(empty(spark)).count() == 0
 
@@ -463,6 +473,37 @@ def test_passages_name_all_partners(spark, monkeypatch, tmp_path, group):
     assert by[9, 0] == [2] and by[9, 90] == [5] and by[11, 0] == [2, 5] and by[None, 0] == [None]
 
 
+def test_windows_are_told_apart_by_sorted_suffixes():
+    rng = np.random.default_rng(6)
+    least, among, n = 6, 4, 60
+    around = rng.integers(0, 2, (n, among - 1 + least)).astype(np.uint32)
+    group = np.sort(rng.integers(0, 3, n))
+    of, k = np.nonzero(rng.random((n, among)) < 0.8)
+    number = substrings.window_classes(around, group, of, k, least, among)
+    window = [(group[i], s, tuple(around[i, s : s + least])) for i, s in zip(of, k, strict=True)]
+    assert all((number[i] == number[j]) == (window[i] == window[j]) for i in range(len(of)) for j in range(i))
+    order, common = substrings.sorted_runs(around, group)
+    for x, y, c in zip(order, order[1:], common[1:], strict=False):
+        assert (group[x], *around[x]) <= (group[y], *around[y])
+        assert c == (-1 if group[x] != group[y] else next((i for i in range(around.shape[1]) if around[x, i] != around[y, i]), around.shape[1]))
+
+
+@pytest.mark.parametrize("group", [4096, 3])
+def test_passages_longer_than_a_context(spark, monkeypatch, group):
+    """Matches go on over many retained places, and inside one document that repeats them."""
+    monkeypatch.setattr(substrings, "GROUP", group)
+    make = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    long, short = make("p", 700), make("q", 51)
+    data = [(1, f"{make('a', 30)} {long} {make('b', 20)}"), (2, f"{long}\n{make('c', 9)}"), (3, " ".join([short] * 12)), (4, f"{make('d', 70)} {short}"), (5, make("p", 49))]
+    found = {r["doc_id"]: r for r in substrings.repeated_passages(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    span = lambda i, c="spans": [(x["start"], x["words"]) for x in found[i][c]]
+    assert set(found) == {1, 2, 3, 4}
+    assert span(1) == [(30, 700)] and span(2) == [(0, 700)] and span(3) == [(0, 612)] and span(4) == [(70, 51)]
+    assert span(1, "removed") == [] and span(2, "removed") == [(0, 700)] and span(4, "removed") == [(70, 51)]
+    # the first 50 windows of the first copy stand first, and windows over two copies too
+    assert span(3, "removed") == [(100, 512)]
+
+
 # language ----------------------------------------------------------------------------------------
 
 
