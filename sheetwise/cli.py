@@ -126,7 +126,7 @@ def main(args: list[str] | None = None) -> int:
     elif a.command == "stats":
         print(", ".join(f"{k} {v}" for k, v in verify.verifier_stats(results).first().asDict().items()))
     elif a.format == "review":
-        files.write_json(params.review_records(numbers_of(results), of_documents(results).drop("error")), a.target)
+        files.write_json(params.review_records(of_documents(results).drop("error").join(params.listed_parameters(numbers_of(results)), "doc_id", "left")), a.target)
     else:
         files.write_csv(importer_of(results), a.target)
     return 0

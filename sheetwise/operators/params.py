@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import category, maker_of_part, part_of_file, review_name, review_part, source_reference, verification_methods
 from ..functions.text import parse_float, percent
+from .rules import last_wins
 from .verify import bound, once
 
 KINDS = ("Min", "Typ", "Max")
@@ -87,24 +88,38 @@ def importer_rows(documents: DataFrame, extractor: str = "sheetwise") -> DataFra
     return documents.select(*[c.alias(n) for n, c in columns.items()])
 
 
+def _reviewed(name: Column, value: Column, unit: Column) -> dict[str, Column]:
+    """The review columns of a parameter whose document has table_confidence, confidence, method and table_ids."""
+    confidence = F.coalesce("table_confidence", "confidence", F.lit(0.9))
+    return {
+        "param": review_name(name), "value": value, "unit": F.coalesce(unit, F.lit("")), "confidence": confidence,
+        "source": source_reference(F.col("table_ids")), "verified_by": verification_methods(F.col("method")), "needs_review": confidence < REVIEW_THRESHOLD,
+    }
+
+
 def review_parameters(params: DataFrame) -> DataFrame:
     """One row for each parameter with a value: review name, unit, confidence, source, methods and whether it needs review.
 
     `params` are long parameters that carry table_confidence, confidence, method and table_ids of their document.
     """
-    confidence = F.coalesce("table_confidence", "confidence", F.lit(0.9))
-    return params.select(
-        "doc_id", review_name(F.col("name")).alias("param"), F.col("num").alias("value"), F.coalesce("unit", F.lit("")).alias("unit"), confidence.alias("confidence"),
-        source_reference(F.col("table_ids")).alias("source"), verification_methods(F.col("method")).alias("verified_by"), (confidence < REVIEW_THRESHOLD).alias("needs_review"),
-    )
+    return params.select("doc_id", *[c.alias(n) for n, c in _reviewed(F.col("name"), F.col("num"), F.col("unit")).items()])
+
+
+def listed_parameters(params: DataFrame) -> DataFrame:
+    """doc_id and its long parameters as an array of (name, num, unit), by name."""
+    return params.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("name", "num", "unit"))).alias("parameters"))
+
+
+def review_records(documents: DataFrame) -> DataFrame:
+    """One review record for each document (those without parameters too); `documents` has doc_id, source_file, table_confidence, confidence, method, table_ids and parameters (an array of name, num, unit). No row leaves its place."""
 
+    def entry(p: Column) -> Column:
+        told = _reviewed(p["name"], p["num"], p["unit"])
+        return F.struct(told.pop("param").alias("k"), F.struct(*[c.alias(n) for n, c in told.items()]).alias("v"))
 
-def review_records(params: DataFrame, documents: DataFrame) -> DataFrame:
-    """One review record for each document (those without parameters too); `documents` has doc_id, source_file, table_confidence, confidence, method and table_ids."""
-    rows = review_parameters(params.join(documents.drop("source_file"), "doc_id")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("param", F.struct("value", "unit", "confidence", "source", "verified_by", "needs_review")))).alias("params"))
     mpn = review_part(F.col("source_file"))
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return documents.join(rows, "doc_id", "left").select("doc_id", mpn.alias("mpn"), maker_of_part(mpn).alias("manufacturer"), "source_file", stamp.alias("extracted_at"), "params")
+    return documents.select("doc_id", mpn.alias("mpn"), maker_of_part(mpn).alias("manufacturer"), "source_file", stamp.alias("extracted_at"), last_wins(F.transform("parameters", entry)).alias("params"))
 
 
 def parameter_list(rows: Column) -> Column:

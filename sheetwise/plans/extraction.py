@@ -264,9 +264,11 @@ SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'LMR' || doc_id WHEN doc_id % 3 = 0
 def review_records(t, spark, sf_dir):
     doc = F.col("doc_id")
     source = F.when(doc % 2 == 0, F.concat(F.lit("/in/lmr"), doc.cast("string"), F.lit(".pdf"))).when(doc % 3 == 0, F.concat(F.lit("mcp"), doc.cast("string"), F.lit(".pdf"))).otherwise("")
-    verified = _verified(spark, sf_dir)
-    docs = verified.select("doc_id", source.alias("source_file"), F.col("vision.confidence").alias("table_confidence"), "confidence", F.lit("double_verified_vision").alias("method"), F.array("vision.table_id").alias("table_ids"))
-    out = params.review_records(params.long_parameters(verified), docs)
+    docs = verify.once(_verified(spark, sf_dir), "rows", F.col("merged_rows")).select(
+        "doc_id", source.alias("source_file"), F.col("vision.confidence").alias("table_confidence"), "confidence", F.lit("double_verified_vision").alias("method"), F.array("vision.table_id").alias("table_ids"),
+        params.parameter_list(F.col("rows")).alias("parameters"),
+    )
+    out = params.review_records(docs)
     names = F.array_sort(F.map_keys(F.coalesce("params", F.create_map().cast(dict(out.dtypes)["params"]))))
     return out.select("doc_id", "mpn", "manufacturer", F.size(names).cast("long").alias("n_params"), F.array_join(names, "|").alias("names"))
 

@@ -95,7 +95,7 @@ def test_demo_pair(spark):
     row = params.importer_rows(docs).first().asDict()
     assert list(row.values()) == ["LMR51430", "", "Buck Converter", "", "4.2", "36.0", "", "", "3.0", "25.0", "92.0", "400.0", "", "Active", "", "Extracted by sheetwise (confidence: 99%)"]
     about = done.select("doc_id", F.lit("/x/lmr51430.pdf").alias("source_file"), F.col("vision.confidence").alias("table_confidence"), "confidence", F.lit("double_verified_vision").alias("method"), F.array(F.lit("vision_table_1")).alias("table_ids"))
-    record = params.review_records(numbers, about).first()
+    record = params.review_records(about.join(params.listed_parameters(numbers), "doc_id", "left")).first()
     assert record["manufacturer"] == "Texas Instruments" and set(record["params"]) == {"v_in_min", "v_in_max", "i_q", "i_q_max", "i_out_max", "fsw_min", "fsw", "fsw_max", "efficiency"}
     assert record["params"]["i_q"].asDict() == {"value": 25.0, "unit": "µA", "confidence": 0.95, "source": "page_1_vision_table_1", "verified_by": ["vision", "pdfplumber"], "needs_review": False}
     out = params.documents_out(done, raw=True).first()
