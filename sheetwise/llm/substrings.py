@@ -1,6 +1,5 @@
 """Repeated passages over documents, by sparse suffix arrays at minimiser positions."""
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BLOOM, Scratch, beside_rows, columns, map_whole, row_key
+from .shared import BLOOM, Scratch, beside_rows, columns, map_whole, partitions, row_key
 from .words import _BASE, gather, mix, owner, powers, rebased, run_hashes, slices, texts_of, word_codes, word_hashes
 
 #: Words of the shortest passage, of the grams that are drawn, and how many grams the draw is among.
@@ -147,7 +146,10 @@ def _classes(number: np.ndarray, doc: np.ndarray, row_hash: np.ndarray, start: n
     return order, np.repeat(head, size), np.repeat(size, size)
 
 
-SPANS = "doc_id long, row_hash long, low long, high long, again boolean, first_doc long, window long, head long, head_low long"
+MEMBERS = pa.list_(pa.struct([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("low", pa.int64())]))
+SPANS = "doc_id long, row_hash long, low long, high long, again boolean, first_doc long, window long, head long, members array<struct<doc_id: long, row_hash: long, low: long>>"
+#: Runs that share the first document's places stand in one row, up to so many.
+TOGETHER = 256
 
 
 def _compare(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Iterator[pa.RecordBatch]:
@@ -158,8 +160,8 @@ def _compare(batches: Iterator[pa.RecordBatch], least: int, among: int) -> Itera
 
     Rows: runs of window starts that stand elsewhere too, with their first document. For keys dealt over
     several parts, for the parts to be put together: the first window of each class in the part (window not
-    null; again: whether others of the class are in the part) with its suffix as head, and the runs of the others with the
-    suffix of their first windows as head, from head_low on.
+    null; again: whether others of the class are in the part) with its suffix as head, and the runs of the others as members of
+    rows with the suffix of their first windows as head, which stand there from low to high.
     """
     rest: pa.Table | None = None
     for batch in batches:
@@ -199,19 +201,40 @@ def _runs(table: pa.Table, least: int, among: int) -> Iterator[pa.RecordBatch]:
         new = np.append(True, (found[s][1:] != found[s][:-1]) | (begins[s][1:] != begins[s][:-1] + 1) | (again[s][1:] != again[s][:-1]) | (other[1:] != other[:-1]) | (dealt[s][1:] & ((first[s][1:] != first[s][:-1]) | (step[1:] != step[:-1]))))
         lo = np.flatnonzero(new)
         hi = np.append(lo[1:], len(s)) - 1
-        yield _spans(doc_ids, column, found[s[lo]], begins[s[lo]], begins[s[hi]], again[s[lo]], first[s[lo]], None, suffix[first[s[lo]]], begins[head[s[lo]]], ~dealt[s[lo]])
+        here = ~dealt[s[lo]]
+        x, y = s[lo[here]], s[hi[here]]
+        yield _spans(doc_ids, column, found[x], begins[x], begins[y], again[x], first[x], None, None)
+        x, y = s[lo[~here]], s[hi[~here]]
+        yield from _members(doc_ids, column["row_hash"], found[x], begins[x], suffix[first[x]], begins[head[x]], begins[y] - begins[x])
     pick = np.flatnonzero(dealt & ~again)
     if len(pick):
         rows, at_row = np.unique(found[pick], return_inverse=True)
         key = _window_hashes(around[rows], least)[at_row, k[order[pick]]] ^ mix(column["key"][found[pick]].astype(np.uint64))
-        yield _spans(doc_ids, column, found[pick], begins[pick], begins[pick], size[pick] > 1, first[pick], key, suffix[found[pick]], begins[pick], np.zeros(len(pick), bool))
+        yield _spans(doc_ids, column, found[pick], begins[pick], begins[pick], size[pick] > 1, first[pick], key, suffix[found[pick]])
 
 
-def _spans(doc_ids, column, row, low, high, again, first, window, head, head_low, alone) -> pa.RecordBatch:
-    windows = pa.nulls(len(row), pa.int64()) if window is None else pa.array(window.astype(np.int64))
+def _spans(doc_ids, column, row, low, high, again, first, window, head) -> pa.RecordBatch:
+    none = pa.nulls(len(row), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [doc_ids.take(pa.array(row)), pa.array(column["row_hash"][row]), pa.array(low), pa.array(high), pa.array(again), doc_ids.take(pa.array(first)), windows, pa.array(head, mask=alone), pa.array(head_low, mask=alone)],
-        ["doc_id", "row_hash", "low", "high", "again", "first_doc", "window", "head", "head_low"],
+        [doc_ids.take(pa.array(row)), pa.array(column["row_hash"][row]), pa.array(low), pa.array(high), pa.array(again), doc_ids.take(pa.array(first)), none if window is None else pa.array(window.astype(np.int64)), none if head is None else pa.array(head), pa.nulls(len(row), MEMBERS)],
+        ["doc_id", "row_hash", "low", "high", "again", "first_doc", "window", "head", "members"],
+    )
+
+
+def _members(doc_ids, row_hash, row, low, head, head_low, longer) -> Iterator[pa.RecordBatch]:
+    """Runs of the same length with the same first windows, together in rows."""
+    if not len(row):
+        return
+    order = np.lexsort((longer, head_low, head))
+    row, low, head, head_low, longer = row[order], low[order], head[order], head_low[order], longer[order]
+    new = np.append(True, (head[1:] != head[:-1]) | (head_low[1:] != head_low[:-1]) | (longer[1:] != longer[:-1]))
+    since = np.arange(len(row)) - np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))
+    at = np.flatnonzero(since % TOGETHER == 0)
+    each = pa.StructArray.from_arrays([doc_ids.take(pa.array(row)), pa.array(row_hash[row]), pa.array(low)], fields=list(MEMBERS.value_type))
+    none = pa.nulls(len(at), pa.int64())
+    yield pa.RecordBatch.from_arrays(
+        [none, none, pa.array(head_low[at]), pa.array((head_low + longer)[at]), pa.array(np.ones(len(at), bool)), none, none, pa.array(head[at]), pa.ListArray.from_arrays(pa.array(np.append(at, len(row)).astype(np.int32)), each)],
+        ["doc_id", "row_hash", "low", "high", "again", "first_doc", "window", "head", "members"],
     )
 
 
@@ -255,9 +278,12 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     firsts = heads.groupBy("window").agg(F.min("order").alias("least"), F.count("*").alias("n"))
     heads = tables.put(heads.join(firsts, "window").select("doc_id", "row_hash", "low", "high", (F.col("order") != F.col("least")).alias("later"), F.expr("n > 1 OR again").alias("counts"), "head", F.col("least.doc").alias("first_doc")), "heads")
     of_head = heads.groupBy("head").agg(F.collect_list(F.struct("low", "first_doc")).alias("known"))
-    known = F.expr("array_distinct(transform(filter(known, x -> x.low BETWEEN head_low AND head_low + high - low), x -> x.first_doc))")
+    known = F.expr("array_distinct(transform(filter(known, x -> x.low BETWEEN low AND high), x -> x.first_doc))")
     spans = runs.where("window IS NULL AND head IS NULL").select("doc_id", "row_hash", "low", "high", "again", F.array("first_doc").alias("also_in"))
-    spans = spans.unionByName(runs.where("window IS NULL AND head IS NOT NULL").join(of_head, "head").select("doc_id", "row_hash", "low", "high", "again", known.alias("also_in")))
+    # rows of many runs, dealt evenly before they are taken apart
+    shared = runs.where("window IS NULL AND head IS NOT NULL").join(of_head, "head").select(known.alias("also_in"), (F.col("high") - F.col("low")).alias("longer"), "members")
+    each = shared.repartition(partitions(spark)).select("also_in", "longer", F.explode("members").alias("m"))
+    spans = spans.unionByName(each.select("m.doc_id", "m.row_hash", "m.low", (F.col("m.low") + F.col("longer")).alias("high"), F.lit(True).alias("again"), "also_in"))
     spans = spans.unionByName(heads.where("counts").select("doc_id", "row_hash", "low", "high", F.col("later").alias("again"), F.array("first_doc").alias("also_in")))
     grouped = spans.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("low", "high", "again", "also_in")).alias("runs"))
     out = tables.put(grouped.mapInArrow(lambda it: _unions(it, least), "doc_id long, row_hash long, spans array<struct<start: long, words: long, also_in: array<long>>>, removed array<struct<start: long, words: long>>"), "out")
@@ -265,49 +291,59 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     return out
 
 
-def _union(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(runs):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
-
-
-def _minus(runs: list[tuple[int, int]], without: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out = []
-    for a, b in runs:
-        for c, d in without:
-            if d <= a or c >= b:
-                continue
-            if c > a:
-                out.append((a, c))
-            a = max(a, d)
-            if a >= b:
-                break
-        if a < b:
-            out.append((a, b))
-    return out
-
-
 def _unions(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))
-    named = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("also_in", pa.list_(pa.int64()))]))
+    """The words of each document's runs of windows, and those that are not the first occurrence; the documents of a batch lie side by side on one axis."""
+    plain = pa.struct([("start", pa.int64()), ("words", pa.int64())])
+    named = pa.struct([("start", pa.int64()), ("words", pa.int64()), ("also_in", pa.list_(pa.int64()))])
     for batch in batches:
-        spans, removed = [], []
-        for runs in batch.column("runs").to_pylist():
-            every = _union([(r["low"], r["high"] + least) for r in runs])
-            # a window that was first in its part may not be so in the whole table
-            again = {w for r in runs if r["again"] for w in range(r["low"], r["high"] + 1)}
-            kept = [(w, w + least) for r in runs if not r["again"] for w in range(r["low"], r["high"] + 1) if w not in again]
-            gone = _minus(_union([(r["low"], r["high"] + least) for r in runs if r["again"]]), _union(kept))
-            begin, firsts = [a for a, _ in every], [set() for _ in every]
-            for r in runs:
-                firsts[bisect_right(begin, r["low"]) - 1].update(r["also_in"])
-            spans.append([{"start": a, "words": b - a, "also_in": sorted(f, key=lambda x: (x is None, x))} for (a, b), f in zip(every, firsts, strict=True)])
-            removed.append([{"start": a, "words": b - a} for a, b in gone])
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_hash"), pa.array(spans, named), pa.array(removed, kind)], ["doc_id", "row_hash", "spans", "removed"])
+        offsets = batch.column("runs").offsets.to_numpy()
+        runs = batch.column("runs").values.slice(offsets[0], offsets[-1] - offsets[0])
+        doc, n = owner(offsets - offsets[0]), batch.num_rows
+        low, high = (runs.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("low", "high"))
+        again = runs.field("again").to_numpy(zero_copy_only=False).astype(bool)
+        base, end = np.full(n, np.iinfo(np.int64).max), np.zeros(n, np.int64)
+        np.minimum.at(base, doc, low)
+        np.maximum.at(end, doc, high + least)
+        width = end - base + 1  # the last word of each is never covered
+        begin = np.cumsum(width) - width
+        total, first = int(width.sum()), begin[doc] + low - base[doc]
+
+        def windows(mine: np.ndarray, first=first, last=first + high - low, total=total) -> np.ndarray:
+            step = np.zeros(total + 1, np.int32)
+            np.add.at(step, first[mine], 1)
+            np.add.at(step, last[mine] + 1, -1)
+            return np.cumsum(step)[:total] > 0
+
+        def words(starts: np.ndarray, total=total) -> np.ndarray:
+            at, step = np.flatnonzero(starts), np.zeros(total + least + 1, np.int32)
+            step[at] += 1
+            step[at + least] -= 1
+            return np.cumsum(step)[:total] > 0
+
+        def lists(covered: np.ndarray, begin=begin, base=base, n=n) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            edge = np.diff(np.concatenate([[0], covered.astype(np.int8), [0]]))
+            lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            of = np.searchsorted(begin, lo, side="right") - 1
+            return lo, lo - begin[of] + base[of], hi - lo, np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))]).astype(np.int32)
+
+        # a window that was first in its part may not be so in the whole table
+        later = windows(again)
+        kept = windows(~again) & ~later
+        at, start, size, bounds = lists(words(later | kept))
+        _, gone_start, gone_size, gone_bounds = lists(words(later) & ~words(kept))
+        also = runs.field("also_in")
+        also_at = also.offsets.to_numpy()
+        docs = also.values.slice(also_at[0], also_at[-1] - also_at[0])
+        span = (np.searchsorted(at, first, side="right") - 1)[owner(also_at - also_at[0])]
+        none, value = docs.is_null().to_numpy(zero_copy_only=False), docs.fill_null(0).to_numpy()
+        order = np.lexsort((value, none, span))
+        span, none, value = span[order], none[order], value[order]
+        new = np.append(True, (span[1:] != span[:-1]) | (none[1:] != none[:-1]) | (value[1:] != value[:-1]))[: len(span)]
+        span, none, value = span[new], none[new], value[new]
+        partners = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(span, minlength=len(at)))]).astype(np.int32)), pa.array(value, mask=none))
+        found = pa.StructArray.from_arrays([pa.array(start), pa.array(size), partners], fields=list(named))
+        removed = pa.StructArray.from_arrays([pa.array(gone_start), pa.array(gone_size)], fields=list(plain))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_hash"), pa.ListArray.from_arrays(pa.array(bounds), found), pa.ListArray.from_arrays(pa.array(gone_bounds), removed)], ["doc_id", "row_hash", "spans", "removed"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], removed_in: str) -> Iterator[pa.RecordBatch]:
