@@ -22,6 +22,7 @@ def batch_summary(results: DataFrame) -> DataFrame:
 
 def batch_report(results: DataFrame, seconds: float, generated: str, extractor: str = "sheetwise") -> DataFrame:
     """Lines (ord, line) of the Markdown report; sort by ord when writing. Columns: file, status, confidence, output, error."""
+    # fixed values: headings and shapes of the report's lines
     spark = results.sparkSession
     lines = lambda first, texts: spark.createDataFrame([(first, str(i).zfill(4), x) for i, x in enumerate(texts)], "part int, ord string, line string")
     head = lines(0, ["# Batch Processing Report", "", f"**Generated:** {generated}", f"**Duration:** {seconds:.1f} seconds", "", "## Summary", "", "| Metric | Value |", "|--------|-------|"])

@@ -6,7 +6,7 @@ Parts stand for pages: four of them make a document, and what is on a page follo
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import merges, model, params, rules, verify
+from ..operators import batch, merges, model, params, rules, verify
 from ..sources import files, fixtures
 from . import catalog, sql
 from .catalog import QUERIES, SQL, _pairs, _verified, query
@@ -273,6 +273,22 @@ def review_records(t, spark, sf_dir):
     return out.select("doc_id", "mpn", "manufacturer", F.size(names).cast("long").alias("n_params"), F.array_join(names, "|").alias("names"))
 
 
+@query("""WITH r AS (SELECT '/in/' || o_orderkey || '.pdf' AS file, CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' ELSE 'skipped' END AS status, o_orderkey % 100 / 100.0::DOUBLE AS confidence FROM orders),
+s AS (SELECT count(*) AS total, count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped') AS skipped FROM r)
+SELECT 0 AS part, unnest(['# Batch Processing Report', '', '**Generated:** today', '**Duration:** 1.5 seconds', '', '## Summary', '', '| Metric | Value |', '|--------|-------|']) AS line
+UNION ALL SELECT 1, unnest(['| Total Files | ' || total || ' |', '| Success | ' || success || ' |', '| Failed | ' || failed || ' |', '| Skipped | ' || skipped || ' |', '| Success Rate | ' || printf('%.1f', round_even(success / greatest(total - skipped, 1) * 100, 1)) || '% |']) FROM s
+UNION ALL SELECT 2, unnest(['', '## Successful Extractions', '', '| File | Confidence | Output |', '|------|------------|--------|'])
+UNION ALL SELECT 3, '| ' || file || ' | ' || CAST(round_even(confidence * 100, 0) AS INT) || '% | /out |' FROM r WHERE status = 'success'
+UNION ALL SELECT 4, unnest(['', '## Errors', '', '| File | Error |', '|------|-------|']) WHERE (SELECT failed FROM s) > 0
+UNION ALL SELECT 5, '| ' || file || ' | no table |' FROM r WHERE status = 'failed'
+UNION ALL SELECT 6, unnest(['', '---', '*Generated by sheetwise*'])""")
+def batch_report(t, spark, sf_dir):
+    status = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "failed").otherwise("skipped")
+    key = F.col("o_orderkey")
+    results = t("orders").select(F.concat(F.lit("/in/"), key.cast("string"), F.lit(".pdf")).alias("file"), status.alias("status"), (key % 100 / 100).alias("confidence"), F.lit("/out").alias("output"), F.lit("no table").alias("error"))
+    return batch.batch_report(results, 1.5, "today").select(F.col("ord.part").cast("long").alias("part"), "line")
+
+
 # the model boundary ------------------------------------------------------------------------------
 
 
