@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 from .shared import Scratch
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Hang the neighbours of each node on its least neighbour: the larger ones (large star) or the smaller ones (small star)."""
+def _star(edges: DataFrame, large: bool, keep=lambda df: df) -> DataFrame:
+    """Hang the neighbours of each node on its least neighbour: the larger ones (large star) or the smaller ones (small star).
+
+    `keep` may write the least neighbours: then Spark can split the edges of a node with many in the join with them.
+    """
     if large:
         around = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         around = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = keep(around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     hung = around.join(least, "u")
     if large:
         out = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -30,9 +33,9 @@ def components(edges: DataFrame, u: str, v: str, tables: Scratch, name: str) ->
     seen, turn = None, 0
     while True:
         turn += 1
-        now = tables.put(_star(_star(now, True), False), f"{name}{turn}")
+        now = tables.put(_star(_star(now, True, lambda df, k=turn: tables.put(df, f"{name}{k}-least")), False), f"{name}{turn}")
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        tables.drop(f"{name}{turn - 1}")
+        tables.drop(f"{name}{turn - 1}", f"{name}{turn}-least")
         if mark == seen:
             break
         seen = mark

@@ -54,7 +54,7 @@ def first_class(tokens: np.ndarray, percent: int) -> np.ndarray:
 def _describe(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Size, hashes and part sizes of each set, and the tokens that its prefix is taken from: the first class, or with fewer than a prefix of these also the least others."""
     for whole in batches:
-        for batch in slices(whole, "text", 6 << 20):
+        for batch in slices(whole, "text", 2 << 20):
             tokens, bounds = shingle_sets(texts_of(batch, lower=True), n)
             first, second = _prints(tokens, bounds)
             size, of = np.diff(bounds), owner(bounds)
@@ -73,12 +73,13 @@ def _describe(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterat
 def _fetch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """The sets of rows whose text is the one that was asked for."""
     for whole in batches:
-        for batch in slices(whole, "text", 6 << 20):
+        for batch in slices(whole, "text", 2 << 20):
             tokens, bounds = shingle_sets(texts_of(batch, lower=True), n)
             first, second = _prints(tokens, bounds)
             same = (first == batch.column("print1").to_numpy()) & (second == batch.column("print2").to_numpy())
             keep = pa.array(same)
-            yield pa.RecordBatch.from_arrays([batch.column("sid").filter(keep), batch.column("copies").filter(keep), pa.array(np.diff(bounds)).filter(keep), _lists(tokens, bounds).filter(keep)], ["sid", "copies", "n", "tokens"])
+            told = ["sid", "copies", "alone", "parts", "prefix"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).filter(keep) for c in told], pa.array(np.diff(bounds)).filter(keep), _lists(tokens, bounds).filter(keep)], [*told, "n", "tokens"])
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 2048) -> np.ndarray:
@@ -120,17 +121,49 @@ def _spanning(links: np.ndarray, ids_a: list[int], ids_b: list[int]) -> list[tup
     return out
 
 
+def candidates(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> np.ndarray:
+    """Which pairs of sets pass the length, prefix, positional and suffix filters; all that are similar do."""
+    na, nb = a["n"].to_numpy(np.int64), b["n"].to_numpy(np.int64)
+    need = -(-percent * (na[:, None] + nb[None, :]) // (100 + percent))
+    size = 100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
+    both, left, right = np.zeros_like(size), _positions(a), _positions(b)
+    for token in left.keys() & right.keys():
+        (i, at_i, rest_i), (j, at_j, rest_j) = left[token], right[token]
+        most = np.minimum(at_i[:, None], at_j[None, :]) + np.minimum(rest_i[:, None], rest_j[None, :])
+        both[np.ix_(i, j)] |= most >= need[np.ix_(i, j)]
+    out = size & both
+    if out.any():
+        parts_a, parts_b = np.array(a["parts"].tolist()), np.array(b["parts"].tolist())
+        out &= sum(np.minimum(parts_a[:, k][:, None], parts_b[:, k][None, :]) for k in range(parts_a.shape[1])) >= need
+    return out
+
+
+def _positions(sets: pd.DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each prefix token: the sets that have it, how many prefix tokens stand before it in them, and how many tokens from it on could be shared."""
+    length = np.array([len(x) for x in sets["prefix"]], np.int64)
+    tokens = np.concatenate([*[np.asarray(x, np.int64) for x in sets["prefix"]], np.zeros(0, np.int64)])
+    of = np.repeat(np.arange(len(sets)), length)
+    at = np.arange(len(tokens)) - np.repeat(np.cumsum(length) - length, length)
+    rest = (sets["n"].to_numpy(np.int64) - sets["alone"].to_numpy(np.int64))[of] - at
+    order = np.argsort(tokens, kind="stable")
+    edges = np.append(np.flatnonzero(np.append(True, tokens[order][1:] != tokens[order][:-1]))[: len(order)], len(order)) if len(order) else np.zeros(1, np.int64)
+    return {int(tokens[order[x]]): (of[order[x:y]], at[order[x:y]], rest[order[x:y]]) for x, y in zip(edges[:-1], edges[1:], strict=True)}
+
+
 def _blocks(percent: int):
     def joined(rows: pd.DataFrame) -> pd.DataFrame:
         i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
         rows = rows.drop_duplicates("sid")
         a, b = rows[rows["block"] == i], rows[rows["block"] == j]
-        sa, sb = [np.asarray(x) for x in a["tokens"]], [np.asarray(x) for x in b["tokens"]]
-        na, nb = np.array([len(x) for x in sa], np.int64), np.array([len(x) for x in sb], np.int64)
-        both = overlaps(sa, sb).astype(np.int64)
-        links = 100 * both >= percent * (na[:, None] + nb[None, :] - both)
+        some = candidates(a, b, percent)
         if i == j:
-            links = np.triu(links, 1)
+            some = np.triu(some, 1)
+        links = np.zeros_like(some)
+        x, y = np.flatnonzero(some.any(axis=1)), np.flatnonzero(some.any(axis=0))
+        if len(x):
+            both = overlaps([np.asarray(t) for t in a["tokens"].iloc[x]], [np.asarray(t) for t in b["tokens"].iloc[y]]).astype(np.int64)
+            na, nb = a["n"].to_numpy(np.int64)[x], b["n"].to_numpy(np.int64)[y]
+            links[np.ix_(x, y)] = some[np.ix_(x, y)] & (100 * both >= percent * (na[:, None] + nb[None, :] - both))
         forest = pd.DataFrame(_spanning(links, a["sid"].tolist(), b["sid"].tolist()), columns=["a", "b"], dtype="int64").assign(n_a=0, n_b=0)
         counts = pd.concat([pd.DataFrame({"a": a["sid"], "n_a": links @ b["copies"].to_numpy(np.int64)}), pd.DataFrame({"a": b["sid"], "n_a": links.T @ a["copies"].to_numpy(np.int64)})]).groupby("a", as_index=False).sum()
         counts = counts[counts["n_a"] > 0].assign(b=None, n_b=None)
@@ -178,18 +211,20 @@ def jaccard_links(posts: DataFrame, sets: DataFrame, percent: int, tables: Scrat
 
     Lists of up to SHORT sets are paired, with length, positional and suffix filters (the suffix
     filter compares the sizes of hash parts), and each distinct pair is verified once. Longer
-    lists mark families of near copies; a family is cut into blocks of about BLOCK sets and each pair of
-    blocks is verified in one task by matrix products, so every pair is again verified once and no
-    task holds more than two blocks. Pairs of short lists within a family are left to its blocks.
+    lists mark families of near copies; a family is cut into blocks, and each pair of
+    blocks is joined in one task, without rows for pairs: the same filters on the same prefixes leave candidates, and
+    these are verified by matrix products. Every pair is so verified once, in its family's blocks or, if it
+    has no common family, from short lists. A family of G sets has G / BLOCK blocks, and from G = BLOCK ** 2 / 4 on
+    sqrt(G) / 2 larger ones, so that its tokens are copied sqrt(G) / 2 times then, and no task holds more than two blocks.
     """
     # long lists: families, blocks, matrix products
     stars = posts.where(f"len > {SHORT} AND sid <> head").select("sid", "head")
     family = tables.put(components(stars, "sid", "head", tables, "family"), "families")
-    count = family.groupBy("root").agg(F.expr(f"cast(ceil(count(*) / {BLOCK}.0D) AS int)").alias("blocks"))
+    count = family.groupBy("root").agg(F.expr(f"cast(ceil(least(count(*) / {BLOCK}.0D, greatest(sqrt(count(*)) / 2, 1.0D * {BLOCK} / 4))) AS int)").alias("blocks"))
     dealt = family.join(count, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.select(F.col("node").alias("sid"), "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("sid", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    within = dealt.join(sets.select("sid", "copies", "tokens"), "sid").groupBy("root", "i", "j").applyInPandas(_blocks(percent), "a long, b long, n_a long, n_b long")
+    within = dealt.join(sets, "sid").groupBy("root", "i", "j").applyInPandas(_blocks(percent), "a long, b long, n_a long, n_b long")
     # short lists: filtered pairs, each once
     some = posts.where(f"len <= {SHORT}")
     a, b = (some.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("sid", "n", "alone", "parts", "at")]) for k in "ab")
@@ -237,11 +272,12 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("doc_id").isNull().alias("none"), F.col("row_hash").alias("hash"))
     groups = tables.put(narrow.where("n > 0").groupBy("print1", "print2").agg(F.min(order).alias("least"), F.count("*").alias("copies")), "groups")
     some = posts.select("sid").distinct()
-    wanted = prefixes.select("print1", "print2", F.col("row").alias("sid")).join(some, "sid").join(narrow.select(F.col("row").alias("sid"), "row_hash"), "sid")
+    wanted = prefixes.select("print1", "print2", F.col("row").alias("sid"), "alone", "parts", "prefix").join(some, "sid").join(narrow.select(F.col("row").alias("sid"), "row_hash"), "sid")
     wanted = tables.put(wanted.join(groups.select("print1", "print2", "copies"), ["print1", "print2"]), "wanted")
     # the filter on sid holds for all rows: without one Spark makes no Bloom filter
     texts = rows.withColumn("row_hash", row_key(docs)).join(wanted.where("sid >= 0"), "row_hash")
-    sets = tables.put(texts.select("sid", "copies", "print1", "print2", "text").mapInArrow(lambda it: _fetch(it, n), "sid long, copies long, n long, tokens array<long>"), "sets", BLOOM)
+    told = "sid long, copies long, alone int, parts array<int>, prefix array<long>, n long, tokens array<long>"
+    sets = tables.put(texts.select("sid", "copies", "alone", "parts", "prefix", "print1", "print2", "text").mapInArrow(lambda it: _fetch(it, n), told), "sets", BLOOM)
     links = jaccard_links(posts, sets, percent, tables)
     classes = components(links.where("b IS NOT NULL"), "a", "b", tables, "class")
     degrees = links.select(F.col("a").alias("sid"), F.col("n_a").alias("n")).unionAll(links.select("b", "n_b")).where("n > 0").groupBy("sid").agg(F.sum("n").alias("others"))
