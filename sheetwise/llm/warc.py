@@ -84,13 +84,19 @@ def parse_record(data: bytes, at: int) -> tuple[dict, bytes, int] | str:
     return headers, block, end + 4
 
 
+#: Bytes that a member may unpack to; one with more (a decompression bomb) is quarantined.
+MOST = 1 << 30
+
+
 def _member(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int] | None:
-    """A whole gzip member at `at` with its checksum right, and its end."""
-    z, parts, pos = zlib.decompressobj(31), [], at
+    """A whole gzip member at `at` with its checksum right and at most MOST bytes in it, and its end."""
+    z, parts, pos, size = zlib.decompressobj(31), [], at, 0
     try:
         while not z.eof and pos < len(data):
             parts.append(z.decompress(data[pos : pos + step]))
-            pos += step
+            pos, size = pos + step, size + len(parts[-1])
+            if size > MOST:
+                return None
     except zlib.error:
         return None
     return (b"".join(parts), min(pos, len(data)) - len(z.unused_data)) if z.eof else None
@@ -170,14 +176,17 @@ def write_warc(pages: DataFrame, least: int = 0, archive_bytes: int = 8 << 20) -
 
     Of pages with equal payloads of at least `least` bytes the smallest page_id is a response and
     the others are revisits of it; pages with that very id, so also repeated rows, are all
-    responses, and so are rows with a null page_id. Each archive holds the gzip members of up to
+    responses. A row with a null page_id is a revisit of the smallest page_id with its payload, and a response where
+    no row with its payload has one. An empty table has no archive. Each archive holds the gzip members of up to
     `archive_bytes` of payload, so no task holds more than that or one page. Other columns are ignored.
-    Payload digests are counted with partial sums; only digests met twice or more are joined back.
+    Payload digests are counted with partial sums and written; only digests met twice or more are joined
+    back, and Spark can split the pages of a frequent one (such as all empty pages) in that join.
     """
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
     big = rows.where(F.octet_length("html") >= least)
     first = big.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = Scratch(pages.sparkSession, "warc").put(first, "first").hint("merge")
     joined = rows.join(first, "digest", "left").select("page_id", "url", "html", "first")
     return joined.mapInArrow(lambda it: _archive(it, archive_bytes), "path string, content binary")
 
@@ -216,7 +225,7 @@ def read_warc(archives: DataFrame, payload: bool = True) -> DataFrame:
 
 
 def quarantined(archives: DataFrame) -> DataFrame:
-    """The byte gaps that `read_warc` passed over, with the reason of the first failed check."""
+    """The byte gaps that `read_warc` passed over, with the reason of the first failed check; none for null or empty content and for an empty table, and each row's own for repeated paths."""
     return archives.select("path", "content").mapInArrow(lambda it: _read(it, True, False), "path string, first_byte long, end_byte long, reason string")
 
 
