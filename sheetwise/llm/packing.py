@@ -54,9 +54,11 @@ def curve_keys(codes: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, dims:
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
-    tokenizer = WordTokenizer(path)
+    from pyspark import TaskContext
+
+    tokenizer, row = WordTokenizer(path), TaskContext.get().partitionId() << 40
     for whole in batches:
-        for batch in slices(whole, "text", 6 << 20):
+        for batch in slices(whole, "text", 2 << 20):
             ids, bounds, codes, words_at, words = tokenizer.encode(texts_of(batch), end)
             key = curve_keys(codes, words_at, word_hashes(words))
             packed, at = ids.astype("<u4").tobytes(), bounds * 4
@@ -65,7 +67,8 @@ def _tokenise(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterato
             key = (key << 24) | (tie >> np.uint64(40)).astype(np.int64)
             narrow = ids.astype("<u2").tobytes() if ids.max(initial=0) < 1 << 16 else packed
             at = at * len(narrow) // max(len(packed), 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(key), pa.array(np.diff(bounds)), pa.array([narrow[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["doc_id", "key", "doc_tokens", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(key), pa.array(np.diff(bounds)), pa.array([narrow[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()), pa.array(row + np.arange(len(key)))], ["doc_id", "key", "doc_tokens", "ids", "row"])
+            row += len(key)
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +112,7 @@ def pack_documents(docs: DataFrame, length: int = 4096, end: int = 2, path: str
 
     Each text (null: empty) becomes its ids and then `end`. A hashed word vector of the text,
     projected to three dimensions, gives a Hilbert key; documents are range-sorted by it, exact
-    copies spread by a hash of ids and doc_id, and their ids laid end to end over all parts of the
+    copies spread by a hash of ids and doc_id (equal rows by their number, so no part of the sort grows with them), and their ids laid end to end over all parts of the
     sort. Sequences are the consecutive runs of `length` ids, so only the last one is padded.
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and with
     `with_ids` the piece's little-endian 32-bit ids. Null and repeated doc_id are kept as they
@@ -120,10 +123,10 @@ def pack_documents(docs: DataFrame, length: int = 4096, end: int = 2, path: str
     path = path or tokenizer_path()
     tables = Scratch(spark, "packing")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    tokens = tables.put(rows.mapInArrow(lambda it: _tokenise(it, path, end), "doc_id long, key long, doc_tokens long, ids binary"), "tokens")
+    tokens = tables.put(rows.mapInArrow(lambda it: _tokenise(it, path, end), "doc_id long, key long, doc_tokens long, ids binary, row long"), "tokens")
     total = tokens.agg(F.sum("doc_tokens")).first()[0] or 0
     parts = max(partitions(spark), int(total) // (8 << 20) + 1)
-    ranged = tokens.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id", "doc_tokens")
+    ranged = tokens.repartitionByRange(parts, "key", "doc_id", "row").sortWithinPartitions("key", "doc_id", "row").drop("row")
     laid = tables.put(ranged.mapInArrow(_running, "doc_id long, key long, doc_tokens long, ids binary, part int, before long"), "laid")
     base, so_far = {}, 0
     for part, n in sorted(map(tuple, laid.groupBy("part").agg(F.sum("doc_tokens")).collect())):
