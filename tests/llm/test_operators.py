@@ -530,6 +530,94 @@ def test_language(spark):
     assert all(held[i] == (zlib.crc32(str(i).encode()) % 4 == 2) for i in held if i is not None)
 
 
+def language_brute(data):
+    """Predictions by dictionaries of trigrams and expectation-maximisation in plain loops."""
+    import math
+
+    import regex
+
+    def letters(text):
+        out = [regex.sub(r"[^\p{L}\p{M}]+", "", w.decode().lower()) for w in words(text)]
+        return [w for w in out if regex.search(r"\p{L}", w)]
+
+    marked = lambda w: "\x02\x02" + w + "\x03"
+    grams, langs = defaultdict(Counter), set()
+    for i, text, lang in data:
+        if lang is not None and i is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            for w in map(marked, letters(text)):
+                langs.add(lang)
+                grams[lang].update(w[k - 2 : k + 1] for k in range(2, len(w)))
+    langs = sorted(langs)
+    base = len({c for g in grams.values() for x in g for c in x}) + 1
+
+    def model(counts):
+        orders = [Counter(), Counter(), counts]
+        for g, n in counts.items():
+            orders[0][g[2]] += n
+            orders[1][g[1:]] += n
+        total, kinds = [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
+        for k in range(3):
+            for g, n in orders[k].items():
+                total[k][g[:-1]] += n
+                kinds[k][g[:-1]] += 1
+
+        def p(gram):
+            low = 1 / base
+            for k in range(3):
+                g = gram[2 - k :]
+                seen = total[k][g[:-1]] + kinds[k][g[:-1]]
+                low = (orders[k][g] + kinds[k][g[:-1]] * low) / seen if seen else low
+            return low
+
+        return p
+
+    models = [model(grams[x]) for x in langs]
+
+    def share_of(rel, share, steps):
+        for _ in range(steps):
+            sums = [0.0] * len(langs)
+            for r in rel:
+                joint = [a * b for a, b in zip(r, share, strict=True)]
+                for k, x in enumerate(joint):
+                    sums[k] += x / sum(joint)
+            share = [x / sum(sums) for x in sums]
+        return share
+
+    out = []
+    for i, text, _ in data:
+        rel = []
+        for w in map(marked, letters(text)):
+            ll = [sum(math.log(p(w[k - 2 : k + 1])) for k in range(2, len(w))) for p in models]
+            rel.append([max(math.exp(x - max(ll)), 1e-12) for x in ll])
+        if not rel:
+            out.append((i, "und", 0.0))
+            continue
+        full = share_of(rel, [1 / len(langs)] * len(langs), 8)
+        ranked, best, best_score = sorted(range(len(langs)), key=lambda k: -full[k]), None, -math.inf
+        for k in range(1, len(langs) + 1):
+            start = [max(x, 1e-3) if j in ranked[:k] else 0.0 for j, x in enumerate(full)]
+            share = share_of(rel, [x / sum(start) for x in start], 0 if k == 1 else 3)
+            score = sum(math.log(sum(a * b for a, b in zip(r, share, strict=True))) for r in rel) - (k - 1) * math.log(len(rel) + 1)
+            if score > best_score:
+                best, best_score = share, score
+        out.append((i, langs[best.index(max(best))], max(best)))
+    return out
+
+
+def test_language_against_brute_force(spark):
+    stock = {"de": ["der", "und", "wasser", "haus", "stein", "licht", "größe", "über"], "es": ["el", "agua", "casa", "piedra", "luz", "año", "río", "calle"]}
+    rng = np.random.default_rng(8)
+    data = [(r[0], r[1], r[2]) for r in rows() if r[0] not in (38, 105)]
+    data += [(1000 + k, " ".join(rng.choice(stock[x], 30)), x) for k, x in enumerate(["de", "es"] * 12)]
+    data += [(1100 + k, " ".join([*rng.choice(stock["de"], 10 + 3 * k), *rng.choice(stock["es"], 25), *data[0][1].split(" ")[: 9 * (k % 3)]]), None) for k in range(9)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = collected(language.identify_languages(docs, language.learned(docs)).select("doc_id", "lang_pred", "score"))
+    want = sorted(language_brute(data), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    np.testing.assert_allclose([g[2] for g in got], [w[2] for w in want], atol=2e-3)
+    assert any(0.3 < w[2] < 0.7 for w in want)
+
+
 def test_mixture_chooses_by_penalty():
     clear = np.array([[1, 1e-6]] * 30 + [[1e-6, 1]] * 10, np.float32)
     share = language.mixture(np.concatenate([clear, clear[:30]]), np.array([0, 40, 70]))
