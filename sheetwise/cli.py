@@ -1,4 +1,4 @@
-"""Command line: extract, batch, verify, export, stats.
+"""Command line: extract, batch, scan, verify, export, stats.
 
 python -m sheetwise.cli batch IN OUT --parser package.module:function [--second package.module:function] [--csv]
 
@@ -12,6 +12,7 @@ import argparse
 import importlib
 import sys
 import time
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,15 +39,18 @@ def tables_of(pages: DataFrame, name: str) -> DataFrame:
     return tables.select("doc_id", "page_num", "table_idx", F.struct("table_id", "title", "headers", "rows", "confidence", "extraction_method").alias(name))
 
 
-def process(found: DataFrame, parse, second=None) -> DataFrame:
-    """Results of files, one row for each table (doc_id, page_num, table_idx) and one for each file without any; `error` where a file failed."""
-    pages = files.read_pages(found, parse)
+def process(found: DataFrame, parse, second=None, keep=lambda df, name: df) -> DataFrame:
+    """Results of files, one row for each table (doc_id, page_num, table_idx) and one for each file without any; `error` where a file failed.
+
+    `keep` may write a table and return the written one, so that files are parsed once.
+    """
+    pages = keep(files.read_pages(found, parse), "pages")
     errors = pages.groupBy("doc_id").agg(F.first("error", ignorenulls=True).alias("error"))
     tables = tables_of(pages, "vision")
     if second is None:
         pairs = tables.withColumn("rule", F.lit(None).cast(TABLE))
     else:
-        both = tables_of(files.read_pages(found, second), "seen").join(tables.withColumnRenamed("vision", "read"), ["doc_id", "page_num", "table_idx"], "full")
+        both = tables_of(keep(files.read_pages(found, second), "second"), "seen").join(tables.withColumnRenamed("vision", "read"), ["doc_id", "page_num", "table_idx"], "full")
         pairs = both.select("doc_id", "page_num", "table_idx", F.coalesce("seen", "read").alias("vision"), F.when(F.col("seen").isNotNull(), F.col("read")).alias("rule"))
     return verify.verify_tables(pairs).join(errors, "doc_id", "full")
 
@@ -69,6 +73,35 @@ def importer_of(results: DataFrame) -> DataFrame:
     return params.importer_rows(wide.withColumns({"params": F.coalesce("params", F.create_map().cast("map<string,double>")), "mpn": none, "manufacturer": none}))
 
 
+def wide_of(results: DataFrame) -> DataFrame | None:
+    """The wide table of all parameters; None without a document that has one."""
+    told = numbers_of(results).join(of_documents(results).select("doc_id", "source_file", "confidence"), "doc_id").withColumn("status", F.lit("success"))
+    names = params.parameter_names(told)
+    return params.wide_rows(told, names) if names else None
+
+
+def documents_of(results: DataFrame) -> DataFrame:
+    """One document for each table that was verified, as `documents_out` gives it."""
+    return params.documents_out(results.withColumn("doc_id", F.concat(file_stem(F.col("doc_id")), F.format_string("_p%d_%d", "page_num", "table_idx"))))
+
+
+def kept_under(spark: SparkSession, out: str):
+    """Writes tables to a folder of this run below the output."""
+    folder = f"{out}/work/{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return keep
+
+
+def scan(spark: SparkSession, source: str, out: str, parse, pattern: str = "*.pdf") -> None:
+    """One JSON document for each file: what its pages hold by rules alone."""
+    pages = kept_under(spark, out)(files.read_pages(files.list_files(spark, source, pattern), parse), "pages")
+    files.write_documents(files.page_documents(pages, rules.extract_page_tables(pages)), f"{out}/documents")
+
+
 def run_batch(spark: SparkSession, source: str, out: str, parse, pattern: str = "*.pdf", csv: bool = False, second=None) -> DataFrame:
     """Files without an output yet; writes results, report and, if asked, the importer CSV. Returns the summary."""
     began = time.monotonic()
@@ -80,8 +113,7 @@ def run_batch(spark: SparkSession, source: str, out: str, parse, pattern: str =
             raise
         done = spark.createDataFrame([], "path string")
     todo = batch.pending_files(every, done)
-    results = process(todo, parse, second)
-    results.write.mode("append").parquet(f"{out}/results")
+    process(todo, parse, second, kept_under(spark, out)).write.mode("append").parquet(f"{out}/results")
     written = spark.read.parquet(f"{out}/results")
     docs = of_documents(written)
     status = F.when(F.col("error").isNotNull() | F.col("table_ids").isNull(), "failed").otherwise("success")
@@ -97,7 +129,7 @@ def run_batch(spark: SparkSession, source: str, out: str, parse, pattern: str =
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="sheetwise")
     commands = p.add_subparsers(dest="command", required=True)
-    for name in ("extract", "batch"):
+    for name in ("extract", "batch", "scan"):
         c = commands.add_parser(name)
         c.add_argument("source")
         c.add_argument("out")
@@ -110,9 +142,12 @@ def main(args: list[str] | None = None) -> int:
     c = commands.add_parser("export")
     c.add_argument("out")
     c.add_argument("target")
-    c.add_argument("--format", choices=["csv", "review"], default="csv")
+    c.add_argument("--format", choices=["csv", "wide", "review", "documents"], default="csv")
     a = p.parse_args(args)
     spark = session()
+    if a.command == "scan":
+        scan(spark, a.source, a.out, load(a.parser), a.pattern)
+        return 0
     if a.command in ("extract", "batch"):
         summary = run_batch(spark, a.source, a.out, load(a.parser), a.pattern, a.csv, load(a.second) if a.second else None).first()
         print(", ".join(f"{k} {v}" for k, v in summary.asDict().items()))
@@ -125,6 +160,12 @@ def main(args: list[str] | None = None) -> int:
             print(*r, sep="\t")
     elif a.command == "stats":
         print(", ".join(f"{k} {v}" for k, v in verify.verifier_stats(results).first().asDict().items()))
+    elif a.format == "documents":
+        files.write_documents(documents_of(results), a.target, name=F.col("doc_id"))
+    elif a.format == "wide":
+        wide = wide_of(results)
+        if wide is not None:
+            files.write_csv(wide, a.target)
     elif a.format == "review":
         files.write_json(params.review_records(of_documents(results).drop("error").join(params.listed_parameters(numbers_of(results)), "doc_id", "left")), a.target)
     else:

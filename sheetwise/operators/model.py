@@ -19,16 +19,30 @@ RESPONSE = "request_id string, success boolean, content string, error string, mo
 # fixed values: dollars for 1,000 tokens in and out
 PRICES = {"gpt-4o": (0.005, 0.015), "gpt-4o-mini": (0.00015, 0.0006)}
 DEFAULT_MODEL = "gpt-4o-mini"
-TABLE_SCHEMA = "title string, headers array<string>, rows array<map<string,string>>"
-GRAPH_SCHEMA = "nodes array<struct<id: string, label: string, type: string>>, edges array<struct<`from`: string, `to`: string, label: string, type: string>>"
+# fixed values: the formats of answers
+TABLE_SCHEMA = "table_title string, columns array<string>, rows array<map<string,string>>, notes array<string>"
+GRAPH_SCHEMA = "diagram_type string, title string, nodes array<struct<id: string, label: string, type: string>>, edges array<struct<`from`: string, `to`: string, label: string, type: string>>, description string"
+PINOUT_SCHEMA = "package string, pin_count int, pins array<struct<number: int, name: string, type: string, description: string>>"
+CIRCUIT_SCHEMA = "circuit_type string, main_ic string, components array<struct<ref: string, type: string, value: string, connection: string>>, connections array<struct<`from`: string, `to`: string, through: string>>, notes array<string>"
 #: What each kind of request asks for, and the schema of its answer.
 PROMPTS = {
-    "table": ("Extract the table of this image as JSON with title, headers and rows.", TABLE_SCHEMA),
-    "block_diagram": ("Extract the block diagram of this image as JSON with nodes and edges.", GRAPH_SCHEMA),
-    "pinout": ("Extract the pinout diagram of this image as JSON with nodes and edges.", GRAPH_SCHEMA),
-    "application_circuit": ("Extract the application circuit of this image as JSON.", GRAPH_SCHEMA),
+    "table": ("Read the table of this image. Answer in JSON with table_title, columns, rows (an object a row, with the columns as keys; repeat a merged cell in each cell it covers, leave empty cells empty, keep units in a Unit column) and notes.", TABLE_SCHEMA),
+    "block_diagram": ("Read the block diagram of this image. Answer in JSON with diagram_type, title, nodes (id, label, type: block, pin, ground or vcc), edges (from, to, label, type: signal, power or feedback) and description.", GRAPH_SCHEMA),
+    "pinout": ("Read the pinout diagram of this image. Answer in JSON with package, pin_count and pins (number, name, type, description).", PINOUT_SCHEMA),
+    "application_circuit": ("Read the application circuit of this image. Answer in JSON with circuit_type, main_ic, components (ref, type, value, connection), connections (from, to, through) and notes.", CIRCUIT_SCHEMA),
 }
 
+
+def requests_for(images: DataFrame, kind: str) -> DataFrame:
+    """Requests of one kind (a key of PROMPTS) from request_id and image."""
+    return images.select(F.col("request_id").cast("string"), F.lit(PROMPTS[kind][0]).alias("prompt"), "image")
+
+
+def read_answers(answers: DataFrame, kind: str) -> DataFrame:
+    """Answers of one kind with `read`, what they say in its schema, null where they failed or are no JSON."""
+    return answers.withColumn("read", F.when(F.col("success"), json_answer(F.col("content"), PROMPTS[kind][1])))
+
+
 Client = Callable[[str, str], dict]
 
 
@@ -54,8 +68,8 @@ class MockClient:
     """Answers by the words of the prompt: a table, a block diagram, else the prompt's first 100 characters."""
 
     # fixed values
-    table = {"title": "Electrical Characteristics", "headers": ["Parameter", "Min", "Typ", "Max", "Unit"], "rows": [{"Parameter": "Input Voltage", "Min": "4.5", "Typ": "", "Max": "36", "Unit": "V"}, {"Parameter": "Output Current", "Min": "", "Typ": "3", "Max": "", "Unit": "A"}]}
-    graph = {"nodes": [{"id": "1", "label": "Input", "type": "pin"}, {"id": "2", "label": "Output", "type": "pin"}], "edges": [{"from": "1", "to": "2", "label": "", "type": "power"}, {"from": "2", "to": "1", "label": "", "type": "feedback"}]}
+    table = {"table_title": "Electrical Characteristics", "columns": ["Parameter", "Min", "Typ", "Max", "Unit"], "rows": [{"Parameter": "Input Voltage", "Min": "4.5", "Typ": "", "Max": "36", "Unit": "V"}, {"Parameter": "Output Current", "Min": "", "Typ": "3", "Max": "", "Unit": "A"}]}
+    graph = {"diagram_type": "block_diagram", "nodes": [{"id": "1", "label": "Input", "type": "pin"}, {"id": "2", "label": "Output", "type": "pin"}], "edges": [{"from": "1", "to": "2", "label": "", "type": "power"}, {"from": "2", "to": "1", "label": "", "type": "feedback"}]}
 
     def __call__(self, prompt: str, image: str) -> dict:
         low = prompt.lower()

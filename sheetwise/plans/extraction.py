@@ -302,7 +302,7 @@ class _Flaky(model.MockClient):
 
 
 @query("""SELECT CAST(p_partkey AS VARCHAR) AS request_id, p_partkey % 9 <> 0 AS success, CASE WHEN p_partkey % 9 = 0 THEN 3 ELSE 1 END AS attempts, CASE WHEN p_partkey % 9 = 0 THEN 'RuntimeError: refused' END AS error,
-  CASE WHEN p_partkey % 9 <> 0 AND p_partkey % 4 = 0 THEN 2 END AS rows, CASE WHEN p_partkey % 9 <> 0 AND p_partkey % 4 IN (1, 2) THEN 2 END AS nodes, CASE WHEN p_partkey % 9 <> 0 AND p_partkey % 4 = 3 THEN 'Extract the application circuit of this image as JSON.' END AS echo FROM part""")
+  CASE WHEN p_partkey % 9 <> 0 AND p_partkey % 4 = 0 THEN 2 END AS rows, CASE WHEN p_partkey % 9 <> 0 AND p_partkey % 4 IN (1, 2) THEN 2 END AS nodes, CASE WHEN p_partkey % 9 <> 0 AND p_partkey % 4 = 3 THEN 'Read the application circuit of this image. Answer in JSON with circuit_type, main_ic, components (r' END AS echo FROM part""")
 def model_answers(t, spark, sf_dir):
     kinds = list(model.PROMPTS)
     prompt = F.concat(_pick([model.PROMPTS[k][0] for k in kinds], _key()), F.when(_key() % 9 == 0, " Please refuse.").otherwise(""))

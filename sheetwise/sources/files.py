@@ -3,7 +3,7 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import diagram_type, maker_in_text, part_in_text
@@ -141,9 +141,9 @@ def json_text(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.to_json(F.struct(*[c for c in df.columns if c != "doc_id"]), {"pretty": "true"}).alias("json"))
 
 
-def write_documents(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON file for each document, in a folder named by its file's stem."""
-    named = json_text(df).select(file_stem("doc_id").alias("name"), "json")
+def write_documents(df: DataFrame, path: str, mode: str = "overwrite", name: Column | None = None) -> None:
+    """One JSON file for each document, in a folder named by its file's stem, or by `name` of its doc_id."""
+    named = json_text(df).select((file_stem(F.col("doc_id")) if name is None else name).alias("name"), "json")
     named.repartition("name").write.mode(mode).partitionBy("name").option("lineSep", "\n").text(path)
 
 

@@ -158,9 +158,11 @@ def test_model_boundary(spark):
 
     got = {r["request_id"]: r for r in model.ask_model(requests, make, attempts=2, wait=lambda n: 0.0).collect()}
     assert got["1"]["success"] and not got["3"]["success"] and got["3"]["attempts"] == 2 and "no answer" in got["3"]["error"]
-    assert one(spark, model.json_answer(F.lit(got["1"]["content"]), model.TABLE_SCHEMA))["headers"][0] == "Parameter"
+    assert one(spark, model.json_answer(F.lit(got["1"]["content"]), model.TABLE_SCHEMA))["columns"][0] == "Parameter"
     assert one(spark, model.json_answer(F.lit("no json"), model.TABLE_SCHEMA)) is None
     assert model.spend(model.ask_model(requests, make, 1)).first()[0] == 0.0
+    asked = model.requests_for(spark.createDataFrame([("1", b"x")], "request_id string, image binary"), "block_diagram")
+    assert len(model.read_answers(model.ask_model(asked, make), "block_diagram").first()["read"]["edges"]) == 2
 
 
 def parse(content: bytes):
@@ -240,6 +242,14 @@ def test_two_readers_are_verified(spark, tmp_path):
     assert rows[0]["resolution_method"] == "auto_resolved" and rows[0]["conflicts"][0]["field"] == "row[0].Max" and rows[1]["resolution_method"] == "vision_only"
     line = spark.read.option("header", True).csv(f"{out}/for_import_script").first()
     assert (line["Vin_max"], line["Iq_typ"], line["Category"]) == ("24.0", "25.0", "LDO")
+    cli.scan(spark, str(source), str(tmp_path / "scan"), parse)
+    assert spark.read.option("multiLine", True).json(str(tmp_path / "scan" / "documents")).first()["tables"][0]["table_id"] == "table_p1_0"
+    for kind in ("wide", "documents", "review"):
+        assert cli.main(["export", out, str(tmp_path / kind), "--format", kind]) == 0
+    wide = spark.read.option("header", True).csv(str(tmp_path / "wide")).first().asDict()
+    assert list(wide)[1:] == ["confidence", "status", "input_voltage_range_max", "input_voltage_range_min", "quiescent_current_typ"] and wide["quiescent_current_typ"] == "25.0"
+    assert spark.read.option("multiLine", True).json(str(tmp_path / "documents")).count() == 2
+    assert spark.read.json(str(tmp_path / "review")).first()["params"]["i_q"]["value"] == 25.0
 
 
 def test_documents_are_written_one_by_one(spark, tmp_path):
