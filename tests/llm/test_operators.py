@@ -633,3 +633,25 @@ def test_mixture_judges_each_text_alone():
     beside = language.mixture(np.concatenate([other, close]), np.array([0, 40, 70]))
     assert alone[0, 2] > 0.1
     np.testing.assert_allclose(alone[0], beside[1], atol=1e-6)
+
+
+# shared tables -----------------------------------------------------------------------------------
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    context = SimpleNamespace(getConf=dict, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(SimpleNamespace(sparkContext=context))
+
+
+def test_what_was_decided_meets_every_row(spark):
+    """Rows that differ in nulls alone are told apart, equal rows are numbered."""
+    data = [(1, "a"), (1, "a"), (1, None), (None, "a"), (None, None), (0, None), (2, "")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    keys = docs.select("doc_id", shared.row_key(docs).alias("row_hash"), "text")
+    assert keys.select("row_hash").distinct().count() == 6
+    joined, name = shared.beside_rows(docs, shared.row_key(docs), keys.dropDuplicates(["doc_id", "row_hash"]).select("doc_id", "row_hash", F.col("text").alias("other")), "left")
+    got = sorted(((r["doc_id"], r["text"], r[name["other"]], r[name["nth"]]) for r in joined.collect()), key=repr)
+    assert got == sorted(((i, t, t, 2 if k == 1 else 1) for k, (i, t) in enumerate(data)), key=repr)
