@@ -14,7 +14,7 @@ from .words import _BASE, gather, mix, owner, powers, rebased, run_hashes, slice
 #: Words of the shortest passage, of the grams that are drawn, and how many grams the draw is among.
 LEAST, GRAM, AMONG = 50, 8, 25
 #: Suffixes of one key that a task takes together; keys with more are dealt out by document and place.
-GROUP = 4096
+GROUP = 1024
 
 
 def minimisers(hashes: np.ndarray, bounds: np.ndarray, least: int = LEAST, gram: int = GRAM, among: int = AMONG) -> tuple[np.ndarray, np.ndarray]:
@@ -247,7 +247,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, among: int = AMONG) -
     are dropped. The others are sorted by their words, neighbours' common words are counted to the right and to the left,
     and the intervals of both orders tell which windows that draw the place are equal, so that every repeated
     window is found, and longer passages as runs of them. A key with
-    over 4,096 suffixes is dealt out by document and place, and the first window of each class of a part is
+    over 1,024 suffixes is dealt out by document and place, and the first window of each class of a part is
     compared with the other parts', so no task holds a hot passage whole, even one that a document repeats.
 
     One row for each document with a repeated passage: doc_id, row_hash (of doc_id and text),
