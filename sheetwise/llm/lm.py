@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from .shared import BLOOM, Scratch
 from .tokens import WordTokenizer, tokenizer_path
-from .words import slices, texts_of
+from .words import release_memory, slices, texts_of
 
 #: Bytes of text of a chunk: the documents whose bigrams are asked for together.
 CHUNK = 6 << 20
+#: Bytes of text that are tokenised at once.
+SLICE = 2 << 20
+#: Tokens that are scored at once, or one text.
+AT_ONCE = 1 << 17
 #: The history of a text's first token.
 BEGIN = (1 << 16) - 1
 
@@ -39,15 +43,25 @@ def _chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
     from pyspark import TaskContext
 
     tokenizer, task, number = WordTokenizer(path), TaskContext.get().partitionId(), 0
+    held, size = [], 0
+
+    def chunk() -> pa.RecordBatch:
+        columns = {
+            "chunk": pa.array([(task << 32) | number]), "doc_ids": pa.array([[x for d, _, _ in held for x in d]], pa.list_(pa.int64())),
+            "bounds": pa.array([np.concatenate([[0], np.cumsum(np.concatenate([n for _, n, _ in held]))])], pa.list_(pa.int64())), "ids": pa.array([b"".join(i for _, _, i in held)], pa.binary()),
+        }
+        return pa.RecordBatch.from_pydict(columns)
+
     for whole in batches:
-        for batch in slices(whole, "text", CHUNK):
+        for batch in slices(whole, "text", SLICE):
             ids, bounds = _encoded(tokenizer, batch)
-            columns = {
-                "chunk": pa.array([(task << 32) | number]), "doc_ids": pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                "bounds": pa.array([bounds], pa.list_(pa.int64())), "ids": pa.array([ids.astype("<u2").tobytes()], pa.binary()),
-            }
-            number += 1
-            yield pa.RecordBatch.from_pydict(columns)
+            held.append((batch.column("doc_id").to_pylist(), np.diff(bounds), ids.astype("<u2").tobytes()))
+            size += batch.column("text").nbytes
+            if size >= CHUNK:
+                yield chunk()
+                held, size, number = [], 0, number + 1
+    if held:
+        yield chunk()
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,12 +71,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, bounds = np.frombuffer(batch.column("ids")[k].as_py(), "<u2"), np.asarray(batch.column("bounds")[k].values)
             distinct, n = np.unique(bigrams(ids, bounds), return_counts=True)
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(np.full(len(distinct), batch.column("chunk")[k].as_py())), "bigram": pa.array(distinct), "n": pa.array(n)})
+            release_memory()
 
 
 def _count_texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     tokenizer = WordTokenizer(path)
     for whole in batches:
-        for batch in slices(whole, "text", CHUNK):
+        for batch in slices(whole, "text", SLICE):
             distinct, n = np.unique(bigrams(*_encoded(tokenizer, batch)), return_counts=True)
             yield pa.RecordBatch.from_pydict({"bigram": pa.array(distinct), "t": pa.array(n)})
 
@@ -88,24 +103,34 @@ class Totals:
         self.kinds_t, self.kinds_n = int((self.wt > 0).sum()), float(kinds_left(self.wn, rate).sum())
 
 
-def _own(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token: how often its document has its key, and whether it is one place, always the same, of the key there."""
-    order = np.lexsort((keys, doc))
-    new = np.append(True, (keys[order][1:] != keys[order][:-1]) | (doc[order][1:] != doc[order][:-1]))[: len(order)]
-    run = np.cumsum(new) - 1
-    own, first = np.empty(len(keys), np.int64), np.zeros(len(keys), bool)
-    own[order] = np.bincount(run)[run] if len(order) else 0
-    first[order] = new
-    return own, first
+class _Groups:
+    """The tokens of each document with the same key (below 2 ** 32)."""
+
+    def __init__(self, keys: np.ndarray, doc: np.ndarray):
+        joined = doc << 32 | keys
+        self.order = np.argsort(joined)
+        ranked = joined[self.order]
+        self.new = np.append(True, ranked[1:] != ranked[:-1])[: len(keys)]
+        self.run = np.cumsum(self.new) - 1
+
+    def spread(self, sums: np.ndarray) -> np.ndarray:
+        """A value of each group at each of its tokens."""
+        out = np.empty(len(self.order), sums.dtype)
+        out[self.order] = sums[self.run] if len(self.order) else 0
+        return out
+
+    def sizes(self) -> np.ndarray:
+        return self.spread(np.bincount(self.run))
 
+    def firsts(self) -> np.ndarray:
+        """One token of each group."""
+        return self.order[self.new]
 
-def _by(keys: np.ndarray, doc: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sums of values over the tokens with the same key in the same document, at each token."""
-    order = np.lexsort((keys, doc))
-    run = np.cumsum(np.append(True, (keys[order][1:] != keys[order][:-1]) | (doc[order][1:] != doc[order][:-1]))[: len(order)]) - 1
-    out = np.empty(len(keys))
-    out[order] = np.bincount(run, values[order])[run] if len(order) else 0
-    return out
+    def sums(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """At each token the sum of its group's values, given at some tokens."""
+        place = np.empty(len(self.order), np.int64)
+        place[self.order] = self.run
+        return self.spread(np.bincount(place[at], values, minlength=int(self.run[-1]) + 1 if len(self.run) else 0))
 
 
 def losses(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray, t: np.ndarray, aimed: np.ndarray, of: Totals) -> tuple[np.ndarray, np.ndarray]:
@@ -117,26 +142,26 @@ def losses(keys: np.ndarray, bounds: np.ndarray, n: np.ndarray, t: np.ndarray, a
     doc = np.repeat(np.arange(len(size)), size)
     word, history = keys & 0xFFFF, keys >> 16
     inside = aimed[doc].astype(np.int64)
-    own, first = _own(keys, doc)
-    own_w, first_w = _own(word, doc)
-    own_h, _ = _own(history, doc)
+    pairs, words, histories = _Groups(keys, doc), _Groups(word, doc), _Groups(history, doc)
+    own, own_w, own_h = pairs.sizes(), words.sizes(), histories.sizes()
+    p, w = pairs.firsts(), words.firsts()
     uniform = 1.0 / of.size
     # the target without the text
     t_b, ht, wt = t - own * inside, of.ht[history] - own_h * inside, of.wt[word] - own_w * inside
-    kt = of.kt[history] - _by(history, doc, (first & (t == own) & (inside > 0)).astype(float))
-    gone = np.bincount(doc, first_w & (of.wt[word] == own_w) & (inside > 0), minlength=len(size))
+    kt = of.kt[history] - histories.sums(p, ((t[p] == own[p]) & (inside[p] > 0)).astype(float))
+    gone = np.bincount(doc[w], (of.wt[word[w]] == own_w[w]) & (inside[w] > 0), minlength=len(size))
     kinds, every = (of.kinds_t - gone)[doc], (of.all_t - size * aimed)[doc]
     low = np.where(every > 0, (wt + kinds * uniform) / np.maximum(every + kinds, 1), uniform)
     with np.errstate(invalid="ignore", divide="ignore"):
         target = -np.log(np.where(ht > 0, (t_b + kt * low) / (ht + kt), low))
     # all documents without the text, as a sample of the target's size is expected to be
     n_b, hn, wn = rate * (n - own), rate * (of.hn[history] - own_h), rate * (of.wn[word] - own_w)
-    kn = of.kn[history] - _by(history, doc, first * (kinds_left(n, rate) - kinds_left(n - own, rate)))
-    gone = np.bincount(doc, first_w * (kinds_left(of.wn[word], rate) - kinds_left(of.wn[word] - own_w, rate)), minlength=len(size))
+    kn = np.maximum(of.kn[history] - histories.sums(p, kinds_left(n[p], rate) - kinds_left(n[p] - own[p], rate)), 0)
+    gone = np.bincount(doc[w], kinds_left(of.wn[word[w]], rate) - kinds_left(of.wn[word[w]] - own_w[w], rate), minlength=len(size))
     kinds, every = (of.kinds_n - gone)[doc], (rate * (of.all_n - size))[doc]
     low = np.where(every > 0, (wn + kinds * uniform) / np.maximum(every + kinds, 1e-12), uniform)
     with np.errstate(invalid="ignore", divide="ignore"):
-        background = -np.log(np.where(hn > 0, (n_b + np.maximum(kn, 0) * low) / (hn + np.maximum(kn, 0)), low))
+        background = -np.log(np.where(hn > 0, (n_b + kn * low) / (hn + kn), low))
     return np.bincount(doc, target, minlength=len(size)), np.bincount(doc, background, minlength=len(size))
 
 
@@ -149,11 +174,17 @@ def _score(totals):
         out = []
         for row in chunks.itertuples():
             bounds = np.asarray(row.bounds)
-            keys = bigrams(np.frombuffer(row.ids, "<u2"), bounds)
-            size, aimed = np.diff(bounds), np.zeros(len(bounds) - 1, bool)
+            ids, size, aimed = np.frombuffer(row.ids, "<u2"), np.diff(bounds), np.zeros(len(bounds) - 1, bool)
             aimed[named] = True
-            at = np.searchsorted(bigram, keys)
-            target, background = losses(keys, bounds, n[at] if len(keys) else keys, t[at] if len(keys) else keys, aimed, of)
+            target, background, begin = np.zeros(len(size)), np.zeros(len(size)), 0
+            while begin < len(size):  # some texts at a time, as arrays of all tokens are large
+                end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + AT_ONCE, side="right")) - 1)
+                inner = bounds[begin : end + 1] - bounds[begin]
+                keys = bigrams(ids[bounds[begin] : bounds[end]], inner)
+                at = np.searchsorted(bigram, keys)
+                target[begin:end], background[begin:end] = losses(keys, inner, n[at] if len(keys) else keys, t[at] if len(keys) else keys, aimed[begin:end], of)
+                begin = end
+            release_memory()
             some = np.maximum(size, 1)
             out.append(pd.DataFrame({"doc_id": pd.array(list(row.doc_ids), "Int64"), "n_tokens": size, "target_loss": target / some, "background_loss": background / some, "in_target": aimed}))
         return pd.concat(out)
