@@ -14,6 +14,8 @@ from .words import owner, per_text, slices, texts_of, word_codes
 
 #: Documents of each language that the n-gram models are fitted on, about.
 SAMPLE = 3000
+#: Languages that models can be made of; more are an error, as the counts of all reach the driver.
+LANGUAGES = 1000
 UNDETERMINED = "und"
 #: Marks put around a word, and the least length of a word that has letters with them.
 START, STOP = "\x02", "\x03"
@@ -74,6 +76,22 @@ class NgramModels:
                 grams[-(order - 1)] = ctx  # contexts of this order
         return cls(languages, alphabet, grams, logp | {0: np.full((1, len(languages)), -np.log(base))}, back)
 
+    def _trigrams(self, keys: np.ndarray) -> np.ndarray:
+        """Log p by language of the last character of each trigram after the other two."""
+        base = len(self.alphabet) + 1
+        c, b, a = keys % base, keys // base % base, keys // base**2
+        grams, context = {1: c, 2: b * base + c, 3: keys}, {1: b, 2: a * base + b}
+        out = np.broadcast_to(self.logp[0], (len(keys), len(self.languages))) + self.back[0]
+        for order in (1, 2, 3):
+            if order > 1:
+                ctx = self.grams[-(order - 1)]
+                i = np.minimum(np.searchsorted(ctx, context[order - 1]), len(ctx) - 1)
+                out = out + np.where((ctx[i] == context[order - 1])[:, None], self.back[order - 1][i], 0.0)
+            g = self.grams[order]
+            i = np.minimum(np.searchsorted(g, grams[order]), len(g) - 1)
+            out = np.where((g[i] == grams[order])[:, None], self.logp[order][i], out)
+        return out
+
     def score(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Log likelihood of each word by language (rows of zeros for words without letters), and whether it has letters."""
         letters = pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{M}]+", "")
@@ -86,18 +104,8 @@ class NgramModels:
         last = np.arange(len(point)) - np.repeat(np.cumsum(size) - size, size) >= 2
         here = np.flatnonzero(last)
         base = len(self.alphabet) + 1
-        c, b, a = code[here], code[here - 1], code[here - 2]
-        keys = {1: c, 2: b * base + c, 3: (a * base + b) * base + c}
-        context = {1: b, 2: a * base + b}
-        out = np.broadcast_to(self.logp[0], (len(here), len(self.languages))) + self.back[0]
-        for order in (1, 2, 3):
-            if order > 1:
-                ctx = self.grams[-(order - 1)]
-                i = np.minimum(np.searchsorted(ctx, context[order - 1]), len(ctx) - 1)
-                out = out + np.where((ctx[i] == context[order - 1])[:, None], self.back[order - 1][i], 0.0)
-            g = self.grams[order]
-            i = np.minimum(np.searchsorted(g, keys[order]), len(g) - 1)
-            out = np.where((g[i] == keys[order])[:, None], self.logp[order][i], out)
+        kinds, at = np.unique((code[here - 2] * base + code[here - 1]) * base + code[here], return_inverse=True)
+        out = self._trigrams(kinds)[at]
         bounds = np.concatenate([[0], np.cumsum(np.maximum(size - 2, 0))])
         return per_text(out, bounds, np.float64) * has[:, None], has
 
@@ -115,7 +123,7 @@ def word_grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 3 << 20):
+        for batch in slices(whole, "text", 1 << 20):
             codes, bounds, words = word_codes(texts_of(batch))
             langs = batch.column("lang").dictionary_encode()
             grams, word = word_grams(words)
@@ -134,7 +142,9 @@ def fit_languages(labelled: DataFrame, sample: int = SAMPLE) -> NgramModels | No
     counts of that bounded sample are all that reaches the driver.
     """
     rows = labelled.where("lang IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     if not sizes:
         return None
     limit = F.element_at(F.create_map(*[F.lit(x) for s, n in sizes.items() for x in (s, min(1.0, sample / n))]), F.col("lang"))
@@ -150,26 +160,36 @@ def mixture(relative: np.ndarray, bounds: np.ndarray, rounds: int = 8, penalty:
     fitted again alone, and each text keeps the set with the greatest log likelihood less
     `penalty` * log(words) for each language after the first.
     """
-    texts, languages = len(bounds) - 1, relative.shape[1]
-    n, text = np.maximum(np.diff(bounds), 1)[:, None], owner(bounds)
+    languages, size = relative.shape[1], np.diff(bounds)
+    out = np.full((len(size), languages), 1.0 / languages, np.float32)
+    some = np.flatnonzero(size > 0)
+    if not len(some):
+        return out
+    likely, size = np.ascontiguousarray(relative.T), size[some]  # a row for each language
+    starts, n = bounds[:-1][some], size.astype(np.float64)
+
+    def per(values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, starts, axis=-1, dtype=np.float64)
 
     def fit(share: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
         for _ in range(steps):
-            joint = relative * share[text]
-            share = per_text(joint / joint.sum(axis=1, keepdims=True), bounds, np.float64).astype(np.float32) / n.astype(np.float32)
-            share = share / np.maximum(share.sum(axis=1, keepdims=True), 1e-9)
-        return share, per_text(np.log((relative * share[text]).sum(axis=1)), bounds, np.float64)
-
-    full, _ = fit(np.full((texts, languages), 1.0 / languages, np.float32), rounds)
-    place = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1, kind="stable")
-    best, best_score = full, np.full(texts, -np.inf)
+            joint = likely * np.repeat(share, size, axis=1)
+            joint /= joint.sum(axis=0)
+            share = (per(joint) / n).astype(np.float32)
+            share /= np.maximum(share.sum(axis=0), 1e-9)
+        return share, per(np.log((likely * np.repeat(share, size, axis=1)).sum(axis=0)))
+
+    full, _ = fit(np.full((languages, len(some)), 1.0 / languages, np.float32), rounds)
+    place = np.argsort(np.argsort(-full, axis=0, kind="stable"), axis=0, kind="stable")
+    best, best_score = full, np.full(len(some), -np.inf)
     for k in range(1, languages + 1):
         start = np.where(place < k, np.maximum(full, 1e-3), 0).astype(np.float32)
-        share, ll = fit(start / start.sum(axis=1, keepdims=True), 0 if k == 1 else 3)
-        score = ll - penalty * (k - 1) * np.log(n[:, 0] + 1)
+        share, ll = fit(start / start.sum(axis=0), 0 if k == 1 else 3)
+        score = ll - penalty * (k - 1) * np.log(n + 1)
         better = score > best_score
-        best, best_score = np.where(better[:, None], share, best), np.where(better, score, best_score)
-    return best
+        best, best_score = np.where(better, share, best), np.where(better, score, best_score)
+    out[some] = best.T
+    return out
 
 
 def _predict(batch: pa.RecordBatch, models: NgramModels | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,14 +213,14 @@ def _predict(batch: pa.RecordBatch, models: NgramModels | None) -> tuple[np.ndar
 
 def _identified(batches: Iterator[pa.RecordBatch], models: NgramModels | None) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 2 << 20):
+        for batch in slices(whole, "text", 1 << 20):
             pred, score, sets = _predict(batch, models)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(sets, pa.string())], ["doc_id", "lang_pred", "score", "languages"])
 
 
 def _accepted(batches: Iterator[pa.RecordBatch], models: NgramModels | None, least: float) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 2 << 20):
+        for batch in slices(whole, "text", 1 << 20):
             pred, score, _ = _predict(batch, models)
             yield batch.filter(pa.array((pred != UNDETERMINED) & (score >= least)))
 
