@@ -34,7 +34,7 @@ def batch_report(results: DataFrame, seconds: float, generated: str, extractor:
     done = results.where("status = 'success'").select(F.lit(3).alias("part"), F.col("file").alias("ord"), F.concat(F.lit("| "), "file", F.lit(" | "), percent(F.col("confidence")), F.lit(" | "), "output", F.lit(" |")).alias("line"))
     bad = results.where("status = 'failed'").select(F.lit(5).alias("part"), F.col("file").alias("ord"), F.concat(F.lit("| "), "file", F.lit(" | "), "error", F.lit(" |")).alias("line"))
     between = lines(2, ["", "## Successful Extractions", "", "| File | Confidence | Output |", "|------|------------|--------|"])
-    errors = lines(4, ["", "## Errors", "", "| File | Error |", "|------|-------|"]).join(results.where("status = 'failed'").limit(1).select(F.lit(True).alias("any")), how="cross").drop("any")
+    errors = lines(4, ["", "## Errors", "", "| File | Error |", "|------|-------|"]).withColumn("any", F.lit(1)).join(results.where("status = 'failed'").limit(1).select(F.lit(1).alias("any")), "any", "left_semi").drop("any")
     foot = lines(6, ["", "---", f"*Generated by {extractor}*"])
     every = head
     for part in (summary, between, done, errors, bad, foot):

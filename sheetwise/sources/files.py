@@ -132,8 +132,8 @@ def page_documents(pages: DataFrame, tables: DataFrame, diagrams: DataFrame | No
 def prototype_documents(tables: DataFrame, diagrams: DataFrame, source: str) -> DataFrame:
     """The prototype's document: metadata with source and extractor, tables and diagrams, of one file."""
     about = F.struct(F.lit(source).alias("source"), F.lit("prototype").alias("extractor"))
-    listed = lambda df, name: df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
-    return listed(tables, "tables").join(listed(diagrams, "diagrams")).select(about.alias("metadata"), "tables", "diagrams")
+    listed = lambda df, name: df.agg(F.collect_list(F.struct(*df.columns)).alias(name)).withColumn("one", F.lit(1))
+    return listed(tables, "tables").join(listed(diagrams, "diagrams"), "one").select(about.alias("metadata"), "tables", "diagrams")
 
 
 def json_text(df: DataFrame) -> DataFrame:

@@ -16,21 +16,29 @@ DEMO = [
 ]
 
 
-def demo_pair(spark: SparkSession) -> DataFrame:
+def _demo(name: str, rows: list, confidence: float, table_id: Column) -> Column:
+    cells = lambda r: F.create_map(*[F.lit(x) for pair in zip(HEADERS, r, strict=True) for x in pair])
+    return F.struct(table_id.alias("table_id"), F.lit("Electrical Characteristics").alias("title"), F.array(*map(F.lit, HEADERS)).alias("headers"), F.array(*map(cells, rows)).alias("rows"), F.lit(confidence).alias("confidence"), F.lit(name).alias("extraction_method"))
+
+
+def demo_tables(number: Column) -> tuple[Column, Column]:
     """The five-row table as both extractors give it: they differ in a unit's spelling, a number's and the table's name."""
-    rule = [list(r) for r in DEMO]
-    rule[1][5], rule[2][4] = "uA", "3.0"
-    table = lambda name, rows, conf: (f"{name}_table_1", "Electrical Characteristics", HEADERS, [dict(zip(HEADERS, r, strict=True)) for r in rows], conf, name)
-    return spark.createDataFrame([("demo", table("vision", DEMO, 0.95), table("rule", rule, 0.85))], f"doc_id string, vision {TABLE}, rule {TABLE}")
+    other = [list(r) for r in DEMO]
+    other[1][5], other[2][4] = "uA", "3.0"
+    named = lambda x: F.concat(F.lit(f"{x}_table_"), number.cast("string"))
+    return _demo("vision", DEMO, 0.95, named("vision")), _demo("rule", other, 0.85, named("rule"))
+
+
+def demo_pair(spark: SparkSession) -> DataFrame:
+    vision, rule = demo_tables(F.lit(1))
+    return spark.range(1).select(F.lit("demo").alias("doc_id"), vision.alias("vision"), rule.alias("rule"))
 
 
 def mock_readings(files: DataFrame) -> DataFrame:
     """The demo table for each file (path) as both extractors give it: the first one's tables are numbered by calls, in the order of the files."""
-    pair = demo_pair(files.sparkSession).select("vision", "rule")
     calls = files.select(F.col("path").alias("doc_id"), F.row_number().over(Window.orderBy("path")).alias("call"))
-    read = calls.join(F.broadcast(pair))
-    named = lambda c: F.concat(F.lit(f"{c}_table_"), F.col("call").cast("string"))
-    return read.select("doc_id", F.col("vision").withField("table_id", named("vision")).alias("vision"), F.col("rule").withField("table_id", named("rule")).alias("rule"), F.lit(MOCK_COST).alias("cost_usd"))
+    vision, rule = demo_tables(F.col("call"))
+    return calls.select("doc_id", vision.alias("vision"), rule.alias("rule"), F.lit(MOCK_COST).alias("cost_usd"))
 
 
 def prototype_table(spark: SparkSession) -> DataFrame:
