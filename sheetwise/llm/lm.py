@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BLOOM, Scratch
+from .shared import Scratch
 from .tokens import WordTokenizer, tokenizer_path
 from .words import release_memory, slices, texts_of
 
@@ -18,7 +18,7 @@ CHUNK = 6 << 20
 #: Bytes of text that are tokenised at once.
 SLICE = 2 << 20
 #: Tokens that are scored at once, or one text.
-AT_ONCE = 1 << 17
+AT_ONCE = 1 << 14
 #: The history of a text's first token.
 BEGIN = (1 << 16) - 1
 
@@ -74,12 +74,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             release_memory()
 
 
-def _count_texts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    tokenizer = WordTokenizer(path)
-    for whole in batches:
-        for batch in slices(whole, "text", SLICE):
-            distinct, n = np.unique(bigrams(*_encoded(tokenizer, batch)), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"bigram": pa.array(distinct), "t": pa.array(n)})
+def _count_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct bigrams and counts of the texts of each chunk that are marked."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            ids, bounds = np.frombuffer(batch.column("ids")[k].as_py(), "<u2"), np.asarray(batch.column("bounds")[k].values)
+            marked = np.zeros(len(bounds) - 1, bool)
+            marked[np.asarray(batch.column("marks")[k].values)] = True
+            distinct, n = np.unique(bigrams(ids, bounds)[np.repeat(marked, np.diff(bounds))], return_counts=True)
+            yield pa.RecordBatch.from_pydict({"bigram": pa.array(distinct, pa.int64()), "t": pa.array(n)})
+            release_memory()
 
 
 def kinds_left(n: np.ndarray, rate: float) -> np.ndarray:
@@ -220,9 +224,9 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, path: str | Non
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     chunks = tables.put(rows.mapInArrow(lambda it: _chunks(it, path), "chunk long, doc_ids array<long>, bounds array<long>, ids binary"), "chunks")
     asked = tables.put(chunks.mapInArrow(_count, "chunk long, bigram long, n long"), "asked")
-    # the filter on id holds for all rows: without one Spark makes no Bloom filter
-    aimed = rows.join(named.where(F.col("id") >= F.lit(-(1 << 63))), F.col("doc_id") == F.col("id")).select("text")
-    aimed = tables.put(aimed.mapInArrow(lambda it: _count_texts(it, path), "bigram long, t long"), "aimed", BLOOM)
+    places = chunks.select("chunk", F.posexplode("doc_ids").alias("place", "id")).join(named, "id").select("chunk", "place")
+    marks = tables.put(places.groupBy("chunk").agg(F.collect_list("place").alias("marks")), "marks")  # at most the texts of a chunk
+    aimed = tables.put(chunks.join(marks, "chunk").select("bounds", "ids", "marks").mapInArrow(_count_marked, "bigram long, t long"), "aimed")
     both = asked.select("bigram", "n", F.lit(0).cast("long").alias("t")).unionAll(aimed.select("bigram", F.lit(0).cast("long"), "t"))
     counts = tables.put(both.groupBy("bigram").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), "counts")
     token, history = F.expr("cast(bigram & 65535 AS int)").alias("token"), F.expr("cast(shiftright(bigram, 16) AS int)").alias("history")
@@ -234,12 +238,11 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, path: str | Non
     before = counts.groupBy(history).agg(F.sum("n"), F.sum("t"), F.sum(kept), F.sum((F.col("t") > 0).cast("long"))).collect()
     totals = spark.sparkContext.broadcast(Totals(words, [tuple(r) for r in before], rate))
     answers = asked.select("chunk", "bigram").join(counts, "bigram").select("chunk", "bigram", "n", "t")
-    places = chunks.select("chunk", F.posexplode("doc_ids").alias("place", "id"))
     zero = F.lit(0).cast("long")
-    marks = places.join(named, "id").select("chunk", (-1 - F.col("place")).cast("long").alias("bigram"), zero.alias("n"), zero.alias("t"))
+    marked = marks.select("chunk", F.explode("marks").alias("place")).select("chunk", (-1 - F.col("place")).cast("long").alias("bigram"), zero.alias("n"), zero.alias("t"))
     tables.drop("aimed")
     schema = "doc_id long, n_tokens long, target_loss double, background_loss double, in_target boolean"
-    scored = chunks.select("chunk", "doc_ids", "bounds", "ids").groupBy("chunk").cogroup(answers.unionAll(marks).groupBy("chunk")).applyInPandas(_score(totals), schema)
+    scored = chunks.select("chunk", "doc_ids", "bounds", "ids").groupBy("chunk").cogroup(answers.unionAll(marked).groupBy("chunk")).applyInPandas(_score(totals), schema)
     return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
