@@ -12,10 +12,6 @@ try:  # only the GNU library has it
 except (OSError, AttributeError):
     _TRIM = None
 
-#: Bytes of text between two times that freed memory is given back (it has to be asked for again).
-OFTEN = 24 << 20
-_worked = 0
-
 #: Bytes of the six ASCII blanks that separate words.
 BLANKS = b" \t\n\x0b\x0c\r"
 
@@ -29,16 +25,13 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 12 << 20) -> Iterator
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
-        release_memory(int(ends[stop - 1] - base))
+        release_memory()
 
 
-def release_memory(size: int) -> None:
-    """Gives freed memory back to the system, now and then, as `size` bytes were worked on: workers live on through many stages, and what they keep adds up."""
-    global _worked
+def release_memory() -> None:
+    """Gives freed memory back to the system: workers live on through many stages, and what they keep adds up."""
     pa.default_memory_pool().release_unused()
-    _worked += size
-    if _TRIM and _worked > OFTEN:
-        _worked = 0
+    if _TRIM:
         _TRIM(0)
 
 
