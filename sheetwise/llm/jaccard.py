@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import BLOOM, Scratch, beside_rows, columns, row_key
+from .shared import BLOOM, SORTED, Scratch, beside_rows, columns, row_key
 from .words import gather, mix, owner, per_text, run_hashes, slices, texts_of, word_codes, word_hashes
 
 #: The share of tokens, by hash, that stands first in the order: at least FIRST, and SLACK times a prefix.
@@ -258,10 +258,10 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     is equal or has that similarity, each counted whether or not its link was needed for the class). One row for every input
     row: repeated rows share a class; a null doc_id is never a class's smallest unless all are
     null; other columns are ignored; an empty table gives no rows.
-    Groups, pairs and classes stay in tables; the driver sees counts alone.
+    Groups, pairs and classes stay in tables; the driver sees counts alone, and no join is broadcast through it.
     """
     spark = docs.sparkSession
-    tables = Scratch(spark, "jaccard")
+    tables = Scratch(spark, "jaccard", SORTED)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, n long, print1 long, print2 long, parts array<int>, lead long, sample array<long>, row_hash long"
     described = tables.put(rows.withColumn("row_hash", row_key(docs)).mapInArrow(lambda it: _describe(it, n, percent), schema).withColumn("row", F.monotonically_increasing_id()), "described")
@@ -288,7 +288,7 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     linked = named.drop("least").where("root IS NOT NULL").join(of_root, "root").select("print1", "print2", "least", "n_links")
     final = tables.put(linked.unionByName(named.where("root IS NULL").select("print1", "print2", "least", "n_links")), "final")
     tables.drop("prefixes", "posts", "wanted", "sets", "families", "pairs", "links", "groups", "named")
-    out = narrow.join(final, ["print1", "print2"], "left")
+    out = narrow.join(final.hint("merge"), ["print1", "print2"], "left")
     known = F.col("least").isNotNull()
     first = F.when(known, F.when(~F.col("least.none"), F.col("least.id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), first.alias("component_id"), "row_hash", first.alias("first_id"), F.coalesce("least.hash", "row_hash").alias("first_hash"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

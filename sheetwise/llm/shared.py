@@ -24,18 +24,20 @@ CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Lets Spark put a Bloom filter of the smaller side, of 8 MB at most (its default), over the larger one before that is shuffled.
 BLOOM = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0", "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g"}
+#: Joins are sorted: Spark takes the rows that a generator makes for as few as go in, and would broadcast them through the driver.
+SORTED = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
 
 class Scratch:
-    """Written tables of one call: `put` writes and reads back, `drop` deletes what no result needs."""
+    """Written tables of one call, all under the same settings: `put` writes and reads back, `drop` deletes what no result needs."""
 
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.root = spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    def __init__(self, spark: SparkSession, label: str, settings: dict[str, str] | None = None):
+        self.spark, self.root, self.settings = spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}", settings or {}
 
     def put(self, df: DataFrame, name: str, settings: dict[str, str] | None = None) -> DataFrame:
         """Writes a table, under settings of its own, and reads it back. The shuffle files behind it go with the end of the write: nothing needs them again."""
         path, conf = f"{self.root}/{name}", self.spark.conf
-        settings = {CLEAN_UP: "true", BATCH: "2000"} | (settings or {})
+        settings = {CLEAN_UP: "true", BATCH: "2000"} | self.settings | (settings or {})
         before = {k: conf.get(k, None) for k in settings}
         for k, v in settings.items():
             conf.set(k, v)

@@ -290,6 +290,25 @@ def test_random_sets_lose_no_link(spark):
     assert collected(got) == sorted(classes_brute(data, 3, 80), key=key)
 
 
+@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
+def test_no_table_of_jaccard_goes_through_the_driver(spark, monkeypatch, n, percent):
+    monkeypatch.setattr(jaccard, "SHORT", 2)
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    seen, put = [], shared.Scratch.put
+
+    def noted(self, df, name, settings=None):
+        out = put(self, df, name, settings)
+        store = spark._jsparkSession.sharedState().statusStore()
+        ran = store.executionsList()
+        seen.append(max((ran.apply(i) for i in range(ran.size())), key=lambda e: e.executionId()).physicalPlanDescription())
+        return out
+
+    monkeypatch.setattr(shared.Scratch, "put", noted)
+    got = jaccard.near_duplicate_classes(frame(spark), n, percent)
+    assert len(seen) > 10 and any("SortMergeJoin" in p for p in seen)
+    assert not [p for p in [*seen, got._jdf.queryExecution().executedPlan().toString()] if "Broadcast" in p]
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.near_duplicate_classes(empty(spark)).count() == 0
 
