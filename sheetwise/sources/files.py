@@ -2,9 +2,11 @@
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.naming import diagram_type, maker_in_text, part_in_text
 from ..functions.text import file_stem
@@ -17,6 +19,21 @@ RESULT = (
 ).replace("headers array", "headers: array").replace("rows array", "rows: array")
 
 
+#: Rows, and bytes of images, of a batch that is handed back.
+ROWS, BYTES = 1000, 16 << 20
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """path and content of each file."""
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            yield path.as_py(), content.as_py()
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """path, length and content of the files of one folder (not of folders in it)."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "false").load(folder).select("path", "length", "content")
@@ -30,21 +47,28 @@ def read_pages(files: DataFrame, parse: Callable[[bytes], Iterator[dict]], attem
     becomes a row with `error` after the pages that came before.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                for again in range(max(attempts, 1), 0, -1):
-                    rows, n = [], 0
-                    try:
-                        for n, p in enumerate(parse(r.content), 1):
-                            rows.append((r.path, n, p.get("text") or "", p.get("tables") or [], p.get("width"), p.get("height"), None))
-                        break
-                    except Exception as e:  # a bad file must not end the job
-                        if again == 1:
-                            rows.append((r.path, n + 1, "", [], None, None, f"{type(e).__name__}: {e}"))
-                yield pd.DataFrame(rows, columns=["doc_id", "page_num", "text", "tables", "width", "height", "error"])
+    schema = to_arrow_schema(StructType.fromDDL(PAGE))
 
-    return files.select("path", "content").mapInPandas(run, PAGE)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = []
+        for path, content in _contents(batches):
+            for again in range(max(attempts, 1), 0, -1):
+                rows, n = [], 0
+                try:
+                    for n, p in enumerate(parse(content), 1):
+                        rows.append((path, n, p.get("text") or "", p.get("tables") or [], p.get("width"), p.get("height"), None))
+                    break
+                except Exception as e:  # a bad file must not end the job
+                    if again == 1:
+                        rows.append((path, n + 1, "", [], None, None, f"{type(e).__name__}: {e}"))
+            done += rows
+            if len(done) >= ROWS:
+                yield _batch(done, schema)
+                done = []
+        if done:
+            yield _batch(done, schema)
+
+    return files.select("path", "content").mapInArrow(run, PAGE)
 
 
 def render_pages(files: DataFrame, render: Callable[[bytes, int, int], tuple[bytes, int, int] | None], dpi: int = 150, first: int = 1, last: int | None = None, count: Callable[[bytes], int] | None = None) -> DataFrame:
@@ -52,38 +76,50 @@ def render_pages(files: DataFrame, render: Callable[[bytes, int, int], tuple[byt
     if last is None and count is None:
         raise ValueError("render_pages needs the last page or a function that counts pages")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
+    schema = to_arrow_schema(StructType.fromDDL(RENDERED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, held = [], 0
+        for path, content in _contents(batches):
+            try:
+                end = count(content) if last is None else last
+            except Exception:  # as if there were no pages
+                end = 0
+            for n in range(first, end + 1):
                 try:
-                    end = count(r.content) if last is None else last
-                except Exception:  # as if there were no pages
-                    end = 0
-                for n in range(first, end + 1):
-                    try:
-                        got = render(r.content, n, dpi)
-                    except Exception:  # as if there were no such page
-                        got = None
-                    if got:
-                        yield pd.DataFrame([(r.path, n, *got, dpi)], columns=["doc_id", "page_num", "image", "width", "height", "dpi"])
+                    got = render(content, n, dpi)
+                except Exception:  # as if there were no such page
+                    got = None
+                if got:
+                    done.append((path, n, *got, dpi))
+                    held += len(got[0] or b"")
+                if len(done) >= ROWS or held >= BYTES:
+                    yield _batch(done, schema)
+                    done, held = [], 0
+        if done:
+            yield _batch(done, schema)
 
-    return files.select("path", "content").mapInPandas(run, RENDERED)
+    return files.select("path", "content").mapInArrow(run, RENDERED)
 
 
 def crop_images(images: DataFrame, crop: Callable[[bytes, tuple], bytes]) -> DataFrame:
     """Adds `cropped`, the part of `image` inside the struct `bbox` (x0, y0, x1, y1); null where that fails."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    made = images.withColumn("cropped", F.lit(None).cast("binary")).schema
+    at = [c.lower() for c in made.names].index("cropped")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cut = []
-            for r in batch.itertuples():
+            for image, bbox in zip(batch.column("image"), batch.column("bbox"), strict=True):
                 try:
-                    cut.append(crop(r.image, tuple(r.bbox[k] for k in ("x0", "y0", "x1", "y1"))))
+                    box = bbox.as_py()
+                    cut.append(crop(image.as_py(), tuple(box[k] for k in ("x0", "y0", "x1", "y1"))))
                 except Exception:  # an image that can't be read has no crop
                     cut.append(None)
-            yield batch.assign(cropped=cut)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(cut, pa.binary()), *batch.columns[at + 1 :]], made.names)
 
-    return images.mapInPandas(run, images.withColumn("cropped", F.lit(None).cast("binary")).schema)
+    return images.mapInArrow(run, made)
 
 
 def table_regions(pages: DataFrame) -> DataFrame:

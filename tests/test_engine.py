@@ -357,3 +357,29 @@ GOLDEN_CATEGORIES = {"Input range": True, "x characteristics": True, "absolute 1
 def test_golden_tables(spark, table, function):
     got = spark.createDataFrame([(k,) for k in table], "k string").select("k", function(F.col("k")).alias("v")).collect()
     assert {r["k"]: r["v"] for r in got} == table
+
+
+class Run:
+    """Stands for files or images, and runs what would be mapped over them."""
+
+    def __init__(self, **columns):
+        self.columns = columns
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        import pyarrow as pa
+
+        return list(run(iter([pa.RecordBatch.from_pydict(self.columns)])))
+
+
+def test_pages_are_handed_back_in_batches():
+    found = files.read_pages(Run(path=[f"f{i}" for i in range(3000)], content=[b"x"] * 3000), lambda content: [{"text": "a", "tables": [[["b", None]]], "width": 1}])
+    assert [b.num_rows for b in found] == [1000, 1000, 1000] and found[2].to_pylist()[-1] == {"doc_id": "f2999", "page_num": 1, "text": "a", "tables": [[["b", None]]], "width": 1.0, "height": None, "error": None}
+
+
+def test_images_are_handed_back_in_batches():
+    made = lambda size: files.render_pages(Run(path=[f"f{i}" for i in range(1500)], content=[b"x"] * 1500), lambda content, n, dpi: (content * size, 2, 3), last=1)
+    assert [b.num_rows for b in made(1)] == [1000, 500] and made(1)[0].to_pylist()[0] == {"doc_id": "f0", "page_num": 1, "image": b"x", "width": 2, "height": 3, "dpi": 150}
+    assert [b.num_rows for b in made(files.BYTES // 500)] == [501, 501, 498]
