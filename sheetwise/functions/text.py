@@ -9,6 +9,9 @@ FLOAT = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$
 #: What most of them look like.
 PLAIN = r"^-?\d+(\.\d+)?$"
 
+#: Words of printable ASCII between single blanks.
+CLEAN = r"^[!-~]++( [!-~]++)*+\z"
+
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
@@ -16,8 +19,8 @@ def strip(c: Column) -> Column:
 
 
 def clean_cell(c: Column) -> Column:
-    """Null becomes empty; white space runs become one blank, none at the ends."""
-    return strip(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+    """Null becomes empty; white space runs become one blank, none at the ends. What is clean already is seen at a glance."""
+    return F.when(c.rlike(CLEAN), c).otherwise(strip(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " ")))
 
 
 def normal_text(c: Column) -> Column:

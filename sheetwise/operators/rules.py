@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import first_case, table_title
 from ..functions.text import clean_cell, strip
+from .verify import bound, once
 
 # fixed values: header patterns in the order they are tried, and the standard headers
 HEADERS = [("param", "Parameter"), ("symbol", "Symbol"), ("test.*cond|condition", "Test_Conditions"), ("^min", "Min"), ("^typ", "Typ"), ("^max", "Max"), ("unit", "Unit"), ("desc", "Description")]
@@ -12,9 +13,16 @@ STANDARD = ("Parameter", "Min", "Typ", "Max", "Unit")
 STANDARD_CONFIDENCE, OTHER_CONFIDENCE, FALLBACK = 0.9, 0.6, 0.7
 
 
+def _meets(text: Column, pattern: str) -> Column:
+    """Whether a pattern is found; plain words are looked for as such."""
+    if pattern.isalpha():
+        return text.contains(pattern)
+    return text.startswith(pattern[1:]) if pattern[0] == "^" and pattern[1:].isalpha() else text.rlike(pattern)
+
+
 def normal_header(cell: Column) -> Column:
-    low = F.lower(strip(F.coalesce(cell, F.lit(""))))
-    return first_case([(low.rlike(p), F.lit(n)) for p, n in HEADERS], F.when(F.coalesce(cell, F.lit("")) == "", "Unknown").otherwise(cell))
+    named = lambda low: first_case([(_meets(low, p), F.lit(n)) for p, n in HEADERS], F.when(F.coalesce(cell, F.lit("")) == "", "Unknown").otherwise(cell))
+    return bound(F.lower(strip(F.coalesce(cell, F.lit("")))), named)
 
 
 def has_standard_headers(headers: Column) -> Column:
@@ -23,8 +31,11 @@ def has_standard_headers(headers: Column) -> Column:
 
 def last_wins(entries: Column) -> Column:
     """A map from entries (k, v), the last of equal keys winning, whatever the session does with duplicates."""
-    kept = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["k"] == e["k"]))
-    return F.map_from_entries(kept)
+
+    def kept(found: Column) -> Column:
+        return bound(F.transform(found, lambda e: e["k"]), lambda keys: F.filter(found, lambda e, i: ~F.coalesce(F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["k"]), F.lit(False))))
+
+    return F.map_from_entries(bound(entries, kept))
 
 
 def row_map(headers: Column, row: Column) -> Column:
@@ -41,7 +52,7 @@ def tables_from_grids(grids: DataFrame) -> DataFrame:
     """
     headers = F.transform(F.col("grid")[0], normal_header)
     filled = F.filter(F.slice("grid", F.lit(2), F.size("grid")), lambda r: F.exists(r, lambda c: F.coalesce(c, F.lit("")) != ""))
-    out = grids.where(F.size("grid") >= 2).withColumn("headers", headers)
+    out = once(grids.where(F.size("grid") >= 2), "headers", headers)
     return out.select(
         "doc_id", F.format_string("table_p%d_%d", "page_num", "table_idx").alias("table_id"), "page_num", "table_idx", table_title(F.coalesce("text", F.lit("")), F.col("table_idx")).alias("title"), "headers",
         F.transform(filled, lambda r: row_map(F.col("headers"), r)).alias("rows"), F.when(has_standard_headers(F.col("headers")), STANDARD_CONFIDENCE).otherwise(OTHER_CONFIDENCE).alias("confidence"),

@@ -22,16 +22,22 @@ def _key():
 
 def _joined(cells):
     """A map as text: key=value, sorted by key."""
-    return F.array_join(F.array_sort(F.transform(F.map_entries(cells), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), "|")
+    return F.array_join(F.sort_array(F.transform(F.map_entries(cells), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), "|")
 
 
 # page scans --------------------------------------------------------------------------------------
 
 
+def _dealt(table):
+    """A table dealt to all cores if it has a MB or more: a scan makes a part or two of some MB, however many rows they hold and however much each of them takes."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return table if size < 1 << 20 else table.repartition(table.sparkSession.sparkContext.defaultParallelism)
+
+
 def _files(t):
     """Three pages in a file, the texts between form feeds."""
     content = F.concat_ws("\f", "p_name", "p_type", "p_brand").cast("binary")
-    return t("part").select(F.concat(F.lit("/in/"), _key().cast("string"), F.lit(".pdf")).alias("path"), content.alias("content"))
+    return _dealt(t("part")).select(F.concat(F.lit("/in/"), _key().cast("string"), F.lit(".pdf")).alias("path"), content.alias("content"))
 
 
 def _parse(content: bytes):
@@ -143,14 +149,16 @@ def demo_readings(t, spark, sf_dir):
 
 
 def _rule_grids(t):
-    head = F.array(*[_pick(catalog._HEADS, _key() + i * 3) for i in range(1, 6)])
+    # a cell at a time in loops: spelled out, the grid is more code than Java compiles
+    five, extra = F.array(*map(F.lit, range(1, 6))), F.when(_key() % 5 == 0, F.array(F.lit("extra"))).otherwise(F.array().cast("array<string>"))
+    head = F.transform(five, lambda i: _pick(catalog._HEADS, _key() + i * 3))
 
-    def row(a: int):
-        cells = [F.when((F.lit(a) == 2) & (_key() % 4 == 0), "").otherwise(_pick(catalog._GRID_CELLS, _key() + i * a)) for i in range(1, 6)]
-        return F.when(_key() % 5 == 0, F.array(*cells, F.lit("extra"))).otherwise(F.array(*cells))
+    def row(a):
+        return F.concat(F.transform(five, lambda i: F.when((a == 2) & (_key() % 4 == 0), "").otherwise(_pick(catalog._GRID_CELLS, _key() + i * a))), extra)
 
-    grid = F.when(_key() % 7 == 0, F.array(head)).otherwise(F.array(head, row(1), row(2), row(3)))
-    return t("part").select(_key().alias("doc_id"), F.lit(1).alias("page_num"), (_key() % 3).cast("int").alias("table_idx"), catalog._page(_key()).alias("text"), grid.alias("grid"))
+    rows = F.transform(F.when(_key() % 7 == 0, F.array().cast("array<int>")).otherwise(F.array(*map(F.lit, range(1, 4)))), row)
+    grid = F.concat(F.array(head), rows)
+    return _dealt(t("part")).select(_key().alias("doc_id"), F.lit(1).alias("page_num"), (_key() % 3).cast("int").alias("table_idx"), catalog._page(_key()).alias("text"), grid.alias("grid"))
 
 
 @query(f"""WITH h AS (SELECT p_partkey AS k, i - 1 AS col, {sql.pick(catalog._HEADS, "(p_partkey + i * 3)")} AS raw FROM part, range(1, 6) c(i)),
@@ -162,8 +170,8 @@ e AS (SELECT g.k, a, coalesce(header, 'col_' || g.col) AS key, arg_max(trim(rege
 SELECT k AS doc_id, 'table_p1_' || (k % 3) AS table_id, confidence::DOUBLE AS confidence, row_idx, string_agg(key || '=' || v, '|' ORDER BY key || '=' || v) AS cells
 FROM e JOIN kept USING (k, a) JOIN conf USING (k) WHERE k % 7 <> 0 GROUP BY ALL""")
 def rule_rows(t, spark, sf_dir):
-    tables = rules.tables_from_grids(_rule_grids(t))
-    rows = tables.select("doc_id", "table_id", "confidence", F.posexplode("rows").alias("row_idx", "r"))
+    tables = verify.once(rules.tables_from_grids(_rule_grids(t)).select("doc_id", "table_id", "confidence", "rows"), "found", F.col("rows"))
+    rows = tables.select("doc_id", "table_id", "confidence", F.posexplode("found").alias("row_idx", "r"))
     return rows.select("doc_id", "table_id", "confidence", F.col("row_idx").cast("long").alias("row_idx"), _joined(F.col("r")).alias("cells"))
 
 

@@ -33,3 +33,17 @@ def test_scans_read_what_is_asked_for(spark):
     plan = catalog.queries()["verify_status"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     scans = {x.split("#")[0]: x.split(",") for x in re.findall(r"FileScan parquet \[([^\]]*)\]", plan)}
     assert {k: len(v) for k, v in scans.items()} == {"l_orderkey": 6, "p_partkey": 3}
+
+
+def test_cells_are_cleaned_and_headers_named_once_a_row(spark):
+    plan = catalog.queries()["rule_rows"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    # the ends of a header; white space and the ends of a cell
+    assert plan.count("regexp_replace(") == 3 and plan.count("RLIKE") <= 2
+
+
+@pytest.mark.parametrize("name", ["page_scan", "page_images", "rule_rows"])
+def test_tables_of_some_size_are_dealt_to_all_cores(spark, tmp_path, name):
+    made = spark.range(100_000).selectExpr("id AS p_partkey", "sha2(cast(id AS string), 256) AS p_name", "'a' AS p_type", "'b' AS p_brand")
+    made.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    plan = lambda folder: catalog.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan(tmp_path) and "RoundRobinPartitioning" not in plan(SF)
